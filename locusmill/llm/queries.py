@@ -2,12 +2,33 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, quality_rules
+from . import exact_dedup, mixing, quality_rules, simhash, token_planes
 from .common import table
 
+#: The public tokenizers' files; the folder comes with the public_tokenizers package.
+WORD_BPE = "word_bpe_49k.json"
+
+
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = token_planes.token_folder(spark, uuid.uuid4().hex)
+    token_planes.write_tokens(table(spark, sf_dir, "documents"), path, tokenizer_path(WORD_BPE))
+    return token_planes.read_tokens(spark, path)
+
+
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_groups(table(spark, sf_dir, "documents"), bits=3, shingle=3)
+
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.judge(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
@@ -24,7 +45,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op7_quality_rules, op8_mixing, op9_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op2_token_planes, op4_simhash, op7_quality_rules, op8_mixing, op9_exact_dedup)}
 
 ORACLE_SQL = {
     "op9_exact_dedup": r"""
