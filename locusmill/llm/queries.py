@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, quality_rules, simhash, token_planes
+from . import exact_dedup, mixing, pii, quality_rules, simhash, token_planes
 from .common import table
 
 #: The public tokenizers' files; the folder comes with the public_tokenizers package.
@@ -26,6 +26,17 @@ def op2_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_planes.read_tokens(spark, path)
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_pii(table(spark, sf_dir, "documents"))
+    counts = [F.size(F.filter("base", _of_kind(k))).cast("long").alias(f"n_{k}") for k in pii.KINDS[:4]]
+    sha = F.sha2(pii.joined(F.col("base")).cast("binary"), 256)
+    return found.select("doc_id", *counts, sha.alias("base_sha256"), pii.joined(F.col("spans")).alias("spans"))
+
+
+def _of_kind(kind: str):
+    return lambda s: s["kind"] == kind
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(table(spark, sf_dir, "documents"), bits=3, shingle=3)
 
@@ -45,7 +56,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op2_token_planes, op4_simhash, op7_quality_rules, op8_mixing, op9_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op2_token_planes, op3_pii, op4_simhash, op7_quality_rules, op8_mixing, op9_exact_dedup)}
 
 ORACLE_SQL = {
     "op9_exact_dedup": r"""
