@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, pii, quality_rules, simhash, token_planes
+from . import exact_dedup, html_extract, mixing, pii, quality_rules, simhash, token_planes
 from .common import table
 
 #: The public tokenizers' files; the folder comes with the public_tokenizers package.
@@ -56,7 +56,11 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op2_token_planes, op3_pii, op4_simhash, op7_quality_rules, op8_mixing, op9_exact_dedup)}
+def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
+QUERIES = {f.__name__: f for f in (op2_token_planes, op3_pii, op4_simhash, op7_quality_rules, op8_mixing, op9_exact_dedup, op10_html_extract)}
 
 ORACLE_SQL = {
     "op9_exact_dedup": r"""
