@@ -68,3 +68,18 @@ def n_words(text: Column) -> Column:
 def crc_bucket(column: str, mod: int) -> Column:
     """crc32 of an id written as text, modulo `mod`; null ids fall in bucket -1."""
     return F.coalesce(F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(mod)), F.lit(-1))
+
+
+def training_rows(docs: DataFrame, labels: DataFrame, label: str, keep: Column, bound: int, id_col: str = "doc_id") -> DataFrame:
+    """Rows of `docs` with their label (0 or 1), of the ids that `keep` accepts.
+
+    The labelled ids go to the documents by broadcast, so they are bounded: beyond `bound` ids, a
+    sample of about that many by a hash of the id is used. Ids that repeat take the larger label,
+    null labels and null ids are left out.
+    """
+    own = labels.where(F.col(label).isNotNull() & F.col(id_col).isNotNull() & keep)
+    own = own.groupBy(F.col(id_col).alias("__id")).agg((F.max(label) > 0).cast("int").alias("label"))
+    n = own.count()
+    if n > bound:
+        own = own.where(F.pmod(F.xxhash64("__id", F.lit(11)), F.lit(1_000_000)) < int(1_000_000 * bound / n))
+    return docs.join(F.broadcast(own), docs[id_col] == F.col("__id")).drop("__id")

@@ -7,8 +7,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, html_extract, mixing, pii, quality_rules, simhash, token_planes
-from .common import table
+from . import exact_dedup, html_extract, mixing, pii, quality_rules, simhash, token_planes, toxicity
+from .common import crc_bucket, table
 
 #: The public tokenizers' files; the folder comes with the public_tokenizers package.
 WORD_BPE = "word_bpe_49k.json"
@@ -20,6 +20,13 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = crc_bucket("doc_id", 3) == 1
+    found = toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held)
+    predicted = (F.col("score") >= 0.7).cast("int")
+    return found.select("doc_id", held.alias("held_out"), "score", predicted.alias("predicted"), "evidence", F.size("passages").alias("n_passages"))
+
+
 def op2_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = token_planes.token_folder(spark, uuid.uuid4().hex)
     token_planes.write_tokens(table(spark, sf_dir, "documents"), path, tokenizer_path(WORD_BPE))
@@ -60,7 +67,7 @@ def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op2_token_planes, op3_pii, op4_simhash, op7_quality_rules, op8_mixing, op9_exact_dedup, op10_html_extract)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_token_planes, op3_pii, op4_simhash, op7_quality_rules, op8_mixing, op9_exact_dedup, op10_html_extract)}
 
 ORACLE_SQL = {
     "op9_exact_dedup": r"""
