@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, html_extract, mixing, pii, quality_rules, simhash, token_planes, toxicity
+from . import exact_dedup, html_extract, line_crf, mixing, pii, quality_rules, simhash, token_planes, toxicity
 from .common import crc_bucket, table
 
 #: The public tokenizers' files; the folder comes with the public_tokenizers package.
@@ -48,6 +48,13 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(table(spark, sf_dir, "documents"), bits=3, shingle=3)
 
 
+def op5_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = crc_bucket("doc_id", 5) == 0
+    found = line_crf.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held)
+    predicted = (F.col("score") >= 0.3).cast("int")
+    return found.select("doc_id", held.alias("held_out"), "score", predicted.alias("predicted"), "n_lines")
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.judge(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
     return judged.drop("text", "lang")
@@ -67,7 +74,7 @@ def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_token_planes, op3_pii, op4_simhash, op7_quality_rules, op8_mixing, op9_exact_dedup, op10_html_extract)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_token_planes, op3_pii, op4_simhash, op5_line_crf, op7_quality_rules, op8_mixing, op9_exact_dedup, op10_html_extract)}
 
 ORACLE_SQL = {
     "op9_exact_dedup": r"""
