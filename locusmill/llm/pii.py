@@ -236,11 +236,11 @@ def sanitised(text: str, spans: list) -> str:
 
 def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """`docs` with every text sanitised; ids have to be distinct."""
-    spans = find_pii(docs, id_col, text_col, **options).where(F.size("spans") > 0).select(F.col(id_col).alias("__id"), "spans")
+    spans = find_pii(docs, id_col, text_col, **options).where(F.size("spans") > 0).select(F.col(id_col).alias("__id"), F.col("spans").alias("__spans"))
     rows = docs.join(spans, docs[id_col] == spans["__id"], "left")
 
     @F.pandas_udf("string")
     def clean(texts, all_spans):
         return texts.combine(all_spans, lambda t, s: t if s is None or t is None else sanitised(t, list(s)))
 
-    return rows.withColumn(text_col, clean(F.col(text_col), F.col("spans"))).select(*docs.columns)
+    return rows.withColumn(text_col, clean(F.col(text_col), F.col("__spans"))).select(*docs.columns)

@@ -164,3 +164,9 @@ def judge(
     return out.drop("__text", "__words", "__chars", "__common_counts", "__lines", *[f"c_{c}" for c in BINS])
 
 
+
+
+def keep_good(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", **limits) -> DataFrame:
+    """The rows of `docs` that are kept, with all their columns whatever their names."""
+    rows = docs.select(F.struct("*").alias("__row"), F.col(text_col).alias("__t"), F.col(lang_col).alias("__l"))
+    return judge(rows, "__t", "__l", **limits).where("kept").select("__row.*")

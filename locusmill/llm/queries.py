@@ -7,11 +7,12 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, html_extract, line_crf, mixing, pii, quality_rules, simhash, token_planes, toxicity
+from . import exact_dedup, html_extract, line_crf, mixing, piece_sampling, pii, quality_rules, simhash, token_planes, toxicity
 from .common import crc_bucket, table
 
 #: The public tokenizers' files; the folder comes with the public_tokenizers package.
 WORD_BPE = "word_bpe_49k.json"
+PIECE_BPE = "piece_bpe_32k.model"
 
 
 def tokenizer_path(name: str) -> str:
@@ -55,6 +56,10 @@ def op5_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held.alias("held_out"), "score", predicted.alias("predicted"), "n_lines")
 
 
+def op6_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_sampling.sample_segmentations(table(spark, sf_dir, "documents"), tokenizer_path(PIECE_BPE), k=2)
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.judge(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
     return judged.drop("text", "lang")
@@ -74,7 +79,7 @@ def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_token_planes, op3_pii, op4_simhash, op5_line_crf, op7_quality_rules, op8_mixing, op9_exact_dedup, op10_html_extract)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_token_planes, op3_pii, op4_simhash, op5_line_crf, op6_piece_sampling, op7_quality_rules, op8_mixing, op9_exact_dedup, op10_html_extract)}
 
 ORACLE_SQL = {
     "op9_exact_dedup": r"""
