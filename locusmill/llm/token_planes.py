@@ -20,6 +20,7 @@ result; other columns are not looked at.
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -46,60 +47,72 @@ SHARDS = "part int, shard int, first long, n_ids long, payload binary"
 
 # ---------------------------------------------------------------- encoding
 class WordEncoder:
-    """Ids of a text as little-endian unsigned 32-bit bytes, for tokenizers that split at white space."""
+    """Ids of a text as little-endian unsigned 32-bit bytes, for a lower-casing tokenizer with word ends that drops white space.
+
+    Its split makes one piece of a run of letters and one of a run of other signs, and lower case
+    does not depend on neighbours within ASCII and Latin-1. So a word of such letters with signs
+    after it is the letters' ids and the signs' ids; any other word is encoded on its own.
+    """
+
+    #: Letters that have one lower case of one letter.
+    latin = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+    signs_after = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        import regex
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.memory: dict[str, bytes] = {}
-        ends = [i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]
+        # For letters in lower case, neither the normaliser nor the split has anything to do.
+        self.lower = Tokenizer.from_file(path)
+        self.lower.normalizer = None
+        self.lower.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        self.words: dict[bytes, bytes] = {}
+        self.letters: dict[bytes, bytes] = {}
+        self.signs: dict[bytes, bytes] = {b"": b""}
+        #: Ids that end a piece.
         self.ends = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
-        self.ends[ends] = True
-        #: The tokenizer's own split, for words of Latin-1 characters.
-        self.pieces = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+        self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
+
+    def _whole(self, text: bytes) -> bytes:
+        return np.asarray(self.tokenizer.encode(text.decode(), add_special_tokens=False).ids, "<u4").tobytes()
 
-    def encode(self, text: str) -> bytes:
-        words = _split(text)
-        found = list(map(self.memory.get, words))
+    def encode(self, text: bytes) -> bytes:
+        words = text.split()  # of bytes: at ASCII white space alone, which is inside no special token
+        found = list(map(self.words.get, words))
         if None in found:
-            if len(self.memory) > CACHE_WORDS:
-                self.memory.clear()
-            self._learn({w for w in words if w not in self.memory})
-            found = map(self.memory.__getitem__, words)
+            new = {w for w, f in zip(words, found) if f is None}
+            if len(self.words) + len(new) > CACHE_WORDS:
+                self.words.clear(), self.letters.clear()
+                new, found = set(words), [None] * len(words)
+            self._learn(new)
+            known = self.words
+            found = [known[w] if f is None else f for w, f in zip(words, found)]
         return b"".join(found)
 
-    def _learn(self, words: set[str]) -> None:
-        together, alone = [], []
+    def _learn(self, words: set[bytes]) -> None:
+        split = []
         for w in words:
-            (together if w[0] != "<" and "<|" not in w and max(w) <= "\xff" and not any(c in w for c in "\x85\xa0\x1c\x1d\x1e\x1f") else alone).append(w)
-        for w, e in zip(alone, self.tokenizer.encode_batch_fast(alone, add_special_tokens=False)) if alone else ():
-            self.memory[w] = np.asarray(e.ids, "<u4").tobytes()
-        for i in range(0, len(together), 2000):
-            some = together[i : i + 2000]
-            ids = np.asarray(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
-            # Every piece of a word ends in a token that ends a word.
-            n = np.array([1 if w.isalpha() else len(self.pieces.findall(w.lower())) for w in some])
-            ends = np.flatnonzero(self.ends[ids]) + 1
-            if n.sum() != len(ends):
-                for w in some:
-                    self.memory[w] = np.asarray(self.tokenizer.encode(w, add_special_tokens=False).ids, "<u4").tobytes()
-                continue
-            data, a = ids.tobytes(), 0
-            for w, b in zip(some, (ends[np.cumsum(n) - 1] * 4).tolist()):
-                self.memory[w] = data[a:b]
-                a = b
-
-
-def _split(text: str) -> list[str]:
-    """Words between ASCII white space, none inside a special token."""
-    if text.isascii() and not any(c in text for c in "\x1c\x1d\x1e\x1f"):
-        return text.split()
-    for c in "\t\n\x0b\x0c\r":
-        text = text.replace(c, " ")
-    return [w for w in text.split(" ") if w]
+            stem = w.rstrip(self.signs_after)
+            if stem.isalpha():  # ASCII letters
+                split.append((w, stem.lower(), w[len(stem) :]))
+            elif stem and self.latin.fullmatch(text := stem.decode()):
+                split.append((w, text.lower().encode(), w[len(stem) :]))
+            else:
+                self.words[w] = self._whole(w)
+        letters, signs = self.letters, self.signs
+        new = list({a for _, a, _ in split}.difference(letters))
+        for i in range(0, len(new), 2000):
+            some = new[i : i + 2000]
+            ids = np.asarray(self.lower.encode(b" ".join(some).decode(), add_special_tokens=False).ids, "<u4")
+            cuts = ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
+            data = ids.tobytes()
+            pieces = [data[a:b] for a, b in zip([0, *cuts], cuts)] if len(cuts) == len(some) else map(self._whole, some)
+            letters.update(zip(some, pieces))
+        for w, stem, after in split:
+            if after not in signs:
+                signs[after] = self._whole(after)
+            self.words[w] = letters[stem] + signs[after]
 
 
 _encoders: dict[str, WordEncoder] = {}
@@ -207,7 +220,7 @@ def write_tokens(
             return pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "shard": pa.array([shard], pa.int32()), "first": pa.array([first], pa.int64()), "n_ids": pa.array([held], pa.int64()), "payload": pa.array([payload], pa.binary())})
 
         for batch in batches:
-            for name, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for name, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary())):
                 data = encoder.encode(text.as_py()) + end
                 ids.append(data)
                 names.append(name)
