@@ -14,6 +14,8 @@ table gives an empty result. Rows are judged one by one, so ties and repeated ro
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -169,4 +171,7 @@ def judge(
 def keep_good(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", **limits) -> DataFrame:
     """The rows of `docs` that are kept, with all their columns whatever their names."""
     rows = docs.select(F.struct("*").alias("__row"), F.col(text_col).alias("__t"), F.col(lang_col).alias("__l"))
-    return judge(rows, "__t", "__l", **limits).where("kept").select("__row.*")
+    judged = judge(rows, "__t", "__l", **limits).select("__row", "kept")
+    # A filter goes down through projections and would repeat their expressions; it stops at a metric.
+    judged = judged.observe(f"judged_{uuid.uuid4().hex}", F.count(F.lit(1)).alias("documents"), F.count_if("kept").alias("kept"))
+    return judged.where("kept").select("__row.*")
