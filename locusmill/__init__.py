@@ -1,0 +1 @@
+"""Molecular-QTL fine-mapping and its post-analysis on Spark DataFrames."""
