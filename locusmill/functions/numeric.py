@@ -57,7 +57,7 @@ def _label(value: Column) -> Column:
     """A number at three significant digits, as short as it goes."""
     digits = F.greatest(F.lit(0), F.lit(2) - F.floor(F.log10(F.greatest(F.abs(value), F.lit(1e-300)))).cast("int"))
     scale = F.pow(F.lit(10.0), digits)
-    return F.replace(F.format_number(F.round(value * scale) / scale, "0.##########"), F.lit(","), F.lit(""))
+    return F.regexp_replace((F.round(value * scale) / scale).cast("decimal(30,12)").cast("string"), r"\.?0+$", "")
 
 
 def equal_width_bin(value: Column, low: Column, high: Column, bins: int = 5) -> Column:
