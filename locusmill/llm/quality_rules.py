@@ -104,7 +104,7 @@ def js_distance(counts: Column, reference: Column) -> Column:
         return F.when(x > 0, x * F.log2(x / m)).otherwise(0.0)
 
     terms = F.zip_with(p, reference, lambda x, q: (part(x, (x + q) / 2) + part(q, (x + q) / 2)) / 2)
-    return F.sqrt(F.greatest(F.aggregate(terms, F.lit(0.0), lambda a, x: a + x), F.lit(0.0)))
+    return F.when(total > 0, F.sqrt(F.greatest(F.aggregate(terms, F.lit(0.0), lambda a, x: a + x), F.lit(0.0))))
 
 
 def _literal(values: list[float]) -> Column:

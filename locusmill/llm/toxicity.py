@@ -92,7 +92,7 @@ def fit(train: DataFrame, text_col: str, prior: float, least_z: float, least_odd
     n1, n0 = total["toxic"], total["clean"]
     mass = max(10.0, prior * (n1 + n0))
     a = (F.col("toxic") + F.col("clean")) * F.lit(mass / (n1 + n0))
-    odds = lambda y, n: F.log((y + a) / (n + mass - y - a))
+    odds = lambda y, n: F.log((y + a) / F.greatest(n + mass - y - a, F.lit(1e-9)))
     delta = odds(F.col("toxic"), n1) - odds(F.col("clean"), n0)
     z = delta / F.sqrt(1 / (F.col("toxic") + a) + 1 / (F.col("clean") + a))
     good = counts.where((F.col("unit") != "") & (F.col("toxic") >= least_docs)).select("unit", delta.alias("delta"), z.alias("z"))
