@@ -14,16 +14,23 @@ def connected_components(edges: DataFrame, left: str = "u", right: str = "v", ma
     both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct().checkpoint()
     labels = both.groupBy(F.col("u").alias("node")).agg(F.least(F.min("v"), F.col("u")).alias("component")).checkpoint()
     for _ in range(max_rounds):
-        near = both.join(labels, both["v"] == labels["node"]).groupBy("u").agg(F.min("component").alias("least"))
-        moved = labels.join(near, labels["node"] == near["u"]).select("node", F.least("component", "least").alias("new"), F.col("component").alias("old"))
-        parent = moved.select(F.col("node").alias("p"), F.col("new").alias("up"))
-        moved = moved.join(parent, moved["new"] == parent["p"], "left").select("node", F.least("new", "up").alias("component"), "old").checkpoint()
+        # A hub stands in many edges, and the least node is the label of many: both joins are salted.
+        near = _salted(both, labels.withColumnRenamed("node", "v"), "v", "u").groupBy("u").agg(F.min("component").alias("least"))
+        moved = labels.join(near, labels["node"] == near["u"]).select("node", F.least("component", "least").alias("new"), F.col("component").alias("old")).checkpoint()
+        parent = moved.select(F.col("node").alias("new"), F.col("new").alias("up"))
+        moved = _salted(moved, parent, "new", "node").select("node", F.least("new", "up").alias("component"), "old").checkpoint()
         labels = moved.select("node", "component")
         if moved.where("component <> old").isEmpty():
             return labels
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")
 
 
+def _salted(rows: DataFrame, table: DataFrame, key: str, by: str, salts: int = 16) -> DataFrame:
+    left = rows.withColumn("__salt", F.pmod(F.hash(by), F.lit(salts)))
+    right = table.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return left.join(right, [key, "__salt"], "left").drop("__salt")
+
+
 def _checkpoint_dir(spark) -> None:
     if not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()):
         import tempfile

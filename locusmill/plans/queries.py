@@ -584,3 +584,56 @@ def cross_validation(spark, d):
     y = g.where("position = 5000").select(F.lit("t1").alias("phenotype_id"), F.transform("dosage", lambda x, i: x + (F.xxhash64(i) % 100) / 100.0).alias("values"))
     n = y.select(F.size("values")).first()[0]
     return crossval.cross_validate(y, packed, pd.DataFrame({"fold": [i % 3 + 1 for i in range(n)]}), [0.0, 0.01])
+
+
+# ---------------------------------------------------------------- reshaping and small verbs
+@query("""SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber, sample_id, sum(value) AS value FROM (SELECT l_orderkey, l_linenumber, 'l_quantity' AS sample_id, l_quantity AS value FROM lineitem UNION ALL SELECT l_orderkey, l_linenumber, 'l_tax', round(l_tax, 2) FROM lineitem) WHERE l_linenumber = 1 GROUP BY ALL HAVING count(*) = 1""")
+def to_long(spark, d):
+    x = table(spark, d, "lineitem").where("l_linenumber = 1").select("l_orderkey", big(F.col("l_linenumber")).alias("l_linenumber"), "l_quantity", F.round("l_tax", 2).alias("l_tax"))
+    long = reshape.to_long(x, ["l_orderkey", "l_linenumber"], ["l_quantity", "l_tax"])
+    return long.groupBy("l_orderkey", "l_linenumber", "sample_id").agg(F.sum("value").alias("value"), F.count(F.lit(1)).alias("n")).where("n = 1").drop("n")
+
+
+@query("SELECT 'n' || (c_custkey % 10) AS sample_id, max(c_acctbal) FILTER (c_mktsegment = 'BUILDING' AND c_custkey < 100) AS building, max(c_acctbal) FILTER (c_mktsegment = 'MACHINERY' AND c_custkey < 100) AS machinery FROM customer GROUP BY 1")
+def transpose_matrix(spark, d):
+    top = lambda i: F.max(F.when((F.col("c_custkey") < 100) & (F.col("c_custkey") % 10 == i), F.col("c_acctbal"))).alias(f"n{i}")
+    wide = table(spark, d, "customer").groupBy(F.lower("c_mktsegment").alias("ID")).agg(*[top(i) for i in range(10)])
+    return reshape.transpose(wide.where("ID in ('building', 'machinery')"), "ID")
+
+
+@query("SELECT p_partkey, CASE p_size % 3 WHEN 0 THEN p_size WHEN 1 THEN p_size * 2 END::BIGINT AS value FROM part")
+def pick_by_name(spark, d):
+    p = table(spark, d, "part")
+    name = F.element_at(F.array(F.lit("a"), F.lit("b"), F.lit("none")), F.col("p_size") % 3 + 1)
+    return p.select("p_partkey", reshape.pick_by_name({"a": big(F.col("p_size")), "b": big(F.col("p_size") * 2)}, name).alias("value"))
+
+
+@query("SELECT s_suppkey::VARCHAR AS id FROM supplier UNION ALL SELECT 'skip'")
+def skip_row(spark, d):
+    from ..sources.sinks import with_skip_row
+
+    return with_skip_row(table(spark, d, "supplier").select(F.col("s_suppkey").cast("string").alias("id")), "id")
+
+
+@query("SELECT p_partkey, list_sort(list_distinct(list(l_suppkey)))[1] AS first_sample, count(*)::BIGINT AS n FROM part JOIN lineitem ON l_partkey = p_partkey GROUP BY 1")
+def align_samples(spark, d):
+    rows = table(spark, d, "lineitem").select(F.col("l_partkey").alias("p_partkey"), "l_suppkey")
+    return select.pair_samples(rows, table(spark, d, "part").select("p_partkey"), "p_partkey").groupBy("p_partkey").agg(F.min("l_suppkey").alias("first_sample"), F.count(F.lit(1)).alias("n"))
+
+
+@query("WITH v AS (SELECT l_partkey AS v, max(l_quantity) FILTER (l_suppkey % 4 = 0) AS a, max(l_quantity) FILTER (l_suppkey % 4 = 1) AS b, max(l_quantity) FILTER (l_suppkey % 4 = 2) AS c FROM lineitem GROUP BY 1) SELECT v, a AS s0, b AS s1, c AS s2 FROM v WHERE a IS NOT NULL OR b IS NOT NULL OR c IS NOT NULL")
+def dosage_arrays(spark, d):
+    rows = table(spark, d, "lineitem").groupBy(F.col("l_partkey").alias("v"), (F.col("l_suppkey") % 4).cast("string").alias("s")).agg(F.max("l_quantity").alias("q"))
+    out = genotypes.to_arrays(rows, ["0", "1", "2"], "v", "s", "q")
+    return out.select("v", *[F.get("dosage", F.lit(i)).alias(f"s{i}") for i in range(3)])
+
+
+@query("""WITH x AS (SELECT o_custkey, o_orderkey, o_totalprice, count(DISTINCT o_orderpriority) OVER (PARTITION BY o_custkey) AS n FROM orders) SELECT o_custkey, arg_max(o_orderkey, (o_totalprice, o_orderkey)) AS top, any_value(n)::BIGINT AS n_priorities FROM x GROUP BY 1""")
+def top_of_component(spark, d):
+    o = table(spark, d, "orders")
+    return o.groupBy("o_custkey").agg(F.max_by("o_orderkey", F.struct("o_totalprice", "o_orderkey")).alias("top"), F.countDistinct("o_orderpriority").alias("n_priorities"))
+
+
+@query("SELECT event_type, count(DISTINCT user_id)::BIGINT AS n_users, count(*)::BIGINT AS n, max(user_id % 5) + 1 AS folds FROM events GROUP BY 1")
+def summary_counts(spark, d):
+    return table(spark, d, "events").groupBy("event_type").agg(F.countDistinct("user_id").alias("n_users"), F.count(F.lit(1)).alias("n"), (F.max(F.col("user_id") % 5) + 1).alias("folds"))
