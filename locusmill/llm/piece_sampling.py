@@ -45,12 +45,18 @@ from pyspark.sql import functions as F
 
 from .common import text_of
 
-CACHE_UNITS = 400_000
-CACHE_WORDS = 600_000
+CACHE_UNITS = 350_000
+#: Words remembered per unit of that limit.
+WORDS_PER_UNIT = 1.5
+#: Units up to this length get their tables together; the weights of all their ways fit a double.
+TOGETHER = 48
 #: Nodes at the front of a path that get bounds of their own; what lies behind them is one set.
 FRONT = 64
 #: Texts are processed in blocks of about so many characters.
-BLOCK_CHARS = 4_000_000
+BLOCK_CHARS = 2_000_000
+#: Resolution of a draw.
+STEPS = 2.0**28
+MOST_NODES = 6_000_000
 SPACE = "▁"
 _WORDS = re.compile(r" *[^ \n▁]+| +|\n|▁")
 _U64 = np.uint64
@@ -62,11 +68,19 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U64(31))
 
 
+def _place_hash(key: np.ndarray, sample: int, place) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return _mix(np.asarray(key, np.uint64) + np.asarray(place, np.uint64) * _U64(0x9E3779B97F4A7C15) + _U64((sample + 1) * 0x2545F4914F6CDD1D & (2**64 - 1)))
+
+
+def _step_hash(base: np.ndarray, step) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return _mix(base + (np.asarray(step, np.uint64) + _U64(1)) * _U64(0xD1B54A32D192ED03))
+
+
 def uniform(key: np.ndarray, sample: int, place, step) -> np.ndarray:
     """Numbers in (0, 1) that are a function of their arguments."""
-    with np.errstate(over="ignore"):
-        at = np.asarray(place, np.uint64) * _U64(0x9E3779B97F4A7C15) + np.asarray(step, np.uint64) * _U64(0xD1B54A32D192ED03) + _U64((sample + 1) * 0x2545F4914F6CDD1D & (2**64 - 1))
-        h = _mix(np.asarray(key, np.uint64) ^ _mix(at))
+    h = _step_hash(_place_hash(key, sample, place), step)
     return ((h >> _U64(11)).astype(np.float64) + 0.5) * 2.0**-53
 
 
@@ -94,45 +108,186 @@ class Lattices:
             elif not (sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i)):
                 self.weight[piece] = i, -theta * math.log(min(-sp.get_score(i), float(n)) + 2.7)
                 self.bytes_of[i] = piece.replace(SPACE, " ").encode()
+        self._trie()
         #: Every beginning of a piece: (its id, its weight), id -1 where it only begins longer ones.
         self.begins: dict[str, tuple[int, float]] = {p[:k]: (-1, 0.0) for p in self.weight for k in range(1, len(p))}
         self.begins |= {p: (i, math.exp(w)) for p, (i, w) in self.weight.items()}
-        self.inside = {p[i : i + 2] for p in self.weight for i in range(len(p) - 1)}
-        if any("\n" in p for p in self.weight) or any(p[0] != SPACE and p[1] == SPACE for p in self.inside):
+        inside = {p[i : i + 2] for p in self.weight for i in range(len(p) - 1)}
+        if any("\n" in p for p in self.weight) or any(p[0] != SPACE and p[1] == SPACE for p in inside):
             raise ValueError("pieces that cross words or lines need units of whole texts")
+        step, code = self.trie_step, lambda c: int(self.letter[ord(c)])
+        #: Pairs of characters that some piece has inside it.
+        self.pair_key = np.array(sorted(code(p[0]) * step + code(p[1]) for p in inside) + [np.iinfo(np.int64).max])
         self.flat = np.frombuffer(b"".join(self.bytes_of), np.uint8)
         self.flat_len = np.array([len(b) for b in self.bytes_of])
         self.flat_at = np.concatenate(([0], np.cumsum(self.flat_len)[:-1]))
         self.clear()
 
+    def _trie(self) -> None:
+        """The pieces as a trie in arrays: a hash table of its edges by (node, character), and each node's piece."""
+        letters = sorted({c for p in self.weight for c in p})
+        self.letter = np.zeros(0x110000, np.int32)  # 0: in no piece
+        self.letter[[ord(c) for c in letters]] = np.arange(1, len(letters) + 1)
+        nodes, edges = {"": 0}, []
+        for p in self.weight:
+            for k in range(1, len(p) + 1):
+                if p[:k] not in nodes:
+                    nodes[p[:k]] = len(nodes)
+                    edges.append((nodes[p[: k - 1]] * (len(letters) + 1) + int(self.letter[ord(p[k - 1])]), nodes[p[:k]]))
+        self.trie_step = len(letters) + 1
+        bits = (4 * len(edges)).bit_length()
+        self.trie_shift = _U64(64 - bits)
+        self.trie_key, self.trie_node = np.full((1 << bits) + 64, -1), np.zeros((1 << bits) + 64, np.int64)
+        for key, node in edges:
+            slot = int(self._slot(np.array([key]))[0])
+            while self.trie_key[slot] >= 0:
+                slot += 1
+            self.trie_key[slot], self.trie_node[slot] = key, node
+        self.trie_piece, self.trie_weight = np.full(len(nodes), -1), np.zeros(len(nodes))
+        for p, (i, w) in self.weight.items():
+            self.trie_piece[nodes[p]], self.trie_weight[nodes[p]] = i, math.exp(w)
+
+    def _slot(self, key: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return ((key.astype(np.uint64) * _U64(0x9E3779B97F4A7C15)) >> self.trie_shift).astype(np.int64)
+
+    def _child(self, key: np.ndarray) -> np.ndarray:
+        """The trie's node by (node, character), -1 where there is none."""
+        slot = self._slot(key)
+        there = self.trie_key.take(slot)
+        some = np.flatnonzero((there != key) & (there >= 0))
+        while len(some):
+            slot[some] += 1
+            there = self.trie_key[slot[some]]
+            some = some[(there != key[some]) & (there >= 0)]
+        return np.where(self.trie_key.take(slot) == key, self.trie_node.take(slot), -1)
+
     def clear(self) -> None:
-        self.words: dict[str, tuple[int, ...]] = {}
+        self.words: dict[str | tuple[str], int] = {}
+        self.word_at, self.word_units = array("i", [0]), array("i")  # the units of each word
         self.units: dict[str, int] = {}
         self.start = array("i")  # the first node of each unit
         self.first = array("i", [0])  # the first edge of each node, and the end
-        #: Per edge: piece, node after it (-1: the unit ends), share of its node's weight, and what follows from it.
-        self.piece, self.next, self.share = array("i"), array("i"), array("d")
-        self.logq, self.upto = array("d"), array("d")
-
-    def units_of(self, text: str) -> np.ndarray:
-        """The units of a text, with the space that stands before it."""
-        words, known = _WORDS.findall(" " + text), self.words
-        found = list(map(known.get, words))
-        if None in found:
-            for w in {w for w, f in zip(words, found) if f is None}:
-                known[w] = (self._literal(),) if w == SPACE else tuple(self._unit(u) for u in self._split(w))
-            found = list(map(known.__getitem__, words))
-        return np.fromiter(chain.from_iterable(found), np.int32)
-
-    def _split(self, word: str) -> list[str]:
-        word = word.replace(" ", SPACE)
-        out, a = [], 0
-        for i in range(1, len(word)):
-            if word[i - 1 : i + 1] not in self.inside:
-                out.append(word[a:i])
-                a = i
-        out.append(word[a:])
-        return out
+        #: Per edge: piece, node after it (-1: the unit ends), log-probability and place.
+        self.piece, self.next, self.logq, self.upto = array("H"), array("i"), array("f"), array("d")
+        self.share = array("d")  # weights of the edges that have no log-probability yet
+
+    def units_of(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The units of all texts, with the space that stands before each, and how many each text has; empty texts have none."""
+        known, found, new, lacking = self.words, [], set(), []
+        words = [self._words(text) for text in texts]
+        for own in words:
+            ids = list(map(known.get, own))
+            if None in ids:
+                new.update([w for w, i in zip(own, ids) if i is None])
+                lacking.append(len(found))
+            found.append(ids)
+        if new:
+            self._learn(list(new))
+            for t in lacking:
+                found[t] = list(map(known.__getitem__, words[t]))
+        n_words = np.fromiter(map(len, found), np.int64, len(found))
+        ids = np.fromiter(chain.from_iterable(found), np.int64, int(n_words.sum()))
+        # The words' units, one word after the other.
+        at = np.array(self.word_at, np.int64)
+        size = at.take(ids + 1) - at.take(ids)
+        ends = np.cumsum(size)
+        units = np.array(self.word_units).take(np.repeat(at.take(ids) - ends + size, size) + np.arange(ends[-1] if len(ends) else 0))
+        upto = np.concatenate(([0], ends))
+        cuts = np.concatenate(([0], np.cumsum(n_words)))
+        return units, np.diff(upto[cuts])
+
+    @staticmethod
+    def _words(text: str) -> list:
+        """What stands between single spaces, each with the space before it left out; where there are other
+        spaces or a U+2581, the parts with all their spaces, in a tuple."""
+        if not text:
+            return []
+        if "  " in text or text[0] == " " or text[-1] == " " or SPACE in text:
+            return [(w,) for w in _WORDS.findall(" " + text)]
+        return text.split(" ")
+
+    def _learn(self, words: list) -> None:
+        """Splits new words where no piece crosses and gives their units tables."""
+        literal = (SPACE,)
+        words = [w for w in words if w != literal] + [w for w in words if w == literal]
+        plain = [w[0] if w.__class__ is tuple else " " + w for w in (words[:-1] if words[-1] == literal else words)]
+        text = "".join(plain).replace(" ", SPACE)
+        size = np.fromiter(map(len, plain), np.int64, len(plain))
+        c = self.letter[np.frombuffer(text.encode("utf-32-le"), np.uint32)].astype(np.int64)
+        key = c[:-1] * self.trie_step + c[1:]
+        cut = np.ones(len(text) + 1, bool)
+        cut[1:-1] = self.pair_key[np.searchsorted(self.pair_key, key)] != key
+        cut[np.cumsum(size)] = True
+        places = np.flatnonzero(cut)
+        units = [text[a:b] for a, b in zip(places.tolist(), places[1:].tolist())]
+        n_units = np.add.reduceat(cut[:-1], np.cumsum(size) - size, dtype=np.int64) if len(plain) else size
+        self._build(set(units).difference(self.units))
+        if len(plain) < len(words):
+            self._literal()
+            self._finish()
+            units.append("")
+            n_units = np.append(n_units, 1)
+        self.words.update(zip(words, range(len(self.words), len(self.words) + len(words))))
+        self.word_units.extend(map(self.units.__getitem__, units))
+        self.word_at.frombytes((np.cumsum(n_units) + self.word_at[-1]).astype(np.int32).tobytes())
+
+    def _build(self, units: set[str]) -> None:
+        """Tables of new units: together where their characters are in the vocabulary, else one by one."""
+        letter, own = self.letter, self.weight.keys()
+        together = [u for u in units if len(u) <= TOGETHER and own >= set(u)]
+        for u in units.difference(together):
+            self._unit(u)
+        self._finish()
+        if not together:
+            return
+        size = np.array([len(u) for u in together])
+        chars = letter[np.frombuffer("".join(together).encode("utf-32-le"), np.uint32)].astype(np.int64)
+        end = np.repeat(np.cumsum(size), size)  # of its unit, for each position
+        position = np.arange(len(chars))
+        # Pieces from every position: all positions go down the trie together.
+        live, node, depth, found = position, np.zeros(len(chars), np.int64), 0, []
+        while len(live):
+            node = self._child(node * self.trie_step + chars.take(live + depth))
+            ok = node >= 0
+            live, node, depth = live[ok], node[ok], depth + 1
+            piece = self.trie_piece[node]
+            some = piece >= 0
+            found.append((live[some], depth, piece[some], self.trie_weight[node[some]]))
+            on = live + depth < end[live]
+            live, node = live[on], node[on]
+        # Nodes by their distance from the unit's end, so that each depends on nodes before it.
+        left = end - position
+        order = np.argsort(left, kind="stable")
+        number = np.empty(len(chars), np.int64)
+        number[order] = position
+        count = np.zeros(len(chars), np.int64)
+        for at, _, _, _ in found:
+            count[number[at]] += 1
+        first = np.concatenate(([0], np.cumsum(count)))
+        piece, after, weight, filled = np.empty(first[-1], np.uint16), np.empty(first[-1], np.int64), np.empty(first[-1]), first[:-1].copy()
+        number = np.append(number, -1)
+        for at, depth, ids, w in found:
+            own = number[at]
+            slot = filled[own]
+            filled[own] += 1
+            piece[slot], weight[slot] = ids, w
+            after[slot] = np.where(at + depth < end[at], number[np.minimum(at + depth, len(chars))], -1)
+        back = np.ones(len(chars) + 1)  # the last is the end of a unit
+        groups = np.concatenate(([0], np.cumsum(np.bincount(left)[1:])))
+        for a, b in zip(groups, groups[1:]):
+            if a < b:
+                weight[first[a] : first[b]] *= back[after[first[a] : first[b]]]
+                back[a:b] = np.add.reduceat(weight[first[a] : first[b]], first[a:b] - first[a])
+        node, base = len(self.first) - 1, len(self.piece)
+        starts = number[np.cumsum(size) - size] + node
+        self.units.update(zip(together, range(len(self.start), len(self.start) + len(together))))
+        self.start.frombytes(starts.astype(np.int32).tobytes())
+        self.piece.frombytes(piece.tobytes())
+        self.next.frombytes(np.where(after >= 0, after + node, -1).astype(np.int32).tobytes())
+        self.share.frombytes(weight.tobytes())
+        self.first.frombytes((first[1:] + base).astype(np.int32).tobytes())
+        self._finish()
 
     def _literal(self) -> int:
         """The unit of a U+2581 in a text, which is not a space."""
@@ -185,33 +340,33 @@ class Lattices:
         return following
 
     def _finish(self) -> None:
-        """Log-probabilities and cumulative places of the edges that came since the last call."""
-        done = len(self.logq)
-        if done == len(self.piece):
+        """Log-probabilities and cumulative places of the edges that have none yet."""
+        if not self.share:
             return
-        first = np.frombuffer(self.first, np.int32)
+        done = len(self.logq)
+        first = np.array(self.first)
         node = int(np.searchsorted(first, np.int32(done)))
         at, n = first[node:-1].astype(np.int64) - done, np.diff(first[node:])
-        share = np.frombuffer(self.share, np.float64)[done:]
-        total = np.repeat(np.add.reduceat(share, at), n)
-        q = share / total
+        share = np.array(self.share)
+        q = share / np.repeat(np.add.reduceat(share, at), n)
         run = np.cumsum(q)
-        upto = np.minimum(run - np.repeat(run[at] - q[at], n), 1.0)
+        # In steps of 2**-28, so that with up to 2**24 nodes no draw depends on a node's number.
+        upto = np.floor(np.minimum(run - np.repeat(run[at] - q[at], n), 1.0) * STEPS) / STEPS
         upto[at + n - 1] = 1.0
-        self.logq.frombytes(np.where(np.repeat(n, n) == 1, 0.0, np.log(q)).tobytes())
+        self.logq.frombytes(np.where(np.repeat(n, n) == 1, 0.0, np.log(q)).astype(np.float32).tobytes())
         self.upto.frombytes((upto + np.repeat(np.arange(node, node + len(n)), n)).tobytes())
+        del self.share[:]
 
     def decode(self, ids: np.ndarray) -> bytes:
         """The bytes of pieces, the space before the text included."""
-        size = self.flat_len[ids]
+        size = self.flat_len.take(ids)
         ends = np.cumsum(size)
-        return self.flat[np.repeat(self.flat_at[ids] - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)].tobytes()
+        return self.flat.take(np.repeat(self.flat_at.take(ids) - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)).tobytes()
 
     def tables(self) -> Tables:
         """Views of the tables, which cannot grow while these are held."""
-        self._finish()
-        ints = [np.frombuffer(x, np.int32) for x in (self.start, self.first, self.piece, self.next)]
-        return Tables(*ints, *(np.frombuffer(x, np.float64) for x in (self.logq, self.upto)))
+        kinds = {"i": np.int32, "H": np.uint16, "f": np.float32, "d": np.float64}
+        return Tables(*(np.frombuffer(x, kinds[x.typecode]) for x in (self.start, self.first, self.piece, self.next, self.logq, self.upto)))
 
 
 @dataclass
@@ -227,20 +382,29 @@ class Tables:
         """From each node to the end of its unit: how many edges, and all edges in order."""
         n = np.zeros(len(node), np.int64)
         live = np.flatnonzero(node >= 0)
-        live = live[np.argsort(node[live], kind="stable")]  # neighbours in the tables one after the other
-        at, step, steps = node[live], 0, []
+        live = live[np.argsort(node[live])]  # neighbours in the tables one after the other
+        base = _place_hash(key[live], sample, place[live])
+        at, step, steps = node[live].astype(np.int64), 0, []
         while len(live):
-            u = np.minimum(uniform(key[live], sample, place[live], step), 1 - 1e-8)
-            edge = np.searchsorted(self.upto, at + u, side="right").astype(np.int32)
+            edge = self.first.take(at).astype(np.int64)
+            some = np.flatnonzero(self.first.take(at + 1) - edge > 1)  # the others have nothing to draw
+            u = (_step_hash(base.take(some), step) >> _U64(36)).astype(np.float64)
+            aim = at.take(some) + (u + 0.5) / STEPS
+            here = edge.take(some)
+            while len(some):
+                on = np.flatnonzero(self.upto.take(here) <= aim)
+                some, aim, here = some.take(on), aim.take(on), here.take(on) + 1
+                edge[some] = here
             steps.append((live, edge))
+            at = self.next.take(edge)
+            on = np.flatnonzero(at >= 0)
             n[live] += 1
-            at = self.next[edge]
-            on = at >= 0
-            live, at, step = live[on], at[on], step + 1
+            live, at, base, step = live.take(on), at.take(on).astype(np.int64), base.take(on), step + 1
         ends = np.cumsum(n)
         out = np.empty(ends[-1] if len(ends) else 0, np.int32)
+        begin = ends - n
         for k, (occ, edge) in enumerate(steps):
-            out[ends[occ] - n[occ] + k] = edge
+            out[begin.take(occ) + k] = edge
         return n, out
 
 
@@ -281,7 +445,7 @@ class _Search:
 
     def _enter_rear(self, value: float, i: int, before: float, path: Sample) -> tuple[int, float, tuple[int, ...]]:
         """The bound of a rear is that of one of its nodes, by mass; the others lie below."""
-        q = self.t.logq[path.edges[i:]]
+        q = self.t.logq[path.edges[i:]].astype(np.float64)
         upto = before + np.concatenate(([0.0], np.cumsum(q)[:-1]))
         with np.errstate(divide="ignore"):
             mu = upto + np.log(-np.expm1(q))
@@ -327,7 +491,7 @@ def _left_aside(tables: Tables, keys: np.ndarray, paths: list[Sample], ats: list
     mask = np.arange(width) < front[:, None]
     edges = np.zeros((len(paths), width), np.int32)
     edges[mask] = np.concatenate([p.edges[a : a + f] for p, a, f in zip(paths, ats, front.tolist())])
-    q = np.where(mask, tables.logq[edges], 0.0)
+    q = np.where(mask, tables.logq[edges], 0.0).astype(np.float64)
     upto = before[:, None] + np.cumsum(q, axis=1)
     behind = upto[:, -1]
     upto = np.concatenate((before[:, None], upto[:, :-1]), axis=1)
@@ -350,22 +514,21 @@ def _left_aside(tables: Tables, keys: np.ndarray, paths: list[Sample], ats: list
 
 def sample_block(lattices: Lattices, texts: list[str], keys: np.ndarray, k: int) -> tuple[Tables, list[list[Sample]]]:
     """Up to k segmentations of each text, in the order of their perturbed values; `keys`: uint64 per text."""
-    units = [lattices.units_of(t) if t else np.zeros(0, np.int32) for t in texts]
+    units, sizes = lattices.units_of(texts)
     tables = lattices.tables()
-    starts = [tables.start[u] for u in units]
+    start = tables.start[units]
+    cuts = np.concatenate(([0], np.cumsum(sizes)))
+    place = np.arange(len(units)) - np.repeat(cuts[:-1], sizes)
     lead = -np.log(-np.log(uniform(keys, 1 << 21, 0, 0)))
-    n, edges = tables.draw(np.concatenate([*starts, np.zeros(0, np.int32)]), np.repeat(keys, [len(u) for u in units]), np.concatenate([*(np.arange(len(u)) for u in units), np.zeros(0, np.int64)]), 0)
+    n, edges = tables.draw(start, np.repeat(keys, sizes), place, 0)
+    ends = np.concatenate(([0], np.cumsum(n)))[cuts]
+    of_edge = np.repeat(place, n)
     samples: list[list[Sample]] = []
     searches = []
-    ends = np.concatenate(([0], np.cumsum(n)))
-    a = 0
-    for u, key, value in zip(units, keys, lead.tolist()):
-        b = a + len(u)
-        own = edges[ends[a] : ends[b]]
-        path = Sample(own, np.repeat(np.arange(len(u)), n[a:b]), float(tables.logq[own].sum()), value)
-        samples.append([path])
+    logp = np.add.reduceat(np.append(tables.logq[edges].astype(np.float64), 0.0), ends[:-1]) * (ends[1:] > ends[:-1])
+    for a, b, key, value, p in zip(ends.tolist(), ends[1:].tolist(), keys, lead.tolist(), logp.tolist()):
+        samples.append([Sample(edges[a:b], of_edge[a:b], p, value)])
         searches.append(_Search(lattices, tables, key, k))
-        a = b
     for search, sets in zip(searches, _left_aside(tables, keys, [s[0] for s in samples], [0] * len(texts), [0.0] * len(texts), 0, k)):
         search.add(sets)
     for r in range(1, k):
@@ -373,19 +536,18 @@ def sample_block(lattices: Lattices, texts: list[str], keys: np.ndarray, k: int)
         nodes, places = [], []
         for d, (path, i, edge, _, _) in todo:
             at = int(path.place[i])
-            nodes.append(np.concatenate(([tables.next[edge]], starts[d][at + 1 :])))
-            places.append(np.arange(at, len(starts[d])))
+            nodes.append(np.concatenate(([tables.next[edge]], start[cuts[d] + at + 1 : cuts[d + 1]])))
+            places.append(np.arange(at, sizes[d]))
         if not todo:
             break
-        sizes = [len(x) for x in nodes]
-        n, edges = tables.draw(np.concatenate(nodes), np.repeat(keys[[d for d, _ in todo]], sizes), np.concatenate(places), r)
+        n, edges = tables.draw(np.concatenate(nodes), np.repeat(keys[[d for d, _ in todo]], [len(x) for x in nodes]), np.concatenate(places), r)
         ends, a, fresh = np.concatenate(([0], np.cumsum(n))), 0, []
         for (d, (path, i, edge, with_edge, value)), place in zip(todo, places):
             b = a + len(place)
             rest = edges[ends[a] : ends[b]]
             own = np.concatenate((path.edges[:i], np.array([edge], np.int32), rest))
             where = np.concatenate((path.place[: i + 1], np.repeat(place, n[a:b])))
-            new = Sample(own, where, with_edge + float(tables.logq[rest].sum()), value)
+            new = Sample(own, where, with_edge + float(tables.logq[rest].sum(dtype=np.float64)), value)
             samples[d].append(new)
             fresh.append(new)
             a = b
@@ -404,10 +566,23 @@ def sample_block(lattices: Lattices, texts: list[str], keys: np.ndarray, k: int)
 _loaded: dict[tuple[str, float], Lattices] = {}
 
 
-def sample_segmentations(docs: DataFrame, model: str, k: int = 2, theta: float = 1.0, seed: int = 0, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
+def _trim() -> None:
+    """Gives freed memory back to the system, where the C library can."""
+    import ctypes
+    import gc
+
+    gc.collect()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def sample_segmentations(docs: DataFrame, model: str, k: int = 2, theta: float = 1.0, seed: int = 0, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False, cache_units: int = CACHE_UNITS, block_chars: int = BLOCK_CHARS, release: bool = False) -> DataFrame:
     """Per row of `docs` and sample: the id, sample (from 1), n_pieces, log_prob, perturbed, log_inclusion,
     ids_crc32 (of the ids as little-endian unsigned 32-bit integers), decoded (whether the pieces give
-    back the text exactly) and, if asked for, ids."""
+    back the text exactly) and, if asked for, ids. `cache_units` and `block_chars` bound a worker's
+    memory (about 1 kB a unit, 50 bytes a character); with `release` a task leaves its tables to no
+    later task of its worker. None of them changes a result."""
 
     def blocks(batch: pa.RecordBatch) -> Iterator[tuple[list, list[str]]]:
         names, texts, held = [], [], 0
@@ -415,7 +590,7 @@ def sample_segmentations(docs: DataFrame, model: str, k: int = 2, theta: float =
             names.append(name)
             texts.append(text.as_py())
             held += len(texts[-1])
-            if held >= BLOCK_CHARS:
+            if held >= block_chars:
                 yield names, texts
                 names, texts, held = [], [], 0
         if names:
@@ -429,7 +604,7 @@ def sample_segmentations(docs: DataFrame, model: str, k: int = 2, theta: float =
         lattices = _loaded[model, theta]
         for batch in batches:
             for names, texts in blocks(batch):
-                if len(lattices.units) > CACHE_UNITS or len(lattices.words) > CACHE_WORDS:
+                if len(lattices.units) > cache_units or len(lattices.words) > WORDS_PER_UNIT * cache_units or len(lattices.first) > MOST_NODES:
                     lattices.clear()
                 keys = np.array([xxh64_intdigest(str(x), seed) for x in names], np.uint64)
                 tables, samples = sample_block(lattices, texts, keys, k)
@@ -446,8 +621,12 @@ def sample_segmentations(docs: DataFrame, model: str, k: int = 2, theta: float =
                 }
                 if with_ids:
                     out["ids"] = pa.array([x[4].astype(np.int32) for x in rows], pa.list_(pa.int32()))
-                del tables, samples
+                del tables, samples, rows
                 yield pa.RecordBatch.from_pydict(out)
+        if release:
+            _loaded.clear()
+            lattices = None
+            _trim()
 
     schema = f"`{id_col}` long, sample int, n_pieces long, log_prob double, perturbed double, log_inclusion double, ids_crc32 long, decoded boolean" + ", ids array<int>" * with_ids
     return docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text")).mapInArrow(run, schema)
