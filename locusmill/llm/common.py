@@ -83,3 +83,22 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, keep: Column,
     if n > bound:
         own = own.where(F.pmod(F.xxhash64("__id", F.lit(11)), F.lit(1_000_000)) < int(1_000_000 * bound / n))
     return docs.join(F.broadcast(own), docs[id_col] == F.col("__id")).drop("__id")
+
+
+def salted_join(rows: DataFrame, table: DataFrame, key: str, by: str, salts: int = 16) -> DataFrame:
+    """Left join of rows.key with table.key (unique there); a hot key is dealt over `salts` tasks by a hash of rows.by."""
+    left = rows.withColumn("__salt", F.pmod(F.xxhash64(by), F.lit(salts)).cast("int"))
+    right = table.withColumn("__salt", F.explode(F.array(*[F.lit(i) for i in range(salts)])))
+    return left.join(right, [key, "__salt"], "left").drop("__salt")
+
+
+def hot_join(rows: DataFrame, table: DataFrame, key: str, weight: str, total: int, hot_keys: int = 2000, least: int = 1000) -> DataFrame:
+    """Inner join on `key` (unique in table, never null); keys with `weight` above `least` and total / hot_keys go by broadcast.
+
+    With weights that add up to `total` there are at most `hot_keys` of these.
+    """
+    hot = F.col(weight) > max(least, total // hot_keys)
+    columns = [*rows.columns, *[c for c in table.columns if c != key]]
+    first = rows.join(F.broadcast(table.where(hot).withColumn("__hot", F.lit(True))), key, "left")
+    cold = first.where("__hot is null").select(*rows.columns).join(table.where(~hot), key)
+    return first.where("__hot").select(*columns).unionByName(cold.select(*columns))

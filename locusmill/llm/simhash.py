@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, text_of
+from .common import hot_join, materialise, salted_join, text_of
 
 #: No more than this many groups can be hot.
 HOT_GROUPS = 2000
@@ -229,11 +229,11 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     both = materialise(edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))))
     labels = materialise(both.groupBy(F.col("u").alias("node")).agg(F.least(F.min("v"), F.col("u")).alias("root")))
     for _ in range(max_rounds):
-        near = both.join(labels, both["v"] == labels["node"]).groupBy("u").agg(F.min("root").alias("least"))
-        moved = labels.join(near, labels["node"] == near["u"], "left").select("node", F.least("root", "least").alias("new"), F.col("root").alias("old"))
-        parent = moved.select(F.col("node").alias("p"), F.col("new").alias("pp"))
-        moved = moved.join(parent, moved["new"] == parent["p"], "left").select("node", F.least("new", "pp").alias("root"), "old")
-        moved = materialise(moved)
+        # A hub stands in many edges, and the least node is the root of many: both joins are salted.
+        near = salted_join(both, labels.withColumnRenamed("node", "v"), "v", "u").groupBy("u").agg(F.min("root").alias("least"))
+        moved = materialise(labels.join(near, labels["node"] == near["u"], "left").select("node", F.least("root", "least").alias("new"), F.col("root").alias("old")))
+        parent = moved.select(F.col("node").alias("new"), F.col("new").alias("pp"))
+        moved = materialise(salted_join(moved, parent, "new", "node").select("node", F.least("new", "pp").alias("root"), "old"))
         labels = moved.select("node", "root")
         if moved.where("root <> old").isEmpty():
             return labels
@@ -248,10 +248,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     classes = distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = classes.groupBy("root").agg(F.min("first").alias("component_id"))
     classes = materialise(classes.join(least, "root").select("fp", "component_id", "n"))
-    hot = F.col("n") > max(1000, rows.count() // HOT_GROUPS)
-    first = rows.join(F.broadcast(classes.where(hot)), "fp", "left")
-    done, rest = first.where("n is not null"), first.where("n is null").select("id", "fp")
-    out = done.unionByName(rest.join(classes.where(~hot), "fp"), allowMissingColumns=False)
+    out = hot_join(rows, classes, "fp", "n", rows.count(), HOT_GROUPS)
     return out.select(F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", F.col("n").alias("n_equal"))
 
 
