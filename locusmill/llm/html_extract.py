@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import hot_join, materialise
 
 HOT_HOSTS = 2000
 
@@ -159,7 +159,9 @@ def templates(counts: DataFrame, support: float, least_pages: int) -> DataFrame:
     everywhere = counts.groupBy("token").agg(*[F.sum(c).alias(c) for c in ("n_pages", "n_occ", "vector", "mass")]).withColumn("host", F.lit("*"))
     counts = counts.unionByName(everywhere)
     pages = counts.where("token = ''").select("host", F.col("n_pages").alias("pages"))
-    frequent = counts.join(pages, "host").where((F.col("n_pages") >= F.col("pages") * support) & ((F.col("pages") >= least_pages) | (F.col("host") == "*")))
+    # Hosts have tokens about as they have pages; "*" counts every page again.
+    total = 2 * (pages.agg(F.max("pages")).first()[0] or 0)
+    frequent = hot_join(counts, pages, "host", "pages", total, HOT_HOSTS, 20).where((F.col("n_pages") >= F.col("pages") * support) & ((F.col("pages") >= least_pages) | (F.col("host") == "*")))
     # One class per occurrence vector. A host has at most 1 / support times the tokens of its mean page here.
     classes = frequent.groupBy("host", "pages", "n_pages", "n_occ", "vector").agg(F.collect_list(F.struct("token", "mass")).alias("tokens"))
     return classes.groupBy("host", "pages").agg(F.collect_list(F.struct("n_pages", "n_occ", "tokens")).alias("classes"))
