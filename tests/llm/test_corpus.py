@@ -225,6 +225,26 @@ def test_class_needs_start_and_end_on_the_same_pages(spark):
     assert html_extract.article_of(classes, 0.6)[0] == ">html>body>article"
 
 
+def test_notice_inside_article_goes(spark):
+    rows = [(i, f"http://n.example/{i}", f"<html><body><article><p>All stories are free to read this week.</p><p>story {i} {'word ' * 40}{i}</p><p>end {i}</p></article></body></html>") for i in range(8)]
+    got = {r.page_id: r.text for r in html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: f"story {i} {'word ' * 40}{i}\nend {i}" for i in range(8)}
+
+
+def test_texts_out_of_order_are_no_template(spark):
+    pair = "<p>first of two</p><p>second of two</p>", "<p>second of two</p><p>first of two</p>"
+    rows = [(i, f"http://o.example/{i}", f"<html><body><article>{pair[i % 2]}<p>story {i} {'word ' * 40}{i}</p></article></body></html>") for i in range(8)]
+    got = {r.page_id: r.text for r in html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(sum(line in got[i] for line in ("first of two", "second of two")) >= 1 for i in range(8))
+
+
+def test_element_without_end_is_not_valid(spark):
+    pages = spark.createDataFrame([("h", f"<html><body><section><article>{'a' * 50}{i}</section></body></html>") for i in range(9)], "host string, html string")
+    classes = [c for r in html_extract.templates(html_extract.tokens(pages, "host", "html"), 0.5, 4).where("host = 'h'").collect() for c in r.classes]
+    assert not any(t["token"] == "</>html>body>section>article" for c in classes for t in c["tokens"])
+    assert html_extract.article_of(classes, 0.6)[0] == ">html>body>section"
+
+
 def test_pages_query(spark):
     import html
 
