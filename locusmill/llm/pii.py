@@ -2,16 +2,17 @@
 
 Base spans (e-mail, IP address, payment card, phone) are found in whole texts, leftmost and
 non-overlapping per kind. Each distinct value found is a protected entity of the corpus. A term
-near an entity reveals it as far as knowing the term tells about the entity: with document
-frequencies over the whole corpus, PMI(c; t) = log2(n(c,t) N / (n(c) n(t))) is set against the
+of a document that holds an entity, wherever it stands there outside base spans, reveals the entity
+as far as knowing the term tells about it: with document frequencies over the whole corpus, PMI(c; t) = log2(n(c,t) N / (n(c) n(t))) is set against the
 entity's own information content IC(c) = log2(N / n(c)). Where PMI / IC reaches `generalise_at`
-the term is to be replaced by its class, where it reaches `remove_at` it is to be removed, in the
-documents where it stands within `reach` words of the entity. Pairs seen together in fewer than
-`support` documents tell nothing and are left alone, and so is any document without an entity.
-
-Document frequencies are needed of the candidate terms only; a bit table of fixed size
-(FILTER_BITS) with their hashes goes to all tasks, and what passes it by chance falls out in the
-join on the terms themselves. Counting pre-aggregates by task. Giving documents their terms is a
+the term is to be replaced by its class, where it reaches `remove_at` it is to be removed, at every
+place in all documents that hold the entity. Pairs seen together in fewer than `support` documents
+tell nothing and are left alone, and so is any document without an entity.
+
+Only entities in `support` documents can have such a pair, and document frequencies are needed of
+the candidate terms only; bit tables of fixed size (FILTER_BITS) with hashes of these entities,
+terms and pairs go to all tasks, and what passes one by chance falls out in a join on the values
+themselves. Counting pre-aggregates by task. Giving documents their terms is a
 join on (entity, term), in which pairs that hold more than 1/HOT_PAIRS of all occurrences, so at
 most HOT_PAIRS of them, go by broadcast.
 
@@ -29,6 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -90,69 +92,137 @@ def base_spans(text: str) -> list[tuple[int, int, int, str]]:
     return sorted(out)
 
 
-def _near_terms(text: str, spans: list[tuple[int, int, int, str]], reach: int) -> list[tuple[str, str, int, int, bool]]:
-    """(entity, term, start, end, first of the pair in this text) of terms within `reach` words of a span."""
-    inside = [(a, b) for a, _, b, _ in spans]
-    out: dict[tuple[str, int], tuple[str, str, int, int, bool]] = {}
-    seen: set[tuple[str, str]] = set()
-    for a, _, b, entity in spans:
-        # Words are looked for in as much text as `reach` words take at 64 characters each.
-        low = max(0, a - 64 * reach)
-        left = [m for m in _TERM.finditer(text, low, a) if m.start() > low or low == 0]
-        right = [m for m in _TERM.finditer(text, b, b + 64 * reach) if m.end() < b + 64 * reach][:reach]
-        for m in [*left[-reach:], *right]:
-            if any(x < m.end() and m.start() < y for x, y in inside):
-                continue
-            term = m[0].lower()
-            out.setdefault((entity, m.start()), (entity, term, m.start(), m.end(), (entity, term) not in seen))
-            seen.add((entity, term))
-    return list(out.values())
-
-
-_OCC = pa.list_(pa.struct([("entity", pa.string()), ("term", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("first", pa.bool_())]))
+def outside_terms(text: str, spans: list[tuple[int, int]]) -> Iterator[re.Match]:
+    """The words of a text that touch no span; spans in order of their starts."""
+    k, until = 0, 0
+    for m in _TERM.finditer(text):
+        while k < len(spans) and spans[k][0] < m.end():
+            until = max(until, spans[k][1])
+            k += 1
+        if until <= m.start():
+            yield m
+
+
+_PLACES = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("rank", pa.int32()), ("end", pa.int64()), ("kind", pa.string()), ("action", pa.string())]))
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", reach: int = 8) -> DataFrame:
-    """Per row: uid, the id, base spans, distinct entities, and the terms near them (written to the shared folder)."""
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per row: uid, the id, base spans, distinct entities, and the text where there are any (written to the shared folder)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         uid = TaskContext.get().partitionId() << 33
         for batch in batches:
             spans = [base_spans(t.as_py()) for t in batch.column(1)]
-            near = [_near_terms(t.as_py(), s, reach) if s else [] for t, s in zip(batch.column(1), spans)]
             yield pa.RecordBatch.from_pydict({
                 "uid": pa.array(range(uid, uid + len(spans)), pa.int64()),
                 "id": batch.column(0),
                 "base": pa.array([[{"start": a, "rank": k, "end": b, "kind": KINDS[k], "action": "remove"} for a, k, b, _ in s] for s in spans], _SPANS),
                 "entities": pa.array([sorted({e for *_, e in s}) for s in spans], pa.list_(pa.string())),
-                "near": pa.array([[dict(zip(("entity", "term", "start", "end", "first"), x)) for x in n] for n in near], _OCC),
+                "text": pc.if_else(pa.array([bool(s) for s in spans], pa.bool_()), batch.column(1), pa.scalar(None, batch.column(1).type)),
             })
             uid += len(spans)
 
-    schema = "uid long, id long, base array<struct<start:long,rank:int,end:long,kind:string,action:string>>, entities array<string>, near array<struct<entity:string,term:string,start:long,end:long,first:boolean>>"
+    schema = "uid long, id long, base array<struct<start:long,rank:int,end:long,kind:string,action:string>>, entities array<string>, text string"
     rows = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text"))
     return materialise(rows.mapInArrow(run, schema))
 
 
-def document_frequency(docs: DataFrame, candidates: DataFrame, text_col: str = "text") -> DataFrame:
-    """(term, n_t): in how many documents of `docs` each term of `candidates` stands."""
-    place = F.pmod(F.xxhash64("term"), F.lit(FILTER_BITS))
-    words = candidates.select(F.shiftright(place, 6).alias("w"), F.expr(f"shiftleft(1L, cast(pmod(xxhash64(term), {FILTER_BITS}) % 64 as int))").alias("b"))
+def _bit_table(keys: DataFrame, *columns: str) -> np.ndarray:
+    """FILTER_BITS bits, those at the XXH64 hashes of `columns` set."""
+    names = ", ".join(columns)
+    place = F.pmod(F.xxhash64(*columns), F.lit(FILTER_BITS))
+    words = keys.select(F.shiftright(place, 6).alias("w"), F.expr(f"shiftleft(1L, cast(pmod(xxhash64({names}), {FILTER_BITS}) % 64 as int))").alias("b"))
     table = np.zeros(FILTER_BITS // 64, np.int64)
     for row in words.groupBy("w").agg(F.bit_or("b").alias("b")).toLocalIterator():  # at most FILTER_BITS / 64 rows
         table[row["w"]] = row["b"]
-    shared = docs.sparkSession.sparkContext.broadcast(table.view(np.uint64))
+    return table.view(np.uint64)
+
+
+def _in_table(bits: np.ndarray, hashes: Iterator[int], n: int) -> list[int]:
+    """Which of `n` hashes have their bit set."""
+    at = np.fromiter(hashes, np.uint64, n) & np.uint64(FILTER_BITS - 1)
+    return np.flatnonzero((bits[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1)).tolist()
+
+
+def _holding(rows: DataFrame) -> DataFrame:
+    """(uid, text, starts, ends, entities) of the documents that hold an entity."""
+    return rows.where(F.size("entities") > 0).select("uid", "text", F.col("base.start").alias("starts"), F.col("base.end").alias("ends"), "entities")
+
+
+def pair_counts(rows: DataFrame, entities: DataFrame) -> DataFrame:
+    """(entity, term, n_ct): in how many documents each entity of `entities` stands together with each term."""
+    shared = rows.sparkSession.sparkContext.broadcast(_bit_table(entities, "entity"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh64_intdigest
 
-        bits, n = shared.value, Counter()
+        n: Counter[tuple[str, str]] = Counter()
+
+        def out() -> pa.RecordBatch:
+            keys = list(n)
+            columns = {"entity": pa.array([k[0] for k in keys], pa.string()), "term": pa.array([k[1] for k in keys], pa.string()), "n": pa.array([n[k] for k in keys], pa.int64())}
+            return pa.RecordBatch.from_pydict(columns)
+
+        for batch in batches:
+            for text, starts, ends, held in zip(batch.column(1), batch.column(2), batch.column(3), batch.column(4).to_pylist()):
+                held = [held[i] for i in _in_table(shared.value, (xxh64_intdigest(e.encode("utf-8", "surrogatepass"), 42) for e in held), len(held))]
+                if not held:
+                    continue
+                terms = {m[0].lower() for m in outside_terms(text.as_py(), list(zip(starts.as_py(), ends.as_py())))}
+                for entity in held:
+                    n.update((entity, t) for t in terms)
+                    if len(n) > 200_000:
+                        yield out()
+                        n.clear()
+        yield out()
+
+    counts = _holding(rows).mapInArrow(count, "entity string, term string, n long")
+    return counts.groupBy("entity", "term").agg(F.sum("n").alias("n_ct")).join(entities.select("entity"), "entity", "left_semi")
+
+
+def places(rows: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(uid, entity, term, at): where the terms of `pairs` stand in the documents that hold their entity; some other pairs pass too."""
+    context = rows.sparkSession.sparkContext
+    own, both = context.broadcast(_bit_table(pairs, "entity")), context.broadcast(_bit_table(pairs, "entity", "term"))
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from xxhash import xxh64_intdigest
+
+        for batch in batches:
+            uids, entities, terms, at = [], [], [], []
+            for uid, text, starts, ends, held in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), batch.column(3), batch.column(4).to_pylist()):
+                seeds = [xxh64_intdigest(e.encode("utf-8", "surrogatepass"), 42) for e in held]
+                some = _in_table(own.value, iter(seeds), len(seeds))
+                if not some:
+                    continue
+                found: dict[str, list[dict[str, int]]] = {}
+                for m in outside_terms(text.as_py(), list(zip(starts.as_py(), ends.as_py()))):
+                    found.setdefault(m[0].lower(), []).append({"start": m.start(), "end": m.end()})
+                names = list(found)
+                for i in some:
+                    for j in _in_table(both.value, (xxh64_intdigest(t.encode("utf-8", "surrogatepass"), seeds[i]) for t in names), len(names)):
+                        uids.append(uid)
+                        entities.append(held[i])
+                        terms.append(names[j])
+                        at.append(found[names[j]])
+            yield pa.RecordBatch.from_pydict({"uid": pa.array(uids, pa.int64()), "entity": pa.array(entities, pa.string()), "term": pa.array(terms, pa.string()), "at": pa.array(at, _PLACES)})
+
+    return _holding(rows).mapInArrow(find, "uid long, entity string, term string, at array<struct<start:long,end:long>>")
+
+
+def document_frequency(docs: DataFrame, candidates: DataFrame, text_col: str = "text") -> DataFrame:
+    """(term, n_t): in how many documents of `docs` each term of `candidates` stands."""
+    shared = docs.sparkSession.sparkContext.broadcast(_bit_table(candidates, "term"))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from xxhash import xxh64_intdigest
+
+        n = Counter()
 
         def passing() -> pa.RecordBatch:
             terms = list(n)
-            at = np.fromiter((xxh64_intdigest(t.encode("utf-8", "surrogatepass"), 42) for t in terms), np.uint64, len(terms)) & np.uint64(FILTER_BITS - 1)
-            ok = np.flatnonzero((bits[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1)).tolist()
+            ok = _in_table(shared.value, (xxh64_intdigest(t.encode("utf-8", "surrogatepass"), 42) for t in terms), len(terms))
             return pa.RecordBatch.from_pydict({"term": pa.array([terms[i] for i in ok], pa.string()), "n": pa.array([n[terms[i]] for i in ok], pa.int64())})
 
         for batch in batches:
@@ -169,16 +239,15 @@ def document_frequency(docs: DataFrame, candidates: DataFrame, text_col: str = "
 
 def revealing_pairs(rows: DataFrame, docs: DataFrame, text_col: str, support: int, least: float) -> DataFrame:
     """(entity, term, n_ct, disclosure) of the pairs whose disclosure reaches `least`."""
-    near = rows.where(F.size("near") > 0).select(F.explode("near").alias("o")).select("o.*")
-    pairs = near.groupBy("entity", "term").agg(F.sum(F.col("first").cast("long")).alias("n_ct")).where(F.col("n_ct") >= support)
-    pairs = materialise(pairs)
+    total = float(rows.count())
+    n_c = rows.where(F.size("entities") > 0).select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("n_c"))
+    n_c = materialise(n_c.where((F.col("n_c") >= support) & (F.col("n_c") < total)))
+    pairs = materialise(pair_counts(rows, n_c).where(F.col("n_ct") >= support))
     candidates = materialise(pairs.select("term").distinct())
     if candidates.isEmpty():
         return pairs.withColumn("disclosure", F.lit(0.0)).limit(0)
-    n_c = rows.where(F.size("entities") > 0).select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("n_c"))
     n_t = document_frequency(docs, candidates, text_col)
-    total = float(rows.count())
-    out = pairs.join(n_c, "entity").join(n_t, "term").where(F.col("n_c") < total)
+    out = pairs.join(n_c, "entity").join(n_t, "term")
     pmi = F.log2(F.col("n_ct") * total / (F.col("n_c") * F.col("n_t")))
     out = out.withColumn("disclosure", pmi / F.log2(F.lit(total) / F.col("n_c")))
     return materialise(out.where(F.col("disclosure") >= least).select("entity", "term", "n_ct", "disclosure"))
@@ -188,26 +257,26 @@ def find_pii(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
-    reach: int = 8,
     support: int = 3,
     generalise_at: float = 0.8,
     remove_at: float = 0.95,
 ) -> DataFrame:
     """Per row of `docs`: the id, base (its base spans) and spans (all spans), as arrays of (start, rank, end, kind, action)."""
-    rows = scan(docs, id_col, text_col, reach)
+    rows = scan(docs, id_col, text_col)
     pairs = revealing_pairs(rows, docs, text_col, support, generalise_at)
-    near = rows.where(F.size("near") > 0).select("uid", F.explode("near").alias("o")).select("uid", "o.entity", "o.term", "o.start", "o.end")
-    hot = F.col("n_ct") > max(1000, rows.agg(F.sum(F.size("near"))).first()[0] or 0) / HOT_PAIRS
+    held = materialise(places(rows, pairs))
+    # A pair is in as many of these rows as it has documents.
+    hot = F.col("n_ct") > max(1000, held.count() // HOT_PAIRS)
     key = ["entity", "term"]
-    first = near.join(F.broadcast(pairs.where(hot).drop("n_ct")), key, "left")
+    first = held.join(F.broadcast(pairs.where(hot).drop("n_ct")), key, "left")
     done = first.where("disclosure is not null")
     rest = first.where("disclosure is null").drop("disclosure").join(pairs.where(~hot).drop("n_ct"), key)
-    found = done.select("uid", "start", "end", "disclosure").unionByName(rest.select("uid", "start", "end", "disclosure"))
-    action = F.when(F.max("disclosure") >= remove_at, "remove").otherwise("generalise")
-    found = found.groupBy("uid", "start", "end").agg(action.alias("action"))
-    # A document holds no more of these than `reach` words to either side of each of its spans.
-    one = F.struct("start", F.lit(KINDS.index("term")).alias("rank"), "end", F.lit("term").alias("kind"), "action")
-    found = found.groupBy("uid").agg(F.collect_list(one).alias("terms"))
+    found = done.select("uid", "term", "at", "disclosure").unionByName(rest.select("uid", "term", "at", "disclosure"))
+    found = found.groupBy("uid", "term").agg(F.first("at").alias("at"), F.max("disclosure").alias("d"))
+    action = F.when(F.col("d") >= remove_at, "remove").otherwise("generalise")
+    one = F.transform("at", lambda a: F.struct(a["start"].alias("start"), F.lit(KINDS.index("term")).alias("rank"), a["end"].alias("end"), F.lit("term").alias("kind"), action.alias("action")))
+    # A document holds no more of these than it has words.
+    found = found.groupBy("uid").agg(F.flatten(F.collect_list(one)).alias("terms"))
     out = rows.select("uid", "id", "base").join(found, "uid", "left")
     spans = F.sort_array(F.when(F.col("terms").isNull(), F.col("base")).otherwise(F.concat("base", "terms")))
     return out.select(F.col("id").alias(id_col), "base", spans.alias("spans"))

@@ -115,6 +115,15 @@ def test_revealing_terms(make):
     assert pii.find_pii(make("x").limit(0)).count() == 0
 
 
+def test_revealing_terms_far_from_the_entity(make):
+    far = "plain filler words stand here between both of them " * 20
+    rows = [f"Zorblax mail {far} mail ann@corp.example.com Zorblax {i}" if i % 2 else f"Zorblax mail {far} mail ann@corp.example.com {i}" for i in range(6)] + [f"{far} mail {i}" for i in range(60)] + ["Quuxley mail"] * 2
+    got = {r.doc_id: r.spans for r in pii.find_pii(make(*rows)).collect()}
+    terms = {i: [s["start"] for s in spans if s["kind"] == "term"] for i, spans in got.items() if len(spans) > 1}
+    assert terms == {i: [m.start() for m in re.finditer("Zorblax", rows[i])] for i in range(6)}
+    assert "Zorblax" not in "".join(r.text for r in pii.sanitise(make(*rows)).collect())
+
+
 def test_document_frequency_equals_brute_force(make, spark):
     rng = random.Random(1)
     rows = [" ".join(rng.choice(("alpha", "beta", "gamma", "delta", "épsilon")) for _ in range(4)) for _ in range(50)]
