@@ -193,6 +193,17 @@ def test_segmentation_rows(make):
     assert piece_sampling.sample_segmentations(make("x").limit(0), tokenizer_path(PIECE_BPE)).count() == 0
 
 
+def test_query_and_pipeline_hand_over_ids(spark, make):
+    import zlib
+
+    import corpus_pipeline as P
+    from locusmill.llm.queries import op6_piece_sampling
+
+    rows = op6_piece_sampling(spark, SF).limit(20).collect() + P.segmentations(spark, make("some words", "é x", ""), SF).collect()
+    for r in rows:
+        assert len(r.ids) == r.n_pieces and zlib.crc32(b"".join(i.to_bytes(4, "little") for i in r.ids)) == r.ids_crc32
+
+
 # ---------------------------------------------------------------- pages
 def page(i, body, extra=""):
     return f'<!DOCTYPE html><html><head><title>t{i}</title><script>var x="</p>";</script></head><body><nav><a href="/x">menu</a></nav><div class="cookie-notice">We use cookies</div>{extra}{body}<aside>side {i}</aside><footer>&copy; site</footer></body></html>'
