@@ -2,13 +2,18 @@
 
 Counts of the text (words, symbols, repeated lines, words in repeated five-word windows) give the
 base verdict. The divergence verdict compares two histograms of the document with those of its
-language, pooled over all documents of the corpus: classes of characters, and the common words of
-the language against all other words. The measure is the Jensen-Shannon distance (base 2, square
+language, pooled over all its documents in the corpus: classes of characters, and the common words
+of the language against all other words. These are listed for some languages; for any other value
+of the language column they are its COMMON most frequent words in the corpus. The measure is the Jensen-Shannon distance (base 2, square
 root, 0 to 1); each comparison is made only where the document is long enough for its histogram to
 mean something (`min_chars`, `min_words`).
 
-Edge cases: a null text is empty (base_failed, as it has fewer than 10 words); a language without
-word list, or null, is compared by its characters with the pool of all documents only; an empty
+Histograms are summed per language by one aggregate. References of languages without a list that
+hold over 1/HOT_LANGUAGES of the rows go to the documents by broadcast, of the others by a join.
+
+Edge cases: a null text is empty (base_failed, as it has fewer than 10 words); a language that
+is null or "", or has no list and fewer than LEAST_DOCUMENTS documents, is compared by its characters with
+the pool of all documents only; an empty
 table gives an empty result. Rows are judged one by one, so ties and repeated rows agree.
 """
 
@@ -18,8 +23,9 @@ import uuid
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from .common import WORD, text_of
+from .common import WORD, materialise, text_of
 
 #: Frequent function words by language.
 COMMON_WORDS = {
@@ -32,6 +38,12 @@ COMMON_WORDS = {
 CLASSES = {"lower": r"\p{Ll}+", "space": r"[\x20\x09-\x0D]+", "upper": r"\p{Lu}+", "digit": r"\p{Nd}+", "symbol": r"[#*$%&|<>]+", "punct": r"\p{P}+"}
 BINS = [*CLASSES, "other"]
 WINDOW = 5
+#: A language without a list has references of its own from so many documents on.
+LEAST_DOCUMENTS = 20
+#: So many of its most frequent words are its common words.
+COMMON = 20
+#: No more than this many languages can be hot.
+HOT_LANGUAGES = 2000
 
 
 def _characters(docs: DataFrame) -> DataFrame:
@@ -52,42 +64,47 @@ def _is_in(values: list[str]):
     return lambda w: w.isin(values)
 
 
-def _common(words: Column, lang: Column) -> Column:
-    """Counts of the language's common words, then of all other words; null without a word list."""
+def _common(words: Column, lang: Column, own: bool = False) -> Column:
+    """Counts of the language's common words, then of all other words; null without common words."""
     out = F.lit(None).cast("array<long>")
+    if own:
+        counts = F.transform("__own", lambda c: F.size(F.filter("__common", lambda w: w == c)).cast("long"))
+        out = F.concat(counts, F.array((F.size(words) - F.size("__common")).cast("long")))
     for code, common in COMMON_WORDS.items():
         counts = F.array(*[F.size(F.filter("__common", _is_in([c]))).cast("long") for c in common])
         out = F.when(lang == code, F.concat(counts, F.array((F.size(words) - F.size("__common")).cast("long")))).otherwise(out)
     return out
 
 
-def histograms(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """`docs` with __words, __chars and __common_counts."""
+def histograms(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", own: bool = False) -> DataFrame:
+    """`docs` with __words, __chars and __common_counts; with `own`, common words of a language without a list come from __own."""
     out = _characters(docs.withColumn("__text", text_of(text_col)))
     out = out.withColumn("__words", F.regexp_extract_all("__text", F.lit(WORD), F.lit(0)))
-    listed = F.lit(None).cast("array<string>")
+    listed = F.filter(F.transform("__words", F.lower), lambda w: F.array_contains("__own", w)) if own else F.lit(None).cast("array<string>")
     for code, common in COMMON_WORDS.items():
         listed = F.when(F.col(lang_col) == code, F.filter(F.transform("__words", F.lower), _is_in(common))).otherwise(listed)
     out = out.withColumn("__common", listed)
-    out = out.withColumn("__common_counts", _common(F.col("__words"), F.col(lang_col))).drop("__common")
+    out = out.withColumn("__common_counts", _common(F.col("__words"), F.col(lang_col), own)).drop("__common")
     return out.withColumn("__chars", F.array(*[F.col(f"c_{c}") for c in BINS]))
 
 
-def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> dict[str, dict[str, list[float]]]:
-    """The histograms of each language that has a word list, and of all documents ("").
-
-    One aggregate over the whole corpus; at most len(COMMON_WORDS) + 1 rows come to the driver.
-    """
-    known = F.when(F.col(lang_col).isin(list(COMMON_WORDS)), F.col(lang_col)).otherwise("")
-    rows = histograms(docs.select(text_col, lang_col), text_col, lang_col).withColumn("__key", known)
+def language_sums(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """(__key, documents, c0.., w0..): the summed histograms of each language, by one aggregate over the whole corpus."""
+    rows = histograms(docs.select(text_col, lang_col), text_col, lang_col)
     most = max(map(len, COMMON_WORDS.values())) + 1
     sums = [F.sum(F.col("__chars")[i]).alias(f"c{i}") for i in range(len(BINS))]
     sums += [F.sum(F.get("__common_counts", F.lit(i))).alias(f"w{i}") for i in range(most)]
+    return materialise(rows.groupBy(F.col(lang_col).alias("__key")).agg(F.count(F.lit(1)).alias("documents"), *sums))
+
+
+def references(sums: DataFrame) -> dict[str, dict[str, list[float]]]:
+    """The histograms of each language that has a word list, and of all documents ("")."""
     out: dict[str, dict[str, list[float]]] = {}
-    for row in rows.groupBy("__key").agg(*sums).collect():
-        bins = len(COMMON_WORDS.get(row["__key"], ())) + 1
+    for row in sums.where(F.col("__key").isin(list(COMMON_WORDS))).collect():
+        bins = len(COMMON_WORDS[row["__key"]]) + 1
         out[row["__key"]] = {"chars": [float(row[f"c{i}"] or 0) for i in range(len(BINS))], "words": [float(row[f"w{i}"] or 0) for i in range(bins)]}
-    out[""] = {"chars": [sum(x["chars"][i] for x in out.values()) for i in range(len(BINS))], "words": []}
+    pool = sums.agg(*[F.sum(f"c{i}").alias(f"c{i}") for i in range(len(BINS))]).first()
+    out[""] = {"chars": [float(pool[f"c{i}"] or 0) for i in range(len(BINS))], "words": []}
     for x in out.values():
         for k, v in x.items():
             total = sum(v)
@@ -95,6 +112,40 @@ def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang")
     return out
 
 
+def other_languages(docs: DataFrame, sums: DataFrame, text_col: str, lang_col: str) -> DataFrame:
+    """(__key, documents, __own_chars, __own, __own_words) of the languages without a list: references and common words."""
+    chars = F.array(*[F.col(f"c{i}").cast("double") for i in range(len(BINS))])
+    total = F.aggregate(chars, F.lit(0.0), lambda a, x: a + x)
+    known = sums.where(~F.col("__key").isin(list(COMMON_WORDS)) & (F.col("__key") != "") & (F.col("documents") >= LEAST_DOCUMENTS))
+    known = known.select("__key", "documents", F.when(total > 0, F.transform(chars, lambda x: x / total)).alias("__own_chars"))
+    rows = docs.where(~F.col(lang_col).isin(list(COMMON_WORDS)) & (F.col(lang_col) != ""))
+    words = rows.select(F.col(lang_col).alias("__key"), F.explode(F.transform(F.regexp_extract_all(text_of(text_col), F.lit(WORD), F.lit(0)), F.lower)).alias("word"))
+    counts = words.groupBy("__key", "word").agg(F.count(F.lit(1)).alias("n"))
+    # The most frequent words of each salt, then of the language: no task has a whole vocabulary.
+    counts = counts.withColumn("salt", F.pmod(F.xxhash64("word"), F.lit(64)))
+    order = [F.desc("n"), "word"]
+    sifted = counts.withColumn("all", F.sum("n").over(Window.partitionBy("__key", "salt")))
+    sifted = sifted.withColumn("r", F.row_number().over(Window.partitionBy("__key", "salt").orderBy(*order))).where(F.col("r") <= COMMON)
+    per = sifted.groupBy("__key", "salt").agg(F.first("all").alias("all"), F.collect_list(F.struct((-F.col("n")).alias("n"), "word")).alias("top"))
+    per = per.groupBy("__key").agg(F.sum("all").alias("all"), F.slice(F.sort_array(F.flatten(F.collect_list("top"))), 1, COMMON).alias("top"))
+    held = F.aggregate("top", F.lit(0).cast("long"), lambda a, x: a - x["n"])
+    shares = F.concat(F.transform("top", lambda x: -x["n"] / F.col("all")), F.array((F.col("all") - held) / F.col("all")))
+    return materialise(known.join(per.select("__key", F.col("top.word").alias("__own"), shares.alias("__own_words")), "__key", "left"))
+
+
+def with_own(docs: DataFrame, languages: DataFrame, total: int, lang_col: str) -> DataFrame:
+    """`docs` with the references of their language from `languages`, null where it has none."""
+    hot = F.col("documents") > max(1000, total // HOT_LANGUAGES)
+    columns = [*docs.columns, "__own_chars", "__own", "__own_words"]
+    first = docs.join(F.broadcast(languages.where(hot)), docs[lang_col] == F.col("__key"), "left")
+    if languages.where(~hot).isEmpty():
+        return first.select(*columns)
+    cold = F.col("__key").isNull() & F.coalesce(~F.col(lang_col).isin(list(COMMON_WORDS)) & (F.col(lang_col) != ""), F.lit(False))
+    rest = first.where(cold).select(*docs.columns)
+    rest = rest.join(languages.where(~hot), rest[lang_col] == F.col("__key"), "left")
+    return first.where(~cold).select(*columns).unionByName(rest.select(*columns))
+
+
 def js_distance(counts: Column, reference: Column) -> Column:
     """Jensen-Shannon distance of a histogram of counts from a distribution, 0 to 1; null if either is empty."""
     total = F.aggregate(counts, F.lit(0).cast("long"), lambda a, x: a + x)
@@ -142,9 +193,16 @@ def judge(
     min_words: int = 100,
 ) -> DataFrame:
     """`docs` with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, the two distances, base_failed, kept."""
-    ref = references(docs, text_col, lang_col)
-    out = repeated_words(histograms(docs, text_col, lang_col))
+    sums = language_sums(docs, text_col, lang_col)
+    ref = references(sums)
     chars, words = _literal(ref[""]["chars"]), _literal([])
+    others = sums.where(~F.col("__key").isin(list(COMMON_WORDS)) & (F.col("__key") != "") & (F.col("documents") >= LEAST_DOCUMENTS))
+    own = not others.isEmpty()
+    if own:
+        total = sums.agg(F.sum("documents")).first()[0]
+        docs = with_own(docs, other_languages(docs, sums, text_col, lang_col), total, lang_col)
+        chars, words = F.coalesce(F.col("__own_chars"), chars), F.col("__own_words")
+    out = repeated_words(histograms(docs, text_col, lang_col, own))
     for code in COMMON_WORDS:
         if code in ref:
             chars = F.when(F.col(lang_col) == code, _literal(ref[code]["chars"])).otherwise(chars)
@@ -163,7 +221,7 @@ def judge(
     far = (F.col("word_chars") >= min_chars) & (F.coalesce("chars_distance", F.lit(0.0)) > max_chars_distance)
     far |= (F.col("n_words") >= min_words) & (F.coalesce("words_distance", F.lit(0.0)) > max_words_distance)
     out = out.withColumn("kept", ~F.col("base_failed") & ~far)
-    return out.drop("__text", "__words", "__chars", "__common_counts", "__lines", *[f"c_{c}" for c in BINS])
+    return out.drop("__text", "__words", "__chars", "__common_counts", "__lines", "__own_chars", "__own", "__own_words", *[f"c_{c}" for c in BINS])
 
 
 

@@ -64,6 +64,17 @@ def test_keep_good_keeps_columns_and_nulls(make):
     assert quality_rules.keep_good(docs.limit(0)).count() == 0
 
 
+def test_language_without_a_list_has_its_own_reference(make):
+    rng = random.Random(3)
+    text = lambda letters: " ".join("".join(rng.choice(letters) for _ in range(rng.randint(3, 8))) for _ in range(150))
+    hebrew, latin = "אבגדהוזחטיכלמנסעפצקרשת", "abcdefghijklmnopqrstuvwxyz"
+    rows = [(i, text(latin), "en", "a") for i in range(200)] + [(i, "של " * 3 + text(hebrew), "he", "a") for i in range(200, 230)]
+    rows += [(300, text("#*$%&"), "he", "a"), (301, text(hebrew), "xx", "a"), (302, text(latin), None, "a")]
+    got = {r.doc_id: r for r in quality_rules.judge(make(*rows), max_words_distance=1.0).collect()}
+    assert len(got) == 233 and all(got[i].kept for i in range(200, 230)) and not got[300].kept and got[302].kept
+    assert got[200].words_distance is not None and got[301].words_distance is None and not got[301].kept
+
+
 # ---------------------------------------------------------------- personal data
 PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
 
