@@ -565,7 +565,7 @@ def finemap_planted(spark, d):
 
 @query()
 def fold_pcs(spark, d):
-    e = table(spark, d, "embeddings").where("vec_id < 60").select(F.col("vec_id").cast("string").alias("sample_id"), F.posexplode("embedding").alias("i", "value"))
+    e = table(spark, d, "embeddings").select(F.col("vec_id").cast("string").alias("sample_id"), F.posexplode("embedding").alias("i", "value"))
     x = e.select(F.col("i").cast("string").alias("phenotype_id"), "sample_id", F.col("value").cast("double").alias("value"))
     folds = e.select("sample_id").distinct().withColumn("fold", (F.col("sample_id").cast("int") % 3 + 1).cast("int"))
     return crossval.fold_components(x, folds)

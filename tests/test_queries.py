@@ -33,6 +33,12 @@ def test_query_without_sql_has_rows(spark, name):
     assert not Q.QUERIES[name](spark, SF).isEmpty()
 
 
+def test_fold_pcs_covers_the_whole_table(spark):
+    samples = {str(r.vec_id) for r in spark.read.parquet(f"{SF}/embeddings.parquet").select("vec_id").collect()}
+    rows = Q.fold_pcs(spark, SF).select("sample_id", "split").collect()
+    assert {r.sample_id for r in rows} == samples and {r.sample_id for r in rows if r.split == "test"} == samples
+
+
 def test_region_filter_reaches_the_scan(spark):
     plan = Q.phenotype_match_exact(spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(p_brand), EqualTo(p_brand,Brand#13)]" in plan
