@@ -76,7 +76,8 @@ def nodes(page: str) -> Iterator[tuple[str, str, bool, str, bool]]:
     The kind is "<" at a container's start, "</" at its end and "t" at a text node. Ends are those
     that the page has, and its own end for what is still open there.
     """
-    stack: list[tuple[str, str, bool]] = [("", "", False)]  # element, path, noise
+    stack: list[tuple[str, str, bool, bool]] = [("", "", False, False)]  # element, path, noise, whether it has a path of its own
+    opened: Counter[str] = Counter()
     at, block = 0, True
     while True:
         m = _TOKEN.search(page, at)
@@ -87,8 +88,9 @@ def nodes(page: str) -> Iterator[tuple[str, str, bool, str, bool]]:
         elif text and not block:
             yield "t", stack[-1][1], stack[-1][2], " ", False
         if not m:
-            for _, path, noise in stack[:0:-1]:
-                yield "</", path, noise, "", True
+            for _, path, noise, own in stack[:0:-1]:
+                if own:
+                    yield "</", path, noise, "", True
             return
         at = m.end()
         end, name, attributes, closed = m.groups()
@@ -108,20 +110,26 @@ def nodes(page: str) -> Iterator[tuple[str, str, bool, str, bool]]:
             continue
         if end:
             # The innermost open element of that name ends, and all within it, which has no end of its own; a stray end tag does nothing.
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] == name:
-                    yield "</", stack[k][1], stack[k][2], "", True
-                    del stack[k:]
+            while opened[name]:
+                inner, path, noise, own = stack.pop()
+                opened[inner] -= 1
+                if inner == name:
+                    if own:
+                        yield "</", path, noise, "", True
                     break
         else:
             label, noise = _label(name, attributes)
-            _, path, within = stack[-1]
-            noise = within or noise or name in OPAQUE or name in ASIDE or (name == "header" and not any(x[0] in MAIN for x in stack))
-            if len(stack) < 200:
-                stack.append((name, f"{path}>{label}", noise))
+            _, path, within, _ = stack[-1]
+            noise = within or noise or name in OPAQUE or name in ASIDE or (name == "header" and not any(opened[x] for x in MAIN))
+            # Containers below depth 200 are kept for their end tags and noise, with the path of the last one above.
+            own = len(stack) < 200
+            stack.append((name, f"{path}>{label}" if own else path, noise, own))
+            opened[name] += 1
+            if own:
                 yield "<", stack[-1][1], noise, "", True
 
 
+
 def _token(kind: str, path: str, text: str) -> str:
     """The token of a node: a tag with its path, or a text's hash with the path it stands in."""
     from xxhash import xxh64_hexdigest

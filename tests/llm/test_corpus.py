@@ -256,6 +256,14 @@ def test_element_without_end_is_not_valid(spark):
     assert html_extract.article_of(classes, 0.6)[0] == ">html>body>section"
 
 
+def test_deep_containers_end_with_their_own_tags():
+    page = f"<article><div>{'<div>' * 300}deep<nav>menu</nav>{'</div>' * 300}<p>after</p></div></article>"
+    got = {text: (path, noise) for kind, path, noise, text, _ in html_extract.nodes(page) if kind == "t"}
+    assert got["after"] == (">article>div", False) and got["menu"][1] and not got["deep"][1]
+    starts, ends = ([path for kind, path, *_ in html_extract.nodes(page) if kind == k] for k in ("<", "</"))
+    assert starts == ends[::-1]
+
+
 def test_pages_query(spark):
     import html
 
