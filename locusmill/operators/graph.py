@@ -2,42 +2,93 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.shared import stored, stored_with_count
+
+
+#: So many edges (both ways) are no more than one task's work.
+ONE_TASK = 200_000
 
-def connected_components(edges: DataFrame, left: str = "u", right: str = "v", max_rounds: int = 60) -> DataFrame:
-    """(node, component): the smallest node reachable. Rounds of smallest neighbour and pointer jumping, each checkpointed."""
-    spark = edges.sparkSession
-    _checkpoint_dir(spark)
+
+def connected_components(edges: DataFrame, left: str = "u", right: str = "v") -> DataFrame:
+    """(node, component): the smallest node reachable, for every node that has an edge.
+
+    Each round points every node to the smallest of its neighbours and itself, follows the pointers
+    to their ends (each step doubles their reach) and contracts the edges to these ends, the local
+    minima. Of two neighbours one at most is a local minimum, so the nodes at least halve each round
+    and neither rounds nor steps need a bound; what the rounds found is put together backwards.
+    Every step is written to the shared folder. Once ONE_TASK edges or fewer are left, one task
+    finishes them.
+    """
     e = edges.select(F.col(left).alias("u"), F.col(right).alias("v")).where("u is not null and v is not null")
-    both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct().checkpoint()
-    labels = both.groupBy(F.col("u").alias("node")).agg(F.least(F.min("v"), F.col("u")).alias("component")).checkpoint()
-    for _ in range(max_rounds):
-        # A hub stands in many edges, and the least node is the label of many: both joins are salted.
-        near = _salted(both, labels.withColumnRenamed("node", "v"), "v", "u").groupBy("u").agg(F.min("component").alias("least"))
-        moved = labels.join(near, labels["node"] == near["u"]).select("node", F.least("component", "least").alias("new"), F.col("component").alias("old")).checkpoint()
-        parent = moved.select(F.col("node").alias("new"), F.col("new").alias("up"))
-        moved = _salted(moved, parent, "new", "node").select("node", F.least("new", "up").alias("component"), "old").checkpoint()
-        labels = moved.select("node", "component")
-        if moved.where("component <> old").isEmpty():
-            return labels
-    raise RuntimeError(f"components did not settle in {max_rounds} rounds")
-
-
-def _salted(rows: DataFrame, table: DataFrame, key: str, by: str, salts: int = 16) -> DataFrame:
-    left = rows.withColumn("__salt", F.pmod(F.hash(by), F.lit(salts)))
-    right = table.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return left.join(right, [key, "__salt"], "left").drop("__salt")
+    both, n = stored_with_count(e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct(), F.lit(True))
+    maps: list[DataFrame] = []
+    while n or not maps:
+        if n <= ONE_TASK:
+            maps.append(_at_once(both))
+            break
+        near = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("up"), F.count(F.lit(1)).alias("degree"))
+        step, moving = stored_with_count(near, F.col("u") != F.col("up"))
+        while moving:
+            step, moving = stored_with_count(_ahead(step), F.col("moved"))
+        maps.append(step.select("u", "up"))
+        both, n = stored_with_count(_relabelled(_relabelled(both, step, "u", n), step, "v", n).where("u <> v").distinct(), F.lit(True))
+    out = maps.pop()
+    while maps:
+        ahead = out.select(F.col("u").alias("up"), F.col("up").alias("top"))
+        out = _salted(maps.pop(), ahead, "up", "u").select("u", F.coalesce("top", "up").alias("up"))
+    return out.select(F.col("u").alias("node"), F.col("up").alias("component"))
+
+
+def _at_once(both: DataFrame) -> DataFrame:
+    """(u, up): the smallest node reachable, found by one task; both has at most ONE_TASK rows."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        up: dict = {}
 
+        def end(x):
+            while up[x] != x:
+                up[x] = up[up[x]]
+                x = up[x]
+            return x
 
-def _checkpoint_dir(spark) -> None:
-    if not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()):
-        import tempfile
+        for pdf in frames:
+            for a, b in zip(pdf["u"].tolist(), pdf["v"].tolist()):
+                up.setdefault(a, a), up.setdefault(b, b)
+                a, b = end(a), end(b)
+                if a != b:
+                    up[max(a, b)] = min(a, b)
+        yield pd.DataFrame({"u": list(up), "up": [end(x) for x in up]})
 
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp())
+    kind = both.schema["u"].dataType.simpleString()
+    return both.coalesce(1).mapInPandas(run, f"u {kind}, up {kind}")
+
+
+def _ahead(step: DataFrame) -> DataFrame:
+    """Every pointer followed by the one at its end; whether it moved. The least node of many is a hot key, so the join is salted."""
+    ends = step.where("u <> up").select(F.col("u").alias("up"), F.col("up").alias("further"))
+    return _salted(step, ends, "up", "u").select("u", F.coalesce("further", "up").alias("up"), "degree", F.col("further").isNotNull().alias("moved"))
+
+
+def _relabelled(both: DataFrame, step: DataFrame, end: str, n: int, hot_keys: int = 2000, least: int = 10_000) -> DataFrame:
+    """The `n` edges with `end` sent on by `step`; nodes of over n / hot_keys edges, at most hot_keys of them, go by broadcast."""
+    hot = F.col("degree") > max(least, n // hot_keys)
+    table = step.select(F.col("u").alias("__n"), "up", "degree")
+    columns = [F.col("up").alias(end), "v" if end == "u" else "u"]
+    first = both.join(F.broadcast(table.where(hot).drop("degree")), F.col(end) == F.col("__n"), "left")
+    cold = first.where("up is null").select("u", "v").join(table.where(~hot).drop("degree"), F.col(end) == F.col("__n"))
+    return first.where("up is not null").select(*columns).unionByName(cold.select(*columns))
+
+
+def _salted(rows: DataFrame, table: DataFrame, key: str, by: str, salts: int = 8) -> DataFrame:
+    left = rows.withColumn("__salt", F.pmod(F.hash(by), F.lit(salts)))
+    right = table.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return left.join(right, [key, "__salt"], "left").drop("__salt")
 
 
 def set_components(sets: DataFrame, min_z: float = 3.0, max_size: int = 10) -> DataFrame:
@@ -54,5 +105,9 @@ def set_components(sets: DataFrame, min_z: float = 3.0, max_size: int = 10) -> D
     edges = kept.join(hubs, ["group", "chromosome", "position"]).select(F.col("cs_id").alias("u"), F.col("hub").alias("v")).distinct()
     parts = connected_components(edges)
     out = kept.join(parts, kept["cs_id"] == parts["node"], "left").drop("node")
-    best = out.groupBy("component").agg(F.max_by("variant", F.struct("pip", "variant")).alias("top_variant"))
-    return out.join(best, "component", "left")
+    return out.join(top_of_component(out, "component", "variant", "pip").withColumnRenamed("top", "top_variant"), "component", "left")
+
+
+def top_of_component(members: DataFrame, component: str, item: str, value: str) -> DataFrame:
+    """(component, top): the item of the largest value in each component, ties by item."""
+    return members.groupBy(component).agg(F.max_by(item, F.struct(value, item)).alias("top"))

@@ -11,7 +11,7 @@ from pyspark.sql import window as W
 from ..functions.keys import cluster_id
 
 #: Columns that may rank phenotypes, in order of preference.
-P_COLUMNS = ("qval", "pval_beta", "pval_perm", "pval_nominal", "pval_true_df", "qval", "p_fdr")
+P_COLUMNS = ("pval_beta", "pval_perm", "pval_nominal", "pval_true_df", "qval", "p_fdr")
 
 
 def require_columns(df: DataFrame, names: Sequence[str], what: str) -> None:
@@ -27,9 +27,13 @@ def require_rows(df: DataFrame, what: str) -> DataFrame:
 
 
 def match_phenotypes(df: DataFrame, column: str, wanted: str, how: str = "exact") -> DataFrame:
-    """Rows whose `column` equals `wanted`, contains it literally, or (how="regex") matches it."""
+    """Rows whose `column` equals `wanted`, contains it literally, or (how="regex") matches it.
+
+    how="line" matches the expression against the whole line, columns joined by tabs and missing ones as NA.
+    """
     c = F.col(column)
-    tests = {"exact": c == wanted, "contains": F.instr(c, wanted) > 0, "regex": c.rlike(wanted)}
+    line = F.concat_ws("\t", *[F.coalesce(F.col(f"`{x}`").cast("string"), F.lit("NA")) for x in df.columns])
+    tests = {"exact": c == wanted, "contains": F.instr(c, wanted) > 0, "regex": c.rlike(wanted), "line": line.rlike(wanted)}
     return df.where(tests[how])
 
 
@@ -45,10 +49,10 @@ def keep_matching(df: DataFrame, keys: DataFrame, on: str | Sequence[str]) -> Da
 
 def ranking_column(columns: Sequence[str], preferred: str = "qval") -> str:
     """The preferred column, else the first of P_COLUMNS that exists."""
-    for name in (preferred, *P_COLUMNS[1:]):
+    for name in (preferred, *P_COLUMNS):
         if name in columns:
             return name
-    raise ValueError(f"none of {', '.join((preferred, *P_COLUMNS[1:]))} is there")
+    raise ValueError(f"none of {', '.join((preferred, *P_COLUMNS))} is there")
 
 
 def number_or_null(c: Column) -> Column:
@@ -76,6 +80,29 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colu
     return df.groupBy(*keys).agg(F.min_by(F.struct(*rest), order).alias("row")).select(*keys, "row.*")
 
 
+def distinct_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The distinct values of `columns`."""
+    return df.select(*columns).distinct()
+
+
+def summary_counts(df: DataFrame, by: Sequence[str] = (), distinct: Sequence[str] = ()) -> DataFrame:
+    """Per group n (rows) and n_<column> (distinct values of each of `distinct`); one row without `by`."""
+    return df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), *[F.countDistinct(c).alias(f"n_{c}") for c in distinct])
+
+
+def sample_group(samples: DataFrame, group: str = "ALL", column: str = "qtl_group") -> DataFrame:
+    """The samples of one group; samples without the column are all of group ALL."""
+    if column not in samples.columns:
+        samples = samples.withColumn(column, F.lit("ALL"))
+    return samples.where(F.col(column) == group)
+
+
+def smallest_cover(df: DataFrame, by: Sequence[str], weight: str, order: Sequence[str | Column], coverage: float = 0.95) -> DataFrame:
+    """The fewest rows of each group whose weights, largest first and ties by `order`, reach `coverage`."""
+    before = W.Window.partitionBy(*by).orderBy(F.desc(weight), *order).rowsBetween(W.Window.unboundedPreceding, -1)
+    return df.withColumn("__before", F.coalesce(F.sum(weight).over(before), F.lit(0.0))).where(F.col("__before") < coverage).drop("__before")
+
+
 def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 

@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from ..functions import keys as K
 from ..functions import numeric as N
 from ..operators import annotate, chunks, crossval, finemap, genotypes, graph, intervals, reshape, select, skew
+from ..sources import shards, sinks
+from ..sources.shared import scratch_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -91,7 +93,7 @@ def fdr_semi_join(spark, d):
 
 @query("SELECT DISTINCT user_id, event_type FROM events")
 def dedup_rows(spark, d):
-    return table(spark, d, "events").select("user_id", "event_type").dropDuplicates()
+    return select.distinct_rows(table(spark, d, "events"), ["user_id", "event_type"])
 
 
 @query("""SELECT o_custkey, o_orderkey, round(o_totalprice, 2) AS o_totalprice FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS rn FROM orders) WHERE rn = 1""")
@@ -251,24 +253,25 @@ def impute_center(spark, d):
     return g.groupBy("variant_id").agg(r6(F.first("mean")).alias("mean"), F.round(F.sum("imputed"), 4).alias("imputed"), F.round(F.sum(F.abs("centred")), 4).alias("spread"))
 
 
-@query(f"WITH g AS ({DOSAGES}) SELECT variant_id, count(*)::BIGINT AS n FROM g WHERE variant_id % 3 = 0 OR dosage = 0 GROUP BY 1 HAVING sum(round_even(dosage, 0)) <> 0")
+@query(f"WITH g AS ({DOSAGES}) SELECT variant_id, count(*)::BIGINT AS n FROM g GROUP BY 1 HAVING sum(CASE WHEN variant_id % 3 = 0 THEN round_even(dosage, 0) ELSE 0 END) <> 0")
 def drop_monomorphic(spark, d):
-    g = _dosages(spark, d).where("variant_id % 3 = 0 or dosage = 0")
+    g = _dosages(spark, d).withColumn("dosage", F.when(F.col("variant_id") % 3 == 0, F.col("dosage")).otherwise(0.0))
     return genotypes.drop_monomorphic(g).groupBy("variant_id").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("""SELECT p_brand AS covariate, count(*)::BIGINT AS n FROM part WHERE p_size < 25 GROUP BY 1 HAVING stddev_samp(CASE WHEN p_brand LIKE '%3' THEN 1 ELSE p_size END) <> 0""")
+@query("""SELECT p_brand AS covariate, count(*)::BIGINT AS n FROM part GROUP BY 1 HAVING stddev_samp(CASE WHEN p_brand LIKE '%3' THEN 1 ELSE p_size END) <> 0""")
 def drop_zero_sd(spark, d):
-    c = table(spark, d, "part").where("p_size < 25").select(F.col("p_brand").alias("covariate"), F.when(F.col("p_brand").like("%3"), 1).otherwise(F.col("p_size")).alias("value"))
+    c = table(spark, d, "part").select(F.col("p_brand").alias("covariate"), F.when(F.col("p_brand").like("%3"), 1).otherwise(F.col("p_size")).alias("value"))
     return genotypes.drop_constant_covariates(c).groupBy("covariate").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(f"""WITH g AS ({DOSAGES}), a AS (SELECT variant_id, sample_id, dosage FROM g WHERE variant_id % 2 = 0 AND sample_id % 3 <> 0), b AS (SELECT variant_id, sample_id, dosage, 'sv' AS feature_type FROM g WHERE variant_id % 2 = 1 AND sample_id % 5 <> 0),
+@query(f"""WITH g AS ({DOSAGES}), a AS (SELECT variant_id, sample_id, dosage FROM g WHERE variant_id % 2 = 0), b AS (SELECT variant_id, sample_id + 7 AS sample_id, dosage, 'sv' AS feature_type FROM g WHERE variant_id % 2 = 1),
     u AS (SELECT variant_id, sample_id, NULL AS feature_type FROM a UNION ALL SELECT variant_id, sample_id, feature_type FROM b)
     SELECT sample_id, count(*)::BIGINT AS n, count(feature_type)::BIGINT AS n_extra FROM u WHERE sample_id IN (SELECT sample_id FROM a INTERSECT SELECT sample_id FROM b) GROUP BY 1""")
 def merge_additional_genotypes(spark, d):
     g = _dosages(spark, d).drop("ancestry")
-    a, b = g.where("variant_id % 2 = 0 and sample_id % 3 <> 0"), g.where("variant_id % 2 = 1 and sample_id % 5 <> 0").withColumn("feature_type", F.lit("sv"))
+    # Even variants are the one table; the odd ones are the other, whose samples are others in part.
+    a, b = g.where("variant_id % 2 = 0"), g.where("variant_id % 2 = 1").withColumns({"sample_id": F.col("sample_id") + 7, "feature_type": F.lit("sv")})
     return genotypes.merge_genotypes(a, b).groupBy("sample_id").agg(F.count(F.lit(1)).alias("n"), F.count("feature_type").alias("n_extra"))
 
 
@@ -334,7 +337,11 @@ def residualize_ols(spark, d):
 
 @query("SELECT c_nationkey, round(regr_slope(c_acctbal, c_custkey), 6) AS slope, round(regr_intercept(c_acctbal, c_custkey), 4) AS intercept FROM customer GROUP BY 1")
 def beta_hat(spark, d):
-    return table(spark, d, "customer").groupBy("c_nationkey").agg(r6(F.regr_slope("c_acctbal", "c_custkey")).alias("slope"), F.round(F.regr_intercept("c_acctbal", "c_custkey"), 4).alias("intercept"))
+    c = table(spark, d, "customer")
+    key = F.col("c_custkey").cast("string")
+    values = c.select(F.col("c_nationkey").cast("string").alias("phenotype_id"), key.alias("sample_id"), F.col("c_acctbal").alias("value"))
+    found = crossval.coefficients(values, c.select(key.alias("sample_id"), F.array(F.lit(1.0), F.col("c_custkey").cast("double")).alias("c")))
+    return found.select(F.col("phenotype_id").cast("int").alias("c_nationkey"), r6(F.get("beta", F.lit(1))).alias("slope"), F.round(F.get("beta", F.lit(0)), 4).alias("intercept"))
 
 
 # ---------------------------------------------------------------- credible sets
@@ -354,19 +361,24 @@ def credible_set(spark, d):
     x = table(spark, d, "embeddings").select("vec_id", F.posexplode("embedding").alias("i", "v"))
     own = W.Window.partitionBy("vec_id")
     a = x.withColumn("alpha", F.round(F.abs(F.col("v").cast("double")) / F.sum(F.abs(F.col("v").cast("double"))).over(own), 9))
-    before = F.sum("alpha").over(own.orderBy(F.desc("alpha"), "i").rowsBetween(W.Window.unboundedPreceding, -1))
-    return a.withColumn("before", F.coalesce(before, F.lit(0.0))).where("before < 0.95").groupBy("vec_id").agg(F.count(F.lit(1)).alias("cs_size"))
+    return select.smallest_cover(a, ["vec_id"], "alpha", ["i"]).groupBy("vec_id").agg(F.count(F.lit(1)).alias("cs_size"))
 
 
 @query("SELECT vec_id, label::BIGINT AS label FROM embeddings WHERE label IS NOT NULL AND NOT (embedding[1] < 0)")
 def in_cs_filter(spark, d):
     e = table(spark, d, "embeddings").withColumn("low_purity", F.get("embedding", F.lit(0)) < 0)
-    return e.where("label is not null and not low_purity").select("vec_id", big(F.col("label")).alias("label"))
+    return finemap.pure_members(e.withColumnRenamed("label", "cs_index")).select("vec_id", big(F.col("cs_index")).alias("label"))
 
 
-@query("SELECT o_custkey, count(DISTINCT o_orderpriority)::BIGINT AS n_phenotypes FROM orders GROUP BY 1")
+@query("""WITH m AS (SELECT o_orderkey, o_custkey::VARCHAR AS p, o_custkey % 7 <> 0 AS known, 'G' || (o_custkey % 50) AS gene FROM orders), j AS (SELECT o_orderkey, p, CASE WHEN known THEN gene END AS gene_id FROM m),
+    n AS (SELECT gene_id, count(DISTINCT p) AS k FROM j GROUP BY 1) SELECT o_orderkey, j.gene_id, k::BIGINT AS n_phenotypes FROM j JOIN n ON j.gene_id IS NOT DISTINCT FROM n.gene_id""")
 def uniq_per_gene(spark, d):
-    return table(spark, d, "orders").groupBy("o_custkey").agg(F.countDistinct("o_orderpriority").alias("n_phenotypes"))
+    o = table(spark, d, "orders")
+    # One customer in seven is a phenotype that the table of phenotypes lacks.
+    meta = o.where("o_custkey % 7 <> 0").select(F.col("o_custkey").cast("string").alias("phenotype_id")).distinct()
+    meta = meta.select("phenotype_id", F.concat(F.lit("G"), F.col("phenotype_id").cast("long") % 50).alias("gene_id"), F.col("phenotype_id").alias("group_id"))
+    found = finemap.phenotypes_per_gene(o.select("o_orderkey", F.col("o_custkey").cast("string").alias("molecular_trait_id")), meta)
+    return found.select("o_orderkey", "gene_id", F.col("uniq_phenotypes_count").alias("n_phenotypes"))
 
 
 @query("SELECT o_orderkey, round(lbf / ln(10), 6) AS log10bf FROM (SELECT o_orderkey, o_totalprice / 100 AS lbf FROM orders)")
@@ -377,8 +389,11 @@ def log10_bayes_factor(spark, d):
 @query("SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderstatus = 'F' THEN NULL ELSE o_orderpriority END AS o_orderpriority FROM orders")
 def shard_union(spark, d):
     o = table(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
-    a, b = o.where("o_orderstatus <> 'F'"), o.where("o_orderstatus = 'F'").drop("o_orderpriority")
-    return a.unionByName(b, allowMissingColumns=True)
+    folder, paths = scratch_folder(spark), []
+    for part in (o.where("o_orderstatus <> 'F'"), o.where("o_orderstatus = 'F'").drop("o_orderpriority")):
+        paths.append(f"{folder}/{len(paths)}.parquet")
+        sinks.write_table(part, paths[-1])
+    return shards.read_shards(spark, paths, o.schema)
 
 
 # ---------------------------------------------------------------- annotation
@@ -433,14 +448,20 @@ def vat_join(spark, d):
     return out.groupBy("l_orderkey", "l_linenumber").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("gvs_max_af"), 4).alias("maf"))
 
 
-@query("""WITH a AS (SELECT 'G' || (o_custkey % 50) AS gene_id, 'chr' || (o_custkey % 3) || '_' || o_custkey AS variant, o_totalprice / 1000 AS fc, o_orderkey FROM orders),
-    f AS (SELECT gene_id, variant, arg_min(fc, o_orderkey) AS fc FROM a GROUP BY 1, 2) SELECT gene_id, variant, round(fc, 6) AS log2_afc FROM f""")
+@query("""WITH a AS (SELECT 'G' || (o_custkey % 50) AS gene_id, 'chr' || (o_custkey % 3) || '_' || o_custkey AS variant, o_totalprice / 1000 AS fc, o_orderkey FROM orders WHERE o_orderkey % 13 <> 0),
+    f AS (SELECT gene_id, variant, arg_min(fc, o_orderkey) AS fc FROM a GROUP BY 1, 2) SELECT c_custkey, round(fc, 6) AS log2_afc FROM customer LEFT JOIN f ON gene_id = 'G' || (c_custkey % 50) AND variant = 'chr' || (c_custkey % 3) || '_' || c_custkey""")
 def afc_join(spark, d):
     o = table(spark, d, "orders")
     k = F.col("o_custkey")
+    # Rows of column types, in either column, are no fold changes.
+    typed = F.col("o_orderkey") % 13 == 0
+    pid = F.when(typed & (F.col("o_orderkey") % 2 == 0), "<chr>").otherwise(F.concat(F.lit("G"), k % 50, F.lit(".7")))
+    sid = F.when(typed & (F.col("o_orderkey") % 2 == 1), "<chr>").otherwise(F.concat(F.lit("chr"), k % 3, F.lit(":"), k))
     value = F.format_string("%.17g", F.col("o_totalprice") / 1000)
-    afc = o.select(F.concat(F.lit("G"), k % 50, F.lit(".7")).alias("pid"), F.concat(F.lit("chr"), k % 3, F.lit(":"), k).alias("sid"), *[value.alias(c) for c in annotate.FOLD_CHANGE[2:]], F.col("o_orderkey").alias("ordinal"))
-    return annotate.clean_fold_changes(afc).select("gene_id", "variant", r6(F.col("log2_aFC")).alias("log2_afc"))
+    afc = o.select(pid.alias("pid"), sid.alias("sid"), *[value.alias(c) for c in annotate.FOLD_CHANGE[2:]], F.col("o_orderkey").alias("ordinal"))
+    c = F.col("c_custkey")
+    fm = table(spark, d, "customer").select(c, F.concat(F.lit("G"), c % 50).alias("gene_id"), F.concat(F.lit("chr"), c % 3, F.lit("_"), c).alias("variant"))
+    return annotate.add_fold_changes(fm, afc).select("c_custkey", r6(F.col("log2_aFC")).alias("log2_afc"))
 
 
 # ---------------------------------------------------------------- ancestry skew
@@ -470,21 +491,29 @@ def max_subpop(spark, d):
     return out.select("k", "gvs_max_subpop", r6(F.col("gvs_max_af")).alias("gvs_max_af"), "gvs_max_ac", "gvs_max_an", "gvs_rest_ac", "gvs_rest_an")
 
 
-FISHER = """t AS (SELECT k, who, (mac + 1)::BIGINT AS a, (man + 1)::BIGINT AS b, (tac - mac + 1)::BIGINT AS c, (tan - man + 1)::BIGINT AS e FROM w WHERE (k % 100) / 100.0 >= 0.9),
+def _fisher(source: str) -> str:
+    """Common table expressions from t (k, who, a, b, c, e) to p with the two-sided p-value by k."""
+    return f"""t AS (SELECT k, who, (mac + 1)::BIGINT AS a, (man + 1)::BIGINT AS b, (tac - mac + 1)::BIGINT AS c, (tan - man + 1)::BIGINT AS e FROM {source} WHERE (k % 100) / 100.0 >= 0.9 AND tac >= mac AND tan >= man),
     s AS (SELECT k, who, a, unnest(range(greatest(0, a + b - (b + e)), least(a + b, a + c) + 1)) AS x, a + c AS m, b + e AS n, a + b AS q FROM t),
     p AS (SELECT k, who, x = a AS own, exp(lgamma(m + 1) - lgamma(x + 1) - lgamma(m - x + 1) + lgamma(n + 1) - lgamma(q - x + 1) - lgamma(n - q + x + 1) - lgamma(m + n + 1) + lgamma(q + 1) + lgamma(m + n - q + 1)) AS pmf FROM s),
-    o AS (SELECT k, any_value(pmf) FILTER (own) AS mine FROM p GROUP BY 1)"""
+    o AS (SELECT k, any_value(pmf) FILTER (own) AS mine FROM p GROUP BY 1), v AS (SELECT k, any_value(who) AS who, round(least(1, sum(pmf) FILTER (pmf <= mine * (1 + 1e-7))), 6) AS p_value FROM p JOIN o USING (k) GROUP BY k)"""
 
 
-@query(f"{LARGEST}, {FISHER} SELECT k, any_value(who) AS gvs_max_subpop, round(least(1, sum(pmf) FILTER (pmf <= mine * (1 + 1e-7))), 6) AS gvs_p_value FROM p JOIN o USING (k) GROUP BY k")
+@query(f"{LARGEST}, {_fisher('w')} SELECT k, who AS gvs_max_subpop, p_value AS gvs_p_value FROM v")
 def fisher_p(spark, d):
     out = skew.ancestry_skew(_counts(spark, d).select("*"), 0.9, "oth", keep_columns=True)
     return out.select("k", "gvs_max_subpop", r6(F.col("gvs_p_value")).alias("gvs_p_value"))
 
 
-@query()
+# The whole cohort has 9 alleles, 5 of them counted, that are of no subpopulation.
+UNMIXED = """u AS (SELECT k, CASE WHEN a >= n OR n IS NULL THEN 'afr' WHEN n IS NOT NULL THEN 'eur' END AS who0, a, n, a_ac, a_an, n_ac, n_an, tac + 5 - r_ac AS tac, tan + 9 - r_an AS tan FROM w),
+    x AS (SELECT k, CASE WHEN a IS NULL AND n IS NULL THEN NULL ELSE who0 END AS who, CASE WHEN who0 = 'afr' THEN a_ac ELSE n_ac END AS mac, CASE WHEN who0 = 'afr' THEN a_an ELSE n_an END AS man, tac, tan FROM u)"""
+
+
+@query(f"{LARGEST}, {UNMIXED}, {_fisher('x')} SELECT 'v' || x.k AS variant, p_value AS gvs_no_admixed_p_value FROM x LEFT JOIN v ON v.k = x.k WHERE (x.k % 100) / 100.0 >= 0.9")
 def skew_no_admixed(spark, d):
-    return skew.ancestry_skew(_counts(spark, d))
+    whole = _counts(spark, d).withColumns({"gvs_all_ac": F.col("gvs_all_ac") + 5, "gvs_all_an": F.col("gvs_all_an") + 9})
+    return skew.ancestry_skew(whole).select("variant", r6(F.col("gvs_no_admixed_p_value")).alias("gvs_no_admixed_p_value"))
 
 
 # ---------------------------------------------------------------- cross-validation
@@ -531,11 +560,17 @@ def connected_components(spark, d):
     return graph.connected_components(e)
 
 
-@query()
+@query("""WITH RECURSIVE s AS (SELECT 't' || o_custkey || '_L' || (o_orderkey % 3) AS cs_id, o_custkey::VARCHAR AS molecular_trait_id, 'g' AS "group", 'v' || (o_orderkey % 499) AS variant, 'chr' || (o_orderkey % 5) AS chromosome, o_orderkey % 499 AS position,
+    (o_orderkey % 11 - 5)::DOUBLE AS z, (o_orderkey % 100) / 100.0::DOUBLE AS pip, (o_orderkey % 20)::INT AS cs_size FROM orders),
+    k AS (SELECT s.*, m AS max_abs_z FROM s JOIN (SELECT cs_id, max(abs(z)) AS m FROM s GROUP BY 1) USING (cs_id) WHERE m > 3 AND cs_size < 10),
+    h AS (SELECT chromosome, position, min(cs_id) AS hub FROM k GROUP BY 1, 2), e AS (SELECT DISTINCT cs_id AS u, hub AS v FROM k JOIN h USING (chromosome, position)), b AS (SELECT u, v FROM e UNION SELECT v, u FROM e),
+    r(node, component) USING KEY (node) AS (SELECT u, least(u, min(v)) FROM b GROUP BY u UNION SELECT b.u, min(n.component) FROM r AS n JOIN b ON b.v = n.node JOIN recurring.r AS o ON o.node = b.u WHERE n.component < o.component GROUP BY b.u),
+    f AS (SELECT k.*, component FROM k LEFT JOIN r ON node = cs_id), t AS (SELECT component, arg_max(variant, (pip, variant)) AS top_variant FROM f GROUP BY 1)
+    SELECT f.*, top_variant FROM f LEFT JOIN t USING (component)""")
 def set_components(spark, d):
     o = table(spark, d, "orders")
     k = F.col("o_orderkey")
-    sets = o.select(F.concat(F.lit("t"), F.col("o_custkey"), F.lit("_L"), k % 3).alias("cs_id"), F.col("o_custkey").cast("string").alias("molecular_trait_id"), F.lit("g").alias("group"), F.concat(F.lit("v"), k % 997).alias("variant"), F.concat(F.lit("chr"), k % 22).alias("chromosome"), (k % 997).alias("position"), (k % 11 - 5).cast("double").alias("z"), ((k % 100) / 100.0).alias("pip"), (k % 20).cast("int").alias("cs_size"))
+    sets = o.select(F.concat(F.lit("t"), F.col("o_custkey"), F.lit("_L"), k % 3).alias("cs_id"), F.col("o_custkey").cast("string").alias("molecular_trait_id"), F.lit("g").alias("group"), F.concat(F.lit("v"), k % 499).alias("variant"), F.concat(F.lit("chr"), k % 5).alias("chromosome"), (k % 499).alias("position"), (k % 11 - 5).cast("double").alias("z"), ((k % 100) / 100.0).alias("pip"), (k % 20).cast("int").alias("cs_size"))
     return graph.set_components(sets)
 
 
@@ -577,28 +612,40 @@ def tmm_cpm(spark, d):
     return crossval.normalised_counts(counts)
 
 
+def cv_inputs(spark, d):
+    """Phenotypes, dosages and folds of the query cross_validation: one phenotype per tenth variant, made of its dosages."""
+    g = _matrix(spark, d)
+    y = F.transform("dosage", lambda x, i: x + (F.xxhash64(i) % 100) / 100.0)
+    traits = g.where("position % 10000 = 0").select(F.concat(F.lit("t"), "position").alias("phenotype_id"), "chromosome", "position", y.alias("values"))
+    samples = table(spark, d, "embeddings").select("vec_id").orderBy("vec_id").toPandas()["vec_id"].astype(str)
+    return traits, g, pd.DataFrame({"sample_id": samples, "fold": [i % 3 + 1 for i in range(len(samples))]})
+
+
 @query()
 def cross_validation(spark, d):
-    g = _matrix(spark, d)
-    packed = g.groupBy().agg(F.sort_array(F.collect_list(F.struct("variant_id", "dosage"))).alias("variants")).withColumn("phenotype_id", F.lit("t1"))
-    y = g.where("position = 5000").select(F.lit("t1").alias("phenotype_id"), F.transform("dosage", lambda x, i: x + (F.xxhash64(i) % 100) / 100.0).alias("values"))
-    n = y.select(F.size("values")).first()[0]
-    return crossval.cross_validate(y, packed, pd.DataFrame({"fold": [i % 3 + 1 for i in range(n)]}), [0.0, 0.01])
+    from ..plans import pipeline
+
+    traits, g, folds = cv_inputs(spark, d)
+    allowed = g.where("position % 3000 <> 0").select("variant_id")
+    return pipeline.cv_predict(traits, g, folds, fold_pcs(spark, d), allowed=allowed)
 
 
 # ---------------------------------------------------------------- reshaping and small verbs
-@query("""SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber, sample_id, sum(value) AS value FROM (SELECT l_orderkey, l_linenumber, 'l_quantity' AS sample_id, l_quantity AS value FROM lineitem UNION ALL SELECT l_orderkey, l_linenumber, 'l_tax', round(l_tax, 2) FROM lineitem) WHERE l_linenumber = 1 GROUP BY ALL HAVING count(*) = 1""")
+@query("""SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber, sample_id, round(sum(value), 2) AS value, count(*)::BIGINT AS n FROM (SELECT l_orderkey, l_linenumber, 'l_quantity' AS sample_id, l_quantity AS value FROM lineitem UNION ALL SELECT l_orderkey, l_linenumber, 'l_tax', round(l_tax, 2) FROM lineitem) GROUP BY 1, 2, 3""")
 def to_long(spark, d):
-    x = table(spark, d, "lineitem").where("l_linenumber = 1").select("l_orderkey", big(F.col("l_linenumber")).alias("l_linenumber"), "l_quantity", F.round("l_tax", 2).alias("l_tax"))
+    x = table(spark, d, "lineitem").select("l_orderkey", big(F.col("l_linenumber")).alias("l_linenumber"), "l_quantity", F.round("l_tax", 2).alias("l_tax"))
     long = reshape.to_long(x, ["l_orderkey", "l_linenumber"], ["l_quantity", "l_tax"])
-    return long.groupBy("l_orderkey", "l_linenumber", "sample_id").agg(F.sum("value").alias("value"), F.count(F.lit(1)).alias("n")).where("n = 1").drop("n")
+    return long.groupBy("l_orderkey", "l_linenumber", "sample_id").agg(F.round(F.sum("value"), 2).alias("value"), F.count(F.lit(1)).alias("n"))
+
+
+SEGMENTS = ("automobile", "building", "furniture", "household", "machinery")
 
 
-@query("SELECT 'n' || (c_custkey % 10) AS sample_id, max(c_acctbal) FILTER (c_mktsegment = 'BUILDING' AND c_custkey < 100) AS building, max(c_acctbal) FILTER (c_mktsegment = 'MACHINERY' AND c_custkey < 100) AS machinery FROM customer GROUP BY 1")
+@query("SELECT 'n' || (c_custkey % 10) AS sample_id, " + ", ".join(f"max(c_acctbal) FILTER (lower(c_mktsegment) = '{x}') AS {x}" for x in SEGMENTS) + " FROM customer GROUP BY 1")
 def transpose_matrix(spark, d):
-    top = lambda i: F.max(F.when((F.col("c_custkey") < 100) & (F.col("c_custkey") % 10 == i), F.col("c_acctbal"))).alias(f"n{i}")
+    top = lambda i: F.max(F.when(F.col("c_custkey") % 10 == i, F.col("c_acctbal"))).alias(f"n{i}")
     wide = table(spark, d, "customer").groupBy(F.lower("c_mktsegment").alias("ID")).agg(*[top(i) for i in range(10)])
-    return reshape.transpose(wide.where("ID in ('building', 'machinery')"), "ID")
+    return reshape.transpose(wide, "ID")
 
 
 @query("SELECT p_partkey, CASE p_size % 3 WHEN 0 THEN p_size WHEN 1 THEN p_size * 2 END::BIGINT AS value FROM part")
@@ -631,9 +678,10 @@ def dosage_arrays(spark, d):
 @query("""WITH x AS (SELECT o_custkey, o_orderkey, o_totalprice, count(DISTINCT o_orderpriority) OVER (PARTITION BY o_custkey) AS n FROM orders) SELECT o_custkey, arg_max(o_orderkey, (o_totalprice, o_orderkey)) AS top, any_value(n)::BIGINT AS n_priorities FROM x GROUP BY 1""")
 def top_of_component(spark, d):
     o = table(spark, d, "orders")
-    return o.groupBy("o_custkey").agg(F.max_by("o_orderkey", F.struct("o_totalprice", "o_orderkey")).alias("top"), F.countDistinct("o_orderpriority").alias("n_priorities"))
+    top = graph.top_of_component(o, "o_custkey", "o_orderkey", "o_totalprice")
+    return top.join(select.summary_counts(o, ["o_custkey"], ["o_orderpriority"]), "o_custkey").select("o_custkey", "top", F.col("n_o_orderpriority").alias("n_priorities"))
 
 
-@query("SELECT event_type, count(DISTINCT user_id)::BIGINT AS n_users, count(*)::BIGINT AS n, max(user_id % 5) + 1 AS folds FROM events GROUP BY 1")
+@query("SELECT event_type, count(DISTINCT user_id)::BIGINT AS n_user_id, count(*)::BIGINT AS n FROM events GROUP BY 1")
 def summary_counts(spark, d):
-    return table(spark, d, "events").groupBy("event_type").agg(F.countDistinct("user_id").alias("n_users"), F.count(F.lit(1)).alias("n"), (F.max(F.col("user_id") % 5) + 1).alias("folds"))
+    return select.summary_counts(table(spark, d, "events"), ["event_type"], ["user_id"])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,6 +26,24 @@ def read_shards(spark: SparkSession, paths: list[str], schema: T.StructType, str
     return df
 
 
+def concatenate(spark: SparkSession, paths: list[str], sep: str = "\t") -> DataFrame:
+    """Text shards with the same header as one table, rows in the order of `paths` and of the lines.
+
+    The order is that of the result's range partitions, so a writer keeps it file by file.
+    """
+    order = spark.createDataFrame([(p.rsplit("/", 1)[-1], i) for i, p in enumerate(paths)], "__file string, __shard int")
+    df = spark.read.options(sep=sep, header=True, nullValue="NA").csv(paths)
+    names = df.columns
+    rows = df.select("*", F.element_at(F.split("_metadata.file_path", "/"), -1).alias("__name"), F.col("_metadata.file_block_start").alias("__start"), F.monotonically_increasing_id().alias("__row"))
+    rows = rows.join(F.broadcast(order), F.col("__name") == F.col("__file"))  # a row per path
+    return rows.orderBy("__shard", "__start", "__row").select(*names)
+
+
+def manifest_list(spark: SparkSession, path: str) -> list[str]:
+    """The paths of a JSON manifest (sinks.write_sharded)."""
+    return json.loads("".join(r[0] for r in spark.read.text(path).collect()))
+
+
 def skipped_shards(spark: SparkSession, paths: list[str], schema: T.StructType) -> list[str]:
     """Paths that gave no row."""
     seen = read_shards(spark, paths, schema, False).select(F.input_file_name().alias("f")).distinct()

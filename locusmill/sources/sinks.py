@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,9 +38,15 @@ def write_dosages(df: DataFrame, path: str) -> None:
     ranged.write.mode("overwrite").partitionBy("chromosome").parquet(path)
 
 
-def write_sharded(df: DataFrame, path: str, rows_per_file: int) -> None:
-    """Text shards of at most `rows_per_file` rows, each with the header."""
+def write_sharded(df: DataFrame, path: str, rows_per_file: int) -> list[str]:
+    """Text shards of at most `rows_per_file` rows, each with the header, and their names as a JSON list in <path>.manifest."""
     df.write.mode("overwrite").options(sep="\t", header=True, nullValue="NA", maxRecordsPerFile=rows_per_file).csv(path)
+    spark = df.sparkSession
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    found = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(at)
+    names = sorted(f"{path}/{f.getPath().getName()}" for f in found if f.getPath().getName().startswith("part-"))
+    spark.createDataFrame([(json.dumps(names),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}.manifest")
+    return names
 
 
 def with_skip_row(df: DataFrame, id_column: str) -> DataFrame:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import gzip
+import io
+import itertools
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -34,7 +36,7 @@ def read_delimited(spark: SparkSession, path: str, sep: str = "\t", header: bool
 
 
 def is_gzip(spark: SparkSession, path: str) -> bool:
-    """Whether the first file at `path` starts with gzip's two bytes. Two bytes are read, in the JVM, from any store."""
+    """Whether any file at `path` starts with gzip's two bytes. Two bytes a file are read, in the JVM, from any store."""
     jvm = spark.sparkContext._jvm
     at = jvm.org.apache.hadoop.fs.Path(path)
     fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -44,24 +46,27 @@ def is_gzip(spark: SparkSession, path: str) -> bool:
             continue
         stream = fs.open(status.getPath())
         try:
-            return stream.read() == 0x1F and stream.read() == 0x8B
+            if stream.read() == 0x1F and stream.read() == 0x8B:
+                return True
         finally:
             stream.close()
     return False
 
 
 def _from_lines(spark: SparkSession, path: str, reader) -> DataFrame:
-    """gzip under another suffix: files are unpacked by tasks and parsed from lines."""
+    """gzip under another suffix: files are unpacked by tasks as a stream, in batches of lines, and parsed by the JVM's reader."""
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for content in batch.column(0):
-                lines = gzip.decompress(content.as_py()).decode().splitlines()
-                for i in range(0, len(lines), 10_000):
-                    yield pa.RecordBatch.from_pydict({"value": pa.array(lines[i : i + 10_000], pa.string())})
+                content = content.as_py()
+                lines = gzip.open(io.BytesIO(content), "rt", encoding="utf-8", newline=None) if content[:2] == b"\x1f\x8b" else io.TextIOWrapper(io.BytesIO(content), "utf-8")
+                while some := list(itertools.islice(lines, 10_000)):
+                    yield pa.RecordBatch.from_pydict({"value": pa.array([x.rstrip("\n") for x in some], pa.string())})
 
     lines = spark.read.format("binaryFile").load(path).select("content").mapInArrow(unpack, "value string")
-    return reader.csv(lines.rdd.map(lambda r: r["value"]))
+    encoder = spark._jvm.org.apache.spark.sql.Encoders.STRING()
+    return DataFrame(reader._jreader.csv(getattr(lines._jdf, "as")(encoder)), spark)
 
 
 def sniff_separator(spark: SparkSession, path: str) -> str:
@@ -175,6 +180,13 @@ def consequences(spark: SparkSession, path: str) -> DataFrame:
     return df.select(F.col(a).alias("chromosome"), F.col(b).cast("int").alias("position"), F.col(c).alias("ref"), F.col(d).alias("alt"), F.col(e).alias("terms"))
 
 
+def genotype_arrays(spark: SparkSession, path: str, samples: list[str]) -> DataFrame:
+    """Additional genotypes (variant_id, phenotype_id, feature_type, then samples) as phenotype_id, variant_id, dosage in the order of `samples`."""
+    df = read_delimited(spark, path)
+    a, b, _, *_ = df.columns
+    return df.select(F.col(f"`{b}`").alias("phenotype_id"), F.col(f"`{a}`").alias("variant_id"), F.array(*[F.col(f"`{s}`").try_cast("double") for s in samples]).alias("dosage"))
+
+
 def sample_list(spark: SparkSession, path: str) -> list[str]:
     """One column with a header; samples are text."""
     return [r[0] for r in read_delimited(spark, path).toDF("sample_id").where("sample_id is not null").toLocalIterator()]

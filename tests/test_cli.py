@@ -48,3 +48,28 @@ def test_skew_command(spark, tmp_path):
         (tmp_path / "in.tsv").write_text("\t".join(head) + "\n" + "\t".join(["v", pip, "10", "100", "0.4", "4", "10", "NA", "1", "10"]) + "\n")
         cli.run(spark, ["skew", "--input", f"{tmp_path}/in.tsv", "--out_prefix", f"{tmp_path}/o{n}"])
         assert spark.read.text(f"{tmp_path}/o{n}.skew.tsv.gz").count() == n
+
+
+def test_cv_commands(spark, tmp_path):
+    write_inputs(tmp_path)
+    f = lambda name: f"{tmp_path}/{name}"
+    rng = np.random.default_rng(1)
+    samples = [f"s{i}" for i in range(80)]
+    counts = ["\t".join(["Name", "Description", *samples])] + ["\t".join([f"g{j}", "x", *map(str, rng.integers(1, 500, 80))]) for j in range(40)]
+    (tmp_path / "counts.tsv").write_text("\n".join(counts) + "\n")
+    cli.run(spark, ["cv_prepare", "--counts", f("counts.tsv"), "--ancestry", f("anc.tsv"), "--n_folds", "3", "--out_prefix", f("m")])
+    (tmp_path / "allowed.tsv").write_text("variant\n" + "\n".join(f"chr1_{1000 * (j + 1)}_A_G" for j in range(0, 30)) + "\n")
+    cli.run(spark, ["cv_predict", "--phenotypes", f("bed.tsv"), "--permutations", f("qtl.tsv"), "--dosages", f("dose.tsv"), "--covariates", f("cov.tsv"), "--cv_meta", f("m.cv"), "--variant_list", f("allowed.tsv"), "--phenotype_id", "x_ENSG1.1", "--out_prefix", f("x")])
+    rows = spark.read.options(sep="\t", header=True).csv(f("x_SusiePredictions.tsv")).collect()
+    assert len(rows) == 160 and {r.Gene for r in rows} == {"x_ENSG1.1"} and {r.AF_threshold for r in rows} == {"0.0", "0.01"}
+    assert {r.sample_id for r in rows} == set(samples)
+
+
+def test_finemap_with_additional_genotypes(spark, tmp_path):
+    write_inputs(tmp_path)
+    f = lambda name: f"{tmp_path}/{name}"
+    samples = [f"s{i}" for i in range(70)]  # ten samples are not in it
+    (tmp_path / "sv.tsv").write_text("\t".join(["variant_id", "phenotype_id", "feature_type", *samples]) + "\n" + "\t".join(["DEL_1", "x_ENSG1.1", "sv", *[str(i % 3) for i in range(70)]]) + "\n")
+    cli.run(spark, ["finemap", "--phenotypes", f("bed.tsv"), "--permutations", f("qtl.tsv"), "--dosages", f("dose.tsv"), "--sample_list", f("samples.tsv"), "--phenotype_id", "x_ENSG1.1", "--additional_genotypes", f("sv.tsv"), "--out_prefix", f("o")])
+    assert {r.variant for r in spark.read.parquet(f("o.parquet")).collect()} == {"chr1_10000_A_G"}
+    assert "DEL_1" in {r.variant for r in spark.read.parquet(f("o.full.parquet")).collect()}

@@ -8,9 +8,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from locusmill import schemas
+from locusmill.functions import kernels
 from locusmill.functions import keys as K
 from locusmill.functions import numeric as N
-from locusmill.operators import annotate, chunks, finemap, genotypes, intervals, reshape, select, skew
+from locusmill.operators import annotate, chunks, finemap, genotypes, graph, intervals, reshape, select, skew
 from locusmill.plans import pipeline
 from locusmill.sources import genomic, shards, sinks, tables
 
@@ -126,7 +127,7 @@ def test_skew(spark):
     assert got["v1"].gvs_max_subpop == "oth" and got["v1"].gvs_max_af == 0.5
     assert got["v2"].gvs_max_subpop is None and got["v2"].gvs_p_value is None
     assert got["v4"].gvs_p_value is None  # the rest would be negative
-    assert got["v4"].gvs_no_admixed_p_value is not None
+    assert got["v4"].gvs_no_admixed_p_value is None  # here too: one counted allele less none of the admixed, less two
     keep = skew.ancestry_skew(skew_rows(spark), keep_columns=True)
     assert keep.columns[:13] == skew_rows(spark).columns
     with pytest.raises(ValueError):
@@ -265,3 +266,151 @@ def test_streaming_shards(spark, tmp_path):
     for _ in range(2):
         merge_arriving(arriving_shards(spark, f"{tmp_path}/in"), f"{tmp_path}/out", f"{tmp_path}/cp").awaitTermination()
     assert spark.read.parquet(f"{tmp_path}/out").count() == 1
+
+
+def test_skew_background_is_the_cohort_less_the_admixed(spark):
+    columns = "variant string, pip double, gvs_all_ac double, gvs_all_an double, gvs_afr_af double, gvs_afr_ac double, gvs_afr_an double, gvs_eur_af double, gvs_eur_ac double, gvs_eur_an double, gvs_oth_af double, gvs_oth_ac double, gvs_oth_an double"
+    rows = [("v", 0.95, 100.0, 1000.0, 0.1, 10.0, 100.0, 0.05, 5.0, 100.0, 0.06, 6.0, 100.0), ("w", 0.95, 100.0, 1000.0, 0.1, 10.0, 100.0, 0.05, 5.0, 100.0, None, None, None)]
+    got = {r.variant: r for r in skew.ancestry_skew(spark.createDataFrame(rows, columns)).collect()}
+    # 10 of 100 against 100 - 6 - 10 of 1000 - 100 - 100, one added to each cell.
+    want = kernels.fisher(11, 101, 85, 801)
+    assert (got["v"].gvs_no_admixed_odds_ratio, got["v"].gvs_no_admixed_p_value) == pytest.approx(want)
+    assert got["w"].gvs_no_admixed_p_value is None and got["w"].gvs_p_value is not None
+
+
+def test_fold_changes_drop_column_types(spark):
+    rows = [("<chr>", "chr1:5_A_G", "1", "1", "1", 0), ("G1.2", "<chr>", "1", "1", "1", 1), ("pid", "sid", "log2_aFC", "x", "x", 2), ("G1.2", "chr1:5_A_G", "0.5", "NA", "1", 3)]
+    afc = spark.createDataFrame(rows, "pid string, sid string, log2_aFC string, log2_aFC_lower string, log2_aFC_upper string, ordinal int")
+    assert [tuple(r) for r in annotate.clean_fold_changes(afc).collect()] == [("G1", "chr1_5_A_G", 0.5, None, 1.0)]
+
+
+@pytest.mark.parametrize("seed, at_once", [(0, 0), (1, 0), (2, 200_000)])
+def test_connected_components_equal_brute_force(spark, seed, at_once, monkeypatch):
+    import random
+
+    monkeypatch.setattr(graph, "ONE_TASK", at_once)
+    rng = random.Random(seed)
+    edges = [(rng.randrange(400), rng.randrange(400)) for _ in range(150)] + [(i, i + 1) for i in range(500, 540)] + [(700, i) for i in range(701, 760)] + [(900, 900)]
+    parent = {x: x for e in edges for x in e}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        a, b = find(a), find(b)
+        parent[max(a, b)] = min(a, b)
+    got = {r.node: r.component for r in graph.connected_components(spark.createDataFrame(edges, "u long, v long")).collect()}
+    assert got == {x: find(x) for x in parent}
+
+
+def test_additional_genotypes_reach_their_phenotype_alone(spark):
+    rng = np.random.default_rng(2)
+    n = 120
+    g = rng.integers(0, 3, size=(20, n)).astype(float)
+    sv = rng.integers(0, 3, size=n).astype(float)
+    y = sv * 2 + rng.normal(size=n) * 0.3
+    rows = [(f"t{k}", "chr1", 1000, (y if k == 1 else y + rng.normal(size=n)).tolist()) for k in (1, 2)]
+    traits = spark.createDataFrame(rows, "phenotype_id string, chromosome string, position int, values array<double>")
+    dosages = spark.createDataFrame([(f"chr1_{1000 + i}_A_G", "chr1", 1000 + i, g[i].tolist()) for i in range(20)], "variant_id string, chromosome string, position int, dosage array<double>")
+    extra = spark.createDataFrame([("t1", "DEL_1", sv.tolist()), ("t9", "DEL_9", sv.tolist())], "phenotype_id string, variant_id string, dosage array<double>")
+    for share in (False, True):
+        o = pipeline.FineMap(distance=5000, share_regions=share)
+        found = pipeline.fine_map(traits, dosages, None, o, additional=extra)["in_cs"].select("molecular_trait_id", "variant").collect()
+        assert [tuple(r) for r in found] == [("t1", "DEL_1")]
+
+
+def test_cross_validation_equals_an_independent_run(spark):
+    """Folds, covariates, scores, effects, predictions and residuals, written out by hand."""
+    from statistics import NormalDist
+
+    rng = np.random.default_rng(7)
+    n, p = 90, 25
+    g = rng.integers(0, 3, size=(p, n)).astype(float)
+    g[0, 3] = -1
+    pcs = rng.normal(size=(n, 2))
+    y = g[4] * 1.5 + pcs[:, 0] + rng.normal(size=n) * 0.4
+    y[10] = np.nan
+    names = [f"s{i}" for i in range(n)]
+    folds = pd.DataFrame({"sample_id": names, "fold": [i % 3 + 1 for i in range(n)]})
+    traits = spark.createDataFrame([("gene", "chr1", 5000, [None if v != v else float(v) for v in y])], "phenotype_id string, chromosome string, position int, values array<double>")
+    dosages = spark.createDataFrame([(f"chr1_{1000 + i}_A_G", "chr1", 1000 + i, g[i].tolist()) for i in range(p)], "variant_id string, chromosome string, position int, dosage array<double>")
+    allowed = spark.createDataFrame([(f"chrchr1_{1000 + i}_A_G",) for i in range(p) if i != 4], "x string")
+    scores = [(k, "test" if f == k else "train", s, [float(pcs[i, 0]) + k]) for k in (1, 2, 3) for i, (s, f) in enumerate(zip(names, folds["fold"]))]
+    components = spark.createDataFrame(scores, "fold int, split string, sample_id string, pcs array<double>")
+    genetic = pd.DataFrame({"GENETIC_PC1": pcs[:, 1], "other": 1.0}, index=names)
+    got = pipeline.cv_predict(traits, dosages, folds, components, genetic, allowed).toPandas()
+
+    def normal(v):
+        rank = np.array([(v < x).sum() + ((v == x).sum() + 1) / 2 for x in v])
+        return np.array([NormalDist().inv_cdf((r - 0.5) / len(v)) for r in rank])
+
+    for label, rows in ((0.0, range(p)), (0.01, [i for i in range(p) if i != 4])):
+        for k in (1, 2, 3):
+            own = got[(got.AF_threshold == label) & (got.Fold == k)].set_index("sample_id")
+            train = [i for i in range(n) if folds["fold"][i] != k and i != 10]
+            test = [i for i in range(n) if folds["fold"][i] == k and i != 10]
+            c = np.column_stack([pcs[:, 0] + k, pcs[:, 1]])
+            zy = normal(y[train])
+            beta = np.linalg.solve(c[train].T @ c[train], c[train].T @ zy)
+            observed = normal(y[test]) - c[test] @ beta
+            assert sorted(own.index) == sorted(names[i] for i in test) and set(own.Gene) == {"gene"}
+            assert np.allclose([own.Observed[names[i]] for i in test], observed)
+            x = np.array([[g[j, i] for i in train] for j in rows])
+            x[x == -1] = np.nan
+            x = np.where(np.isnan(x), np.nanmean(x, axis=1)[:, None], x)
+            x = x - x.mean(axis=1)[:, None]
+            both = np.column_stack([c[train], np.ones(len(train))])
+            hat = np.eye(len(train)) - both @ np.linalg.pinv(both)
+            fit = kernels.single_effects((hat @ x.T), hat @ zy)
+            guess = g[np.ix_(list(rows), test)].T @ fit.posterior()[0]
+            if label == 0.0:
+                assert np.allclose([own.Predicted[names[i]] for i in test], guess, atol=1e-6) and np.corrcoef(guess, observed)[0, 1] > 0.5
+            else:  # without the cause there is no credible set, so the prediction is 0
+                assert (own.Predicted == 0).all() or np.allclose([own.Predicted[names[i]] for i in test], guess, atol=1e-6)
+
+
+def test_cross_validation_edges(spark):
+    traits = spark.createDataFrame([("a", "chr1", 1, [1.0, None, None, 2.0])], "phenotype_id string, chromosome string, position int, values array<double>")
+    dosages = spark.createDataFrame([("chr1_1_A_G", "chr1", 1, [0.0, 1.0, 2.0, 0.0])], "variant_id string, chromosome string, position int, dosage array<double>")
+    folds = pd.DataFrame({"sample_id": list("wxyz"), "fold": [1, 2, 1, 2]})
+    assert pipeline.cv_predict(traits, dosages, folds).count() == 0
+    assert pipeline.cv_predict(traits.limit(0), dosages, folds).count() == 0
+
+
+def test_bigwig_regions_prune_blocks(spark, tmp_path):
+    for order in "<>":
+        blocks = [zlib.compress(struct.pack(order + "IIIIIBBH", 0, s, s + 10, 0, 0, 1, 0, 1) + struct.pack(order + "IIf", s, s + 5, s / 2)) for s in (10, 1000)]
+        chroms = struct.pack(order + "IIIIQQ", 0x78CA8C91, 1, 4, 8, 1, 0) + struct.pack(order + "BBH", 1, 0, 1) + b"chr1" + struct.pack(order + "II", 0, 5000)
+        at = [64 + len(chroms), 64 + len(chroms) + len(blocks[0])]
+        leaves = b"".join(struct.pack(order + "IIIIQQ", 0, s, 0, s + 10, a, len(b)) for s, a, b in zip((10, 1000), at, blocks))
+        index = struct.pack(order + "IIQIIIIQII", 0x2468ACE0, 2, 2, 0, 10, 0, 1010, 0, 1, 0) + struct.pack(order + "BBH", 1, 0, 2) + leaves
+        head = struct.pack(order + "IHHQQQHHQQIQ", 0x888FFC26, 4, 0, 64, at[0], at[1] + len(blocks[1]), 0, 0, 0, 0, 32768, 0)
+        (tmp_path / "y.bw").write_bytes(head + chroms + b"".join(blocks) + index)
+        rows = lambda **k: sorted((r.chromosome, r.start, r.end, r.score) for r in genomic.bigwig(spark, f"{tmp_path}/y.bw", **k).collect())  # noqa: E731, B023
+        assert rows() == [("chr1", 11, 15, 5.0), ("chr1", 1001, 1005, 500.0)]
+        assert rows(regions=[("chr1", 1, 3), ("chr1", 1005, 1005), ("chr2", 1, 9)]) == [("chr1", 1001, 1005, 500.0)]
+        assert rows(regions=[]) == []
+
+
+def test_shards_keep_order_and_manifest(spark, tmp_path):
+    rows = spark.createDataFrame([(i,) for i in range(25)], "k int").coalesce(1)
+    names = sinks.write_sharded(rows, f"{tmp_path}/s", 10)
+    assert len(names) == 3 and shards.manifest_list(spark, f"{tmp_path}/s.manifest") == names
+    back = shards.concatenate(spark, names[::-1])
+    assert [int(r.k) for r in back.collect()] == [*range(20, 25), *range(10, 20), *range(10)]
+
+
+def test_sample_group_and_summary(spark):
+    people = spark.createDataFrame([("a", "Test"), ("b", "Train")], "sample_id string, qtl_group string")
+    assert [r.sample_id for r in select.sample_group(people, "Test").collect()] == ["a"]
+    assert select.sample_group(people.drop("qtl_group")).count() == 2 and select.sample_group(people.drop("qtl_group"), "x").count() == 0
+    assert select.summary_counts(people, distinct=["qtl_group"]).first()[:] == (2, 2)
+
+
+def test_memory_report():
+    from locusmill.functions import memory
+
+    space = {"big": np.zeros(1000), "small": 1, "frame": pd.DataFrame({"x": [1.0] * 10})}
+    assert memory.largest(space, 1) == [("big", "ndarray", 8000)] and [r[0] for r in memory.named(space, ["small", "gone", "frame"])] == ["small", "frame"]
