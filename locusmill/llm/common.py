@@ -65,6 +65,32 @@ def n_words(text: Column) -> Column:
     return F.regexp_count(text, F.lit(WORD)).cast("long")
 
 
+def content_key(text: Column) -> list[Column]:
+    """Two 64-bit hashes of a text; with the id they tell rows apart, and rows that agree in all three are equal rows."""
+    return [F.xxhash64(text), F.xxhash64(F.lit(29), text)]
+
+
+def same(left: DataFrame, right: DataFrame, pairs: dict[str, str]) -> Column:
+    """All named columns are equal, null to null."""
+    out = F.lit(True)
+    for a, b in pairs.items():
+        out = out & left[a].eqNullSafe(right[b])
+    return out
+
+
+def one_of_equal(rows: DataFrame, repeats: DataFrame, keys: list[str]) -> DataFrame:
+    """`rows` with one row for each key of `repeats` (distinct), and all rows of any other key.
+
+    Equal rows are dropped on the map side first, so a key that holds much of the input leaves one row a task.
+    """
+    if repeats.isEmpty():
+        return rows
+    marked = repeats.select(*[F.col(k).alias(f"__r{i}") for i, k in enumerate(keys)], F.lit(True).alias("__again"))
+    both = rows.join(marked, same(rows, marked, {k: f"__r{i}" for i, k in enumerate(keys)}), "left").select(*rows.columns, "__again")
+    some = both.where("__again").dropDuplicates(keys)
+    return both.where("__again is null").unionByName(some).drop("__again")
+
+
 def crc_bucket(column: str, mod: int) -> Column:
     """crc32 of an id written as text, modulo `mod`; null ids fall in bucket -1."""
     return F.coalesce(F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(mod)), F.lit(-1))
@@ -85,13 +111,6 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, keep: Column,
     return docs.join(F.broadcast(own), docs[id_col] == F.col("__id")).drop("__id")
 
 
-def salted_join(rows: DataFrame, table: DataFrame, key: str, by: str, salts: int = 16) -> DataFrame:
-    """Left join of rows.key with table.key (unique there); a hot key is dealt over `salts` tasks by a hash of rows.by."""
-    left = rows.withColumn("__salt", F.pmod(F.xxhash64(by), F.lit(salts)).cast("int"))
-    right = table.withColumn("__salt", F.explode(F.array(*[F.lit(i) for i in range(salts)])))
-    return left.join(right, [key, "__salt"], "left").drop("__salt")
-
-
 def hot_join(rows: DataFrame, table: DataFrame, key: str, weight: str, total: int, hot_keys: int = 2000, least: int = 1000) -> DataFrame:
     """Inner join on `key` (unique in table, never null); keys with `weight` above `least` and total / hot_keys go by broadcast.
 

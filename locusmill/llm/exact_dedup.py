@@ -14,8 +14,9 @@ large enough to be felt are sent by broadcast: with a threshold of 1/2000 of the
 most 2000 of them, whatever the input.
 
 Edge cases: a null text counts as empty; an empty table gives an empty result; a null id is larger
-than any id, and rows without id form groups as others do, all of them kept where no id stands in
-the group; rows that repeat an id share its fate. Other columns are not looked at.
+than any id, and rows without id form groups as others do. Of every group exactly one row stays:
+where rows of a group share its smallest id (or have none), one of them, and a row whose id another
+row repeats is judged by its own text. Other columns are not looked at, whatever their names.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, materialise, text_of
+from .common import SPACE, materialise, one_of_equal, same, text_of
 
 #: No more than this many groups can be hot.
 HOT_GROUPS = 2000
@@ -63,16 +64,32 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         # Two texts share a digest: the content itself has to tell every row's group.
         keys = ["digest", "norm"]
         classes = materialise(classes_of(rows, salts))
-    members = materialise(rows.select("id", *keys))
+    members = materialise(rows.select("id", *keys).withColumn("uid", F.monotonically_increasing_id()))
     total = members.count()
     hot = F.col("group_size") > max(1000, total // HOT_GROUPS)
     first = members.join(F.broadcast(classes.where(hot)), keys, "left")
-    done, rest = first.where("group_size is not null"), first.where("group_size is null").select("id", *keys)
+    done, rest = first.where("group_size is not null"), first.where("group_size is null").select("id", "uid", *keys)
     out = done.unionByName(rest.join(classes.where(~hot), keys))
-    return out.select(F.col("id").alias(id_col), "keep_id", "group_size", F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"), "digest")
+    kept = F.col("id").eqNullSafe(F.col("keep_id"))
+    again = members.groupBy("id", *keys).agg(F.count(F.lit(1)).alias("n"), F.min("uid").alias("least")).where("n > 1")
+    if not again.isEmpty():
+        # Rows of one text and one id: the first of them stands for all.
+        out = materialise(out)
+        again = materialise(again.select(F.col("id").alias("i"), F.col("least"), *[F.col(k).alias(f"k_{k}") for k in keys]))
+        out = out.join(again, same(out, again, {"id": "i"} | {k: f"k_{k}" for k in keys}), "left")
+        kept = kept & (F.col("least").isNull() | (F.col("least") == F.col("uid")))
+    return out.select(F.col("id").alias(id_col), "keep_id", "group_size", kept.alias("kept"), "digest")
 
 
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = 16) -> DataFrame:
-    """The rows of `docs` that stay, with all their columns; rows without id stay."""
-    gone = exact_groups(docs, id_col, text_col, salts).where("not kept").select(F.col(id_col).alias("__gone")).distinct()
-    return docs.join(gone, docs[id_col] == gone["__gone"], "left_anti")
+    """One row of `docs` for each distinct text, the one of the smallest id, with all its columns.
+
+    Rows go by text and id together, so that no text is lost where ids repeat.
+    """
+    groups = exact_groups(docs, id_col, text_col, salts).select(F.col(id_col).alias("__i"), F.col("digest").alias("__d"), F.col(id_col).eqNullSafe(F.col("keep_id")).alias("first"))
+    groups = materialise(groups)
+    gone = groups.where("not first").select("__i", "__d").distinct()
+    repeats = groups.where("first").groupBy(F.col("__i").alias("__id"), F.col("__d").alias("__digest")).count().where("count > 1")
+    rows = docs.select(F.struct("*").alias("__row"), F.col(id_col).alias("__id"), sha256(normalised(text_of(text_col))).alias("__digest"))
+    rows = rows.join(gone, same(rows, gone, {"__id": "__i", "__digest": "__d"}), "left_anti")
+    return one_of_equal(rows, repeats, ["__id", "__digest"]).select("__row.*")

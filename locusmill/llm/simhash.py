@@ -10,22 +10,25 @@ two nodes already lie wholly in one component is dropped too, so that a dense fa
 copies costs no more than it takes to connect it; the links given out are a spanning forest of
 the group, which loses no connection and is never larger than the group.
 
-A group with more than `split` fingerprints (a hot block value) is not left to one task: its own
-fingerprints are told apart by the next block, and every pair of blocks of the rest meets as
-above with what is left of the budget (see `_subgroups`). Components over all links come from
-rounds of the smallest neighbour and of pointer jumping, each written to the shared folder.
+A group with more than `split` fingerprints (a hot block value) is not left to one task: the bits
+that its members do not share yet are cut into `bits + 1` blocks in turn, of which again one is
+equal in any pair, and so on until no group is larger (see `links`). A group whose members differ
+in w bits at most has 2^w fingerprints, so this ends. Components over all links come from rounds
+of contraction (operators.graph), each written to the shared folder.
 
 Documents share their fingerprint's class in a last join, where the few largest groups of equal
 fingerprints (at most HOT_GROUPS) go by broadcast and the rest by hash.
 
 Edge cases: null and empty texts, and texts without a word, have fingerprint zero and link like any
-other; a text with fewer words than a shingle is one shingle; rows that repeat an id share the
-smallest id; a null id is never the smallest while another is there; an empty table gives an empty result.
+other; a text with fewer words than a shingle is one shingle; rows that repeat an id are rows of
+their own, of which `drop_near_copies` keeps one per group like of any others; a null id is never
+the smallest while another is there; columns other than id and text are not looked at, whatever
+their names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -33,7 +36,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import hot_join, materialise, salted_join, text_of
+from ..operators.graph import connected_components
+from .common import content_key, hot_join, materialise, one_of_equal, same, text_of
 
 #: No more than this many groups can be hot.
 HOT_GROUPS = 2000
@@ -62,15 +66,17 @@ def fingerprint(text: str, shingle: int = 3, seed: int = 42) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """Per row of `docs`: id, fp (the 64 bits as a signed long)."""
+    """Per row of `docs`: id, fp (the 64 bits as a signed long), h1 and h2 (the text's content key)."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = np.fromiter((fingerprint(t.as_py(), shingle) for t in batch.column(1)), np.uint64, batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64), pa.int64())], names=["id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64), pa.int64()), batch.column(2), batch.column(3)], names=["id", "fp", "h1", "h2"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text"))
-    return rows.mapInArrow(scan, "id long, fp long")
+    text = text_of(text_col)
+    h1, h2 = content_key(text)
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text"), h1.alias("h1"), h2.alias("h2"))
+    return rows.mapInArrow(scan, "id long, fp long, h1 long, h2 long")
 
 
 # ---------------------------------------------------------------- the trie self-join
@@ -146,114 +152,122 @@ def trie_components(values: np.ndarray, starts: np.ndarray, bits: int, width: in
     return comp
 
 
-def _blocks(bits: int) -> list[tuple[int, int]]:
-    """(how far to rotate left, width) of each of the bits + 1 blocks."""
-    edges = [round(64 * k / (bits + 1)) for k in range(bits + 2)]
-    return [(a, b - a) for a, b in zip(edges, edges[1:])]
+def _dealt(rows: DataFrame, width: int, bits: int) -> tuple[DataFrame, int]:
+    """Rows (fp, rest, g) once per block of the `width` bits in `rest`, g the finer group and rest without that block; the largest width left.
 
-
-def _rotl(fp, k: int):
-    return fp if k == 0 else F.shiftleft(fp, k).bitwiseOR(F.shiftrightunsigned(fp, 64 - k))
-
-
-def _subgroups(members: DataFrame, hot: DataFrame, bits: int) -> DataFrame:
-    """Members of hot groups (block, value, fp), dealt to finer groups that lose no pair.
-
-    Fingerprints of a hot group agree in the front block. The other 64 - w bits, in bits + 1 finer
-    blocks, again leave one block equal in any pair; the finer group is that block's value.
+    Fingerprints of a group agree in all bits outside `rest`; of the bits + 1 blocks of the others, one at least is equal in any pair.
     """
-    out = members.join(F.broadcast(hot), ["block", "value"], "left_semi")
+    cuts = [round(width * k / (bits + 1)) for k in range(bits + 2)]
     finer = []
-    for block, (start, width) in enumerate(_blocks(bits)):
-        rest = 64 - width
-        cuts = [round(rest * k / (bits + 1)) for k in range(bits + 2)]
-        for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
-            value = F.shiftrightunsigned(_rotl(F.col("fp"), (start + width + a) % 64), 64 - (b - a))
-            finer.append(F.when(F.col("block") == block, F.struct(F.lit(k).alias("k"), value.alias("v"))))
-    # One struct per finer block, of the row's own front block.
-    per = [F.coalesce(*finer[k :: bits + 1]) for k in range(bits + 1)]
-    out = out.withColumn("finer", F.explode(F.array(*per)))
-    return out.select(F.col("fp"), F.xxhash64("block", "value", "finer.k", "finer.v").alias("value"), (F.col("block") + 100 * (F.col("finer.k") + 1)).alias("block"))
+    for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
+        low = width - b
+        mask = F.lit((1 << low) - 1).cast("long")
+        front = F.shiftrightunsigned("rest", width - a) if a else F.lit(0).cast("long")
+        value = F.shiftrightunsigned("rest", low).bitwiseAND(F.lit((1 << (b - a)) - 1).cast("long"))
+        finer.append(F.struct(F.xxhash64("g", F.lit(k), value).alias("g"), F.shiftleft(front, low).bitwiseOR(F.col("rest").bitwiseAND(mask)).alias("rest")))
+    return rows.select("fp", F.explode(F.array(*finer)).alias("x")).select("fp", "x.rest", "x.g"), width - min(b - a for a, b in zip(cuts, cuts[1:]))
 
 
 def links(distinct: DataFrame, bits: int = 3, split: int = 200_000, tasks: int | None = None) -> DataFrame:
     """Spanning links (u, v) between distinct fingerprints `fp`, such that steps of <= bits connect the same fingerprints."""
-    groups = [F.struct(F.lit(k).alias("block"), F.shiftrightunsigned(_rotl(F.col("fp"), start), 64 - width).alias("value")) for k, (start, width) in enumerate(_blocks(bits))]
-    members = distinct.select("fp", F.explode(F.array(*groups)).alias("g")).select("fp", "g.block", "g.value")
-    sizes = members.groupBy("block", "value").count()
-    # A group of one has no pair; few are larger than `split`: at most (bits + 1) * rows / split.
-    total = distinct.count()
-    hot = materialise(sizes.where(F.col("count") > max(split, total // HOT_GROUPS)).drop("count"))
+    rows, width = _dealt(distinct.select("fp", F.col("fp").alias("rest"), F.lit(0).cast("long").alias("g")), 64, bits)
+    members = None
+    while True:
+        # Few groups are larger than `split`: at most (bits + 1) * rows / split of them.
+        hot = None
+        if 1 << width > split:
+            hot = materialise(rows.groupBy("g").count().where(F.col("count") > split).select("g"))
+            if hot.isEmpty():
+                hot = None
+        cold = rows if hot is None else rows.join(F.broadcast(hot), "g", "left_anti")
+        cold = cold.select("fp", "g")
+        members = cold if members is None else members.unionByName(cold)
+        if hot is None:
+            break
+        rows, width = _dealt(rows.join(F.broadcast(hot), "g", "left_semi"), width, bits)
+        rows = materialise(rows)
 
     def join_groups(pdf: pd.DataFrame) -> pd.DataFrame:
         """All groups of `pdf` at once: a forest of tries, one root per group."""
-        fp = pdf["fp"].to_numpy(np.int64).view(np.uint64)
-        block, value = pdf["block"].to_numpy(), pdf["value"].to_numpy()
-        order = np.lexsort((fp, value, block))
-        fp, block, value = fp[order], block[order], value[order]
-        starts = np.concatenate(([0], np.flatnonzero((block[1:] != block[:-1]) | (value[1:] != value[:-1])) + 1, [len(fp)]))
+        fp, g = pdf["fp"].to_numpy(np.int64).view(np.uint64), pdf["g"].to_numpy()
+        order = np.lexsort((fp, g))
+        fp, g = fp[order], g[order]
+        starts = np.concatenate(([0], np.flatnonzero(g[1:] != g[:-1]) + 1, [len(fp)]))
         comp = trie_components(fp, starts, bits)
         at = np.flatnonzero(fp != fp[comp])
         return pd.DataFrame({"u": fp[at].view(np.int64), "v": fp[comp[at]].view(np.int64)})
 
+    n = tasks or int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    members = members.repartition(n, "g").sortWithinPartitions("g")
+    return members.mapInPandas(by_group("g", join_groups), "u long, v long").distinct()
+
+
+def by_group(column: str, run) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """Calls `run` with frames of whole groups; rows come sorted by `column`, and a batch's last group may go on in the next."""
+
     def partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        # Rows come sorted by group; the last group of a batch may go on in the next.
         held: list[pd.DataFrame] = []
         for pdf in batches:
             if not len(pdf):
                 continue
-            block, value = pdf["block"].to_numpy(), pdf["value"].to_numpy()
-            last = np.flatnonzero((block != block[-1]) | (value != value[-1]))
+            g = pdf[column].to_numpy()
+            last = np.flatnonzero(g != g[-1])
             cut = last[-1] + 1 if len(last) else 0
-            if held and (cut or (held[-1]["block"].iloc[-1], held[-1]["value"].iloc[-1]) != (block[0], value[0])):
-                yield join_groups(pd.concat([*held, pdf.iloc[:cut]]))
+            if held and (cut or held[-1][column].iloc[-1] != g[0]):
+                yield run(pd.concat([*held, pdf.iloc[:cut]]))
                 held = []
             elif cut:
-                yield join_groups(pdf.iloc[:cut])
+                yield run(pdf.iloc[:cut])
             held.append(pdf.iloc[cut:])
         if held:
-            yield join_groups(pd.concat(held))
+            yield run(pd.concat(held))
 
-    n = tasks or int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    if not hot.isEmpty():
-        # Finer groups of hot groups are keyed by the whole path, and may come from any of them.
-        fine = _subgroups(members, hot, bits).select("fp", "block", "value")
-        members = members.join(F.broadcast(hot), ["block", "value"], "left_anti").unionByName(fine)
-    members = members.repartition(n, "block", "value").sortWithinPartitions("block", "value")
-    return members.mapInPandas(partition, "u long, v long").distinct()
+    return partition
 
 
 # ---------------------------------------------------------------- components
-def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(node, root): the smallest node reachable over edges(u, v), for every node that has an edge."""
-    both = materialise(edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))))
-    labels = materialise(both.groupBy(F.col("u").alias("node")).agg(F.least(F.min("v"), F.col("u")).alias("root")))
-    for _ in range(max_rounds):
-        # A hub stands in many edges, and the least node is the root of many: both joins are salted.
-        near = salted_join(both, labels.withColumnRenamed("node", "v"), "v", "u").groupBy("u").agg(F.min("root").alias("least"))
-        moved = materialise(labels.join(near, labels["node"] == near["u"], "left").select("node", F.least("root", "least").alias("new"), F.col("root").alias("old")))
-        parent = moved.select(F.col("node").alias("new"), F.col("new").alias("pp"))
-        moved = materialise(salted_join(moved, parent, "new", "node").select("node", F.least("new", "pp").alias("root"), "old"))
-        labels = moved.select("node", "root")
-        if moved.where("root <> old").isEmpty():
-            return labels
-    raise RuntimeError(f"components did not settle in {max_rounds} rounds")
+    return connected_components(edges).select("node", F.col("component").alias("root"))
+
+
+def _classes(rows: DataFrame, node: str, edges: DataFrame) -> DataFrame:
+    """(node, n, component_id, i, k1, k2) per node of rows(id, h1, h2, node): its rows, its component's smallest id and the row that stays of it."""
+    key = F.min(F.struct(F.col("id").isNull().alias("no"), F.col("id").alias("i"), F.col("h1").alias("k1"), F.col("h2").alias("k2")))
+    distinct = materialise(rows.groupBy(node).agg(F.count(F.lit(1)).alias("n"), key.alias("key")))
+    roots = components(edges).select(F.col("node").alias(node), "root")
+    classes = distinct.join(roots, node, "left").withColumn("root", F.coalesce("root", node))
+    least = classes.groupBy("root").agg(F.min("key").alias("key"))
+    return materialise(classes.drop("key").join(least, "root").select(node, "n", F.col("key.i").alias("component_id"), "key.i", "key.k1", "key.k2"))
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int = 3, shingle: int = 3) -> DataFrame:
     """Per row of `docs`: the id, fingerprint (16 hex digits), component_id, n_equal (rows of the same fingerprint)."""
     rows = materialise(fingerprints(docs, id_col, text_col, shingle))
-    distinct = materialise(rows.groupBy("fp").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")))
-    roots = components(links(distinct.select("fp"), bits)).select(F.col("node").alias("fp"), "root")
-    classes = distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    least = classes.groupBy("root").agg(F.min("first").alias("component_id"))
-    classes = materialise(classes.join(least, "root").select("fp", "component_id", "n"))
+    classes = _classes(rows, "fp", links(rows.select("fp").distinct(), bits))
     out = hot_join(rows, classes, "fp", "n", rows.count(), HOT_GROUPS)
     return out.select(F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", F.col("n").alias("n_equal"))
 
 
+def only_firsts(docs: DataFrame, rows: DataFrame, classes: DataFrame, node: str, id_col: str, text_col: str) -> DataFrame:
+    """One row of `docs` per component, the one of the smallest id, with all columns.
+
+    rows: id, h1, h2, node of every row of `docs`; classes: as of `_classes`. Rows go by id and content, so that no text is lost where ids repeat.
+    """
+    found = hot_join(rows, classes, node, "n", rows.count(), HOT_GROUPS)
+    stays = F.col("id").eqNullSafe(F.col("i")) & (F.col("h1") == F.col("k1")) & (F.col("h2") == F.col("k2"))
+    found = materialise(found.select(F.col("id").alias("__i"), F.col("h1").alias("__a"), F.col("h2").alias("__b"), stays.alias("stays")))
+    gone = found.where("not stays").select("__i", "__a", "__b").distinct()
+    keys = ["__id", "__h1", "__h2"]
+    repeats = found.where("stays").groupBy(F.col("__i").alias("__id"), F.col("__a").alias("__h1"), F.col("__b").alias("__h2")).count().where("count > 1")
+    h1, h2 = content_key(text_of(text_col))
+    out = docs.select(F.struct("*").alias("__row"), F.col(id_col).cast("long").alias("__id"), h1.alias("__h1"), h2.alias("__h2"))
+    out = out.join(gone, same(out, gone, dict(zip(keys, ("__i", "__a", "__b")))), "left_anti")
+    return one_of_equal(out, repeats, keys).select("__row.*")
+
+
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int = 3, shingle: int = 3) -> DataFrame:
-    """One document of each group, the one of the smallest id, with all columns; rows without id stay."""
-    groups = near_groups(docs, id_col, text_col, bits, shingle)
-    gone = groups.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("__gone")).distinct()
-    return docs.join(gone, docs[id_col] == gone["__gone"], "left_anti")
+    """One row of each group of fingerprints that steps of <= bits connect, the one of the smallest id, with all columns."""
+    rows = materialise(fingerprints(docs, id_col, text_col, shingle))
+    classes = _classes(rows, "fp", links(rows.select("fp").distinct(), bits))
+    return only_firsts(docs, rows, classes, "fp", id_col, text_col)

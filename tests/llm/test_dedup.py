@@ -39,10 +39,27 @@ def test_hot_group_goes_by_broadcast(make):
 def test_null_ids_repeats_empty_table_and_extra_columns(make, spark):
     rows = make((None, "x"), (1, "x"), (1, "x"), (None, "y")).withColumn("digest", F.lit(1)).withColumn("id", F.lit(2))
     kept = exact_dedup.drop_exact_copies(rows)
-    assert kept.columns == rows.columns and sorted((r.doc_id or -1, r.text) for r in kept.collect()) == [(-1, "x"), (-1, "y"), (1, "x"), (1, "x")]
+    assert kept.columns == rows.columns and sorted((r.doc_id or -1, r.text) for r in kept.collect()) == [(-1, "y"), (1, "x")]
+    assert sorted((r.doc_id or -1, r.kept) for r in exact_dedup.exact_groups(rows).collect()) == [(-1, False), (-1, True), (1, False), (1, True)]
     assert exact_dedup.exact_groups(make().limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_one_row_of_each_text_stays_whatever_the_ids(make, seed):
+    """Repeated and null ids against brute force: no text is lost, one row of each stays, and it has the smallest id."""
+    rng = random.Random(seed)
+    rows = [(rng.choice([None, 1, 2, 3, 4]), rng.choice(["a", "b ", "b\t", "c d", None, ""])) for _ in range(40)]
+    if seed == 2:
+        rows = [(1, "x"), (1, "y"), (0, "y")] + [(None, "z")] * 3
+    norm = lambda t: __import__("re").sub(r"[\x20\x09-\x0D]+", " ", t or "")
+    least = {}
+    for i, t in rows:
+        k = norm(t)
+        least[k] = i if k not in least or least[k] is None or (i is not None and i < least[k]) else least[k]
+    kept = exact_dedup.drop_exact_copies(make(*rows)).collect()
+    assert sorted((norm(r.text), r.doc_id or 0) for r in kept) == sorted((k, i or 0) for k, i in least.items())
+
+
 def test_exact_query_equals_sql(spark):
     import duckdb
 
@@ -107,8 +124,7 @@ def test_trie_components_equal_brute_force(seed):
 
 
 @pytest.mark.parametrize("split", [200_000, 20])
-def test_links_connect_the_same_fingerprints(spark, split, monkeypatch):
-    monkeypatch.setattr(simhash, "HOT_GROUPS", 10**9)
+def test_links_connect_the_same_fingerprints(spark, split):
     values = near_values(400, 7)
     signed = [v - (1 << 64) if v >> 63 else v for v in values]
     links = simhash.links(spark.createDataFrame([(v,) for v in signed], "fp long"), 3, split=split)
@@ -135,5 +151,30 @@ def test_groups_equal_brute_force_on_documents(make):
 def test_near_dedup_edges(make):
     docs = make((4, "a b c d"), (2, "A B C D"), (None, "a b c d"), (9, "quite other words")).withColumn("fp", F.lit("x"))
     kept = simhash.drop_near_copies(docs)
-    assert kept.columns == docs.columns and sorted((r.doc_id or -1) for r in kept.collect()) == [-1, 2, 9]
+    assert kept.columns == docs.columns and sorted((r.doc_id or -1) for r in kept.collect()) == [2, 9]
     assert simhash.near_groups(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_one_row_of_each_near_group_stays_whatever_the_ids(make, seed):
+    rng = random.Random(seed)
+    texts = ["a b c d", "A B C D", "quite other words here", "and more of them still", None, ""]
+    rows = [(rng.choice([None, 1, 2, 3]), rng.choice(texts)) for _ in range(30)]
+    groups = {t: brute_fingerprint(t) for t in texts}
+    least = {}
+    for i, t in rows:
+        g = groups[t]
+        least[g] = i if g not in least or least[g] is None or (i is not None and i < least[g]) else least[g]
+    kept = simhash.drop_near_copies(make(*rows)).collect()
+    assert sorted((groups[r.text], r.doc_id or 0) for r in kept) == sorted((g, i or 0) for g, i in least.items())
+
+
+def test_groups_of_the_table_equal_brute_force(spark):
+    """The registered query on the whole table."""
+    from locusmill.llm.queries import op4_simhash
+
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    ids = sorted(texts)
+    values = [brute_fingerprint(texts[i]) for i in ids]
+    want = {i: (f"{v:016x}", ids[c]) for i, v, c in zip(ids, values, brute_components(values))}
+    assert {r.doc_id: (r.fingerprint, r.component_id) for r in op4_simhash(spark, SF).collect()} == want
