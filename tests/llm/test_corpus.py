@@ -50,12 +50,123 @@ def test_targets_and_takes(make):
     assert all(abs(taken[s] - target[s]) <= 13 for s in sizes) and sum(taken.values()) <= 1.5 * sum(sizes.values())
 
 
-def test_mix_rows_and_edges(make):
-    docs = make((1, "a b c", "en", "x"), (1, "a b c", "en", "x"), (2, "d", "en", "y"), (None, "e f", "en", None)).withColumn("size", F.lit("own")).withColumn("key", F.lit(1))
+def brute_mix(rows, order, weights=(3, 1, 2), share=1.5, most=2):
+    """The queue by definition: every copy of every row in one global order of finish times, cut at the budget.
+
+    rows: (id, text, source); order: the operator's order key by (id, text). Returns words taken by (id, text, source).
+    """
+    size = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
+    sizes = Counter()
+    for _, t, s in rows:
+        sizes[s] += size(t)
+    target, queue = brute_targets(dict(sizes), weights, share, most), []
+    for s in sizes:
+        own = sorted(((order[i, t], i, t) for i, t, r in rows if r == s and size(t)), key=lambda x: x[0])
+        for again in range(most):
+            at = again * sizes[s]
+            for k, i, t in own:
+                at += size(t)
+                if target[s] > 0:
+                    queue.append((at / target[s], s is None, s or "", k, again, i, t, s))
+    taken, total, budget = Counter(), 0, sum(target.values())
+    for f, *_, i, t, s in sorted(queue, key=lambda q: q[:5]):
+        if total + size(t) > budget + 1e-6:
+            break
+        total += size(t)
+        taken[i, t, s] += size(t)
+    return taken, target
+
+
+def mix_order(docs, seed=17):
+    text = F.coalesce("text", F.lit(""))
+    keyed = docs.select("doc_id", "text", F.xxhash64("doc_id", F.xxhash64(text), F.lit(seed)).alias("k"))
+    return {(r.doc_id, r.text): r.k for r in keyed.collect()}
+
+
+def mix_rows(seed):
+    import random
+
+    rng = random.Random(seed)
+    rows = []
+    for i in range(250):
+        source = rng.choice(["a", "a", "a", "b", "c", "é", None, "d"]) if seed else "abc"[i % 3]
+        text = " ".join(["w"] * rng.choice([0, 1, 3, 7, 40])) + ("" if seed == 1 else f" x{i}")
+        rows.append((rng.choice([None, 1, 2, 3, i]) if seed == 1 else i, None if rng.random() < 0.05 else text, "en", source))
+    return rows + ([(7, "same words here", "en", "a")] * 60 if seed == 1 else [])
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_mix_equals_the_queue_by_definition(make, seed, monkeypatch):
+    if seed == 3:
+        monkeypatch.setattr(mixing, "PER_BUCKET", 2)
+        monkeypatch.setattr(mixing, "AT_ONCE", 1)
+        monkeypatch.setattr(mixing, "SLICES", 3)
+    rows = mix_rows(seed)
+    docs = make(*rows)
+    taken, target = brute_mix([(i, t, s) for i, t, _, s in rows], mix_order(docs))
+    plan = mixing.mix_plan(docs).collect()
+    assert len(plan) == len(rows) and {round(r.target, 6) for r in plan} == {round(x, 6) for x in target.values()}
+    words = lambda t: len((t or "").split())
+    assert sum(r.taken for r in plan) == sum(taken.values())
+    by_id, want = Counter(), Counter()
+    for r in plan:
+        by_id[r.doc_id, r.size] += r.taken
+    for (i, t, _), n in taken.items():
+        want[i, words(t)] += n
+    assert +by_id == want and all(r.taken <= 2 * r.size for r in plan)
+    # What mix hands over is the plan, word for word, in the order of the finish times.
+    mixed = mixing.mix(docs)
+    assert mixed.columns == docs.columns
+    got = Counter()
+    for r in mixed.collect():
+        got[r.doc_id, r.text, r.source] += words(r.text)
+    assert got == taken
+
+
+def test_mix_is_ranged_by_finish_time(make, monkeypatch):
+    monkeypatch.setattr(mixing, "PARTITION_WORDS", 300)
+    rows = [(i, " ".join(["w"] * (1 + i % 9)) + f" x{i}", "en", "abc"[i % 3]) for i in range(400)]
+    docs = make(*rows)
+    order, sizes = mix_order(docs), Counter()
+    for _, t, _, s in rows:
+        sizes[s] += len(t.split())
+    target, finish = brute_targets(dict(sizes)), {}
+    for s in sizes:
+        at = 0
+        for k, i, t in sorted((order[i, t], i, t) for i, t, _, r in rows if r == s):
+            at += len(t.split())
+            finish[i] = [at / target[s], (at + sizes[s]) / target[s]]
+    mixed = mixing.mix(docs)
+    assert mixed.rdd.getNumPartitions() > 3
+    last, seen = 0.0, Counter()
+    for r in mixed.collect():
+        f = finish[r.doc_id][seen[r.doc_id]]
+        seen[r.doc_id] += 1
+        assert f >= last
+        last = f
+
+
+def test_mix_edges(make):
+    docs = make((1, "a b c", "en", "x"), (1, "a b c", "en", "x"), (2, "d", "en", "y"), (None, "e f", "en", None)).withColumn("size", F.lit("own")).withColumn("key", F.lit(1)).withColumn("__n", F.lit(2)).withColumn("row", F.lit(3))
+    plan = mixing.mix_plan(docs).agg(F.sum("taken")).first()[0]
     out = mixing.mix(docs)
-    assert out.columns == docs.columns and out.count() >= 3
+    assert out.columns == docs.columns and sum(len(r.text.split()) for r in out.collect()) == plan
     assert mixing.mix_plan(docs.limit(0)).count() == 0 and mixing.mix(docs.limit(0)).count() == 0
-    assert mixing.mix_plan(make(None, "")).agg(F.sum("taken")).first()[0] == 0
+    assert mixing.mix_plan(make(None, "")).agg(F.sum("taken")).first()[0] == 0 and mixing.mix(make(None, "")).count() == 0
+    hot = make(*[(None, "same words here", "en", "x")] * 35, *[(i, f"w{i} b", "en", "y") for i in range(30)])
+    planned = mixing.mix_plan(hot)
+    assert sum(len(r.text.split()) for r in mixing.mix(hot).collect()) == planned.agg(F.sum("taken")).first()[0]
+    longest = make((1, "w " * 300_000, "en", "x"), (2, "a b", "en", "y"))
+    assert mixing.mix_plan(longest).agg(F.sum("taken")).first()[0] <= 1.5 * 300_002
+
+
+def test_mixing_query_equals_the_queue(spark):
+    from locusmill.llm.queries import op8_mixing
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    taken, target = brute_mix([(r.doc_id, r.text, r.source) for r in docs.collect()], mix_order(docs))
+    want = Counter({i: n for (i, _, _), n in taken.items()})
+    assert Counter({r.doc_id: r.taken for r in op8_mixing(spark, SF).collect() if r.taken}) == want
 
 
 # ---------------------------------------------------------------- token planes
