@@ -9,14 +9,17 @@ are given anew by the fitted field, at least one of them bad, and the field is f
 
 A document's quality is the mean of its lines' marginal probabilities of being good, weighted by
 length, and becomes a probability by isotonic regression over bins, with counts from all training
-documents. The field itself is fitted on a sample of about `max_documents` labelled documents and
-`max_lines` lines of each, a bound that does not grow with the input; labelled ids are bounded by
-`max_labels`. Scoring reads whole texts, in blocks of documents, and uses neither labels nor lang,
-source or id.
+documents. The field itself is fitted on whole texts of a sample of labelled documents, about
+`max_documents` of them and `max_bytes` bytes together (rows in the order of a hash; a row of more
+than a twentieth of that is no part of the sample), a bound that does not grow with the input;
+labelled ids are bounded by `max_labels`. Scoring reads whole texts, in blocks of documents, and
+uses neither labels nor lang, source or id.
 
 Edge cases: null and empty texts have one empty line; without labels of both kinds every score is
 the base rate (0.5 without any label); rows are scored one by one, so ties and repeated rows
-agree; an empty table gives an empty result; a text of very many lines takes linear time.
+agree; an empty table gives an empty result; a text of very many lines takes linear time and, as
+blocks are bounded by their cells (CELLS), no memory but its own; further columns are not looked
+at, whatever their names.
 """
 
 from __future__ import annotations
@@ -28,6 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import window as W
 
 from .common import materialise, text_of, training_rows
 from .toxicity import isotonic
@@ -41,7 +45,8 @@ _KIND[range(ord("0"), ord("9") + 1)] = 3
 _KIND[[ord(c) for c in "#*$%&|<>"]] = 4
 _KIND[[ord(c) for c in "!?"]] = 5
 _KIND[[ord(c) for c in "\"'(),-./:;=@[\\]^_`{}~+"]] = 6
-N_BASE = 20
+#: Texts that go through the recursions together hold no more cells (texts times lines of the longest), or are one text.
+CELLS = 1 << 18
 
 
 def line_features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -102,7 +107,7 @@ def _padded(starts: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return np.where(mask, starts[:-1][order][:, None] + steps, 0), mask
 
 
-def marginals(score: np.ndarray, trans: np.ndarray, starts: np.ndarray, pairs: bool = False, block: int = 512):
+def marginals(score: np.ndarray, trans: np.ndarray, starts: np.ndarray, pairs: bool = False, cells: int = CELLS):
     """Per line P(good); with `pairs` also the log partition of each text and the expected transitions.
 
     score: log-weight of good over bad per line; trans[a, b]: log-weight of state a before b.
@@ -111,8 +116,13 @@ def marginals(score: np.ndarray, trans: np.ndarray, starts: np.ndarray, pairs: b
     n = len(starts) - 1
     good, logz, expected = np.zeros(len(score)), np.zeros(n), np.zeros((2, 2))
     by_size = np.argsort(starts[1:] - starts[:-1], kind="stable")
-    for i in range(0, n, block):
-        order = by_size[i : i + block]
+    sizes = (starts[1:] - starts[:-1])[by_size]
+    i = 0
+    while i < n:
+        # Sizes ascend: as many texts as the cells allow with the last one's length.
+        most = int(np.searchsorted(np.arange(1, n - i + 1) * sizes[i:], cells, side="right"))
+        order = by_size[i : i + max(1, most)]
+        i += len(order)
         index, mask = _padded(starts, order)
         m, t = mask.shape
         emit = np.zeros((m, t, 2))
@@ -269,7 +279,7 @@ def score_quality(
     text_col: str = "text",
     label_col: str = "quality",
     max_documents: int = 2000,
-    max_lines: int = 400,
+    max_bytes: int = 64 << 20,
     max_labels: int = 200_000,
 ) -> DataFrame:
     """Per row of `docs`: the id, quality (the field's), n_lines, score (0 to 1, calibrated).
@@ -278,11 +288,11 @@ def score_quality(
     """
     pairs = docs.select(id_col, text_col)
     sample = training_rows(pairs, labels, label_col, keep, max_documents, id_col).select(F.col(id_col).alias("id"), text_of(text_col).alias("text"), "label")
-    # Whole lines from a place that the id draws, at most `max_lines` of them, so that the sample is bounded.
-    lines = F.split("text", "\n")
-    start = F.pmod(F.xxhash64("id", F.lit(5)), F.greatest(F.size(lines) - max_lines + 1, F.lit(1))).cast("int")
-    sample = sample.select("id", "label", F.array_join(F.slice(lines, start + 1, max_lines), "\n").alias("text")).orderBy("id", "text")
-    field = fit([(r["text"].encode("utf-8", "replace"), r["label"]) for r in sample.toLocalIterator()])
+    # Whole rows in the order of a hash, until their bytes are as many as the sample may have.
+    sample = sample.withColumns({"bytes": F.octet_length("text").cast("long"), "draw": F.xxhash64("id", F.xxhash64("text"))}).where(F.col("bytes") <= max_bytes // 20)
+    upto = F.sum("bytes").over(W.Window.orderBy("draw", "id").rowsBetween(W.Window.unboundedPreceding, 0))  # about max_documents rows
+    sample = materialise(sample).withColumn("upto", upto).where(F.col("upto") <= max_bytes)
+    field = fit([(r["text"].encode("utf-8", "replace"), r["label"]) for r in sample.select("text", "label").toLocalIterator()])
     found = materialise(line_marginals(pairs, field, id_col, text_col))
     known = training_rows(found.withColumnRenamed("id", id_col), labels, label_col, keep, max_labels, id_col)
     place = F.floor(F.least(F.col("quality"), F.lit(0.999999)) * BINS).cast("int")

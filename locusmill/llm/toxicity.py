@@ -10,17 +10,21 @@ One linear pass over the scored words finds all maximal-scoring segments (Ruzzo
 Their significance follows the extreme-value law of segment scores of random sequences (Karlin
 and Altschul 1990): a clean text of n words holds K n exp(-lambda S) segments of score S or more
 by chance; lambda solves sum p(s) exp(lambda s) = 1 for the score distribution of the clean
-training documents, K is the maximum-likelihood location given their best segments. The evidence
+training documents, K is the maximum-likelihood location given their best segments. Where the mean score of clean
+text is not negative, so that there is no such lambda, the drift is raised until it is, and the
+segments are searched anew. The evidence
 of a document, the sum over its segments of lambda S - ln(K n) where positive, becomes a
 probability by isotonic regression over bins of evidence.
 
 All statistics are aggregates over all training documents; what reaches the driver is the model
-(at most `max_units` units), one row per distinct score (in tenths) and one per bin of evidence.
-The labelled ids are bounded by `max_labels`. Neither labels nor lang, source or id enter a score.
+(units that stand in `least_docs` toxic training documents and pass both thresholds, of the
+labelled ids that `max_labels` bounds), one row per distinct score (in tenths) and one per bin of
+evidence. Neither labels nor lang, source or id enter a score.
 
 Edge cases: null and empty texts have no segment and score as any document without evidence;
 without labels of both kinds every score is the base rate (0.5 without any label); rows are scored
-one by one, so ties and repeated rows agree; an empty table gives an empty result.
+one by one, so ties and repeated rows agree; an empty table gives an empty result; a text of any
+length takes linear time; further columns are not looked at, whatever their names.
 """
 
 from __future__ import annotations
@@ -84,7 +88,7 @@ class Model:
         return max(known, key=lambda x: x[1])[0] if known else 0.0
 
 
-def fit(train: DataFrame, text_col: str, prior: float, least_z: float, least_odds: float, least_docs: int, max_units: int, drift: float) -> Model:
+def fit(train: DataFrame, text_col: str, prior: float, least_z: float, least_odds: float, least_docs: int, drift: float) -> Model:
     counts = materialise(unit_counts(train, text_col))
     total = counts.where("unit = ''").first()
     if total is None or not total["toxic"] or not total["clean"]:
@@ -96,8 +100,8 @@ def fit(train: DataFrame, text_col: str, prior: float, least_z: float, least_odd
     delta = odds(F.col("toxic"), n1) - odds(F.col("clean"), n0)
     z = delta / F.sqrt(1 / (F.col("toxic") + a) + 1 / (F.col("clean") + a))
     good = counts.where((F.col("unit") != "") & (F.col("toxic") >= least_docs)).select("unit", delta.alias("delta"), z.alias("z"))
-    good = good.where((F.col("z") >= least_z) & (F.col("delta") >= least_odds)).orderBy(F.desc("z"), "unit").limit(max_units)
-    return Model({r["unit"]: (r["delta"], r["z"]) for r in good.collect()}, drift)
+    good = good.where((F.col("z") >= least_z) & (F.col("delta") >= least_odds))
+    return Model({r["unit"]: (r["delta"], r["z"]) for r in good.toLocalIterator()}, drift)
 
 
 def maximal_segments(hits: list[tuple[int, float]], drift: float) -> list[tuple[int, int, float]]:
@@ -165,12 +169,16 @@ def segments(docs: DataFrame, model: Model, id_col: str, text_col: str) -> DataF
     return materialise(rows.mapInArrow(run, f"id long, n_words long, hits array<int>, segments array<{SEGMENT}>"))
 
 
+def negative_drift(scores: dict[float, float], drift: float) -> float:
+    """`drift`, or twice the least drift for which the mean score of clean text is negative; scores: p of each positive score."""
+    rest, mean = 1 - sum(scores.values()), sum(p * s for s, p in scores.items())
+    return drift if mean < rest * drift else 2 * mean / max(rest, 1e-6)
+
+
 def karlin_lambda(scores: dict[float, float], drift: float) -> float:
-    """The positive solution of sum p(s) exp(lambda s) = 1; scores: p of each positive score."""
+    """The positive solution of sum p(s) exp(lambda s) = 1; scores: p of each positive score. The mean has to be negative."""
     rest = 1 - sum(scores.values())
     f = lambda x: sum(p * math.exp(min(700.0, x * s)) for s, p in scores.items()) + rest * math.exp(-x * drift) - 1
-    if sum(p * s for s, p in scores.items()) - rest * drift >= 0:
-        raise ValueError("the mean score of clean text has to be negative; raise drift")
     low, high = 1e-6, 1.0
     while f(high) < 0 and high < 64:
         high *= 2
@@ -206,7 +214,6 @@ def score_toxicity(
     least_z: float = 3.0,
     least_odds: float = 1.5,
     least_docs: int = 5,
-    max_units: int = 20_000,
     max_labels: int = 200_000,
     drift: float = 0.1,
     level: float = 0.05,
@@ -216,13 +223,18 @@ def score_toxicity(
     `keep` accepts the ids of `labels` to learn from.
     """
     train = training_rows(docs.select(id_col, text_col), labels, label_col, keep, max_labels, id_col)
-    model = fit(train, text_col, prior, least_z, least_odds, least_docs, max_units, drift)
-    found = segments(docs, model, id_col, text_col)
-    known = training_rows(found.withColumnRenamed("id", id_col), labels, label_col, keep, max_labels, id_col)
-    clean = known.where("label = 0")
-    words = clean.agg(F.sum("n_words")).first()[0] or 0
-    scores = {r["s"] / 10: r["n"] / words for r in clean.select(F.explode("hits").alias("s")).groupBy("s").agg(F.count(F.lit(1)).alias("n")).collect()}
-    lam = karlin_lambda(scores, drift) if scores else 1.0
+    model = fit(train, text_col, prior, least_z, least_odds, least_docs, drift)
+    while True:
+        found = segments(docs, model, id_col, text_col)
+        known = training_rows(found.withColumnRenamed("id", id_col), labels, label_col, keep, max_labels, id_col)
+        clean = known.where("label = 0")
+        words = clean.agg(F.sum("n_words")).first()[0] or 0
+        scores = {r["s"] / 10: r["n"] / words for r in clean.select(F.explode("hits").alias("s")).groupBy("s").agg(F.count(F.lit(1)).alias("n")).collect()}
+        steeper = negative_drift(scores, model.drift)
+        if steeper == model.drift:
+            break
+        model.drift = steeper
+    lam = karlin_lambda(scores, model.drift) if scores else 1.0
     best = F.coalesce(F.array_max(F.transform("segments", lambda s: s["score"])), F.lit(0.0))
     tail = clean.where("n_words > 0").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("n_words") * F.exp(-lam * best)).alias("s")).first()
     k = tail["n"] / tail["s"] if tail["s"] else 1.0

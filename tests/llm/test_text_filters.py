@@ -229,7 +229,7 @@ def test_toxic_passages_and_edges(make, spark):
 def test_marginals_equal_enumeration():
     rng = np.random.default_rng(0)
     starts, score, trans = np.array([0, 1, 5, 8]), rng.normal(size=8), rng.normal(size=(2, 2))
-    good, logz, expected = line_crf.marginals(score, trans, starts, pairs=True, block=2)
+    good, logz, expected = line_crf.marginals(score, trans, starts, pairs=True, cells=6)
     total = np.zeros((2, 2))
     for t, (a, b) in enumerate(zip(starts, starts[1:])):
         w = {s: np.exp(sum(score[a + i] * s[i] for i in range(b - a)) + sum(trans[s[i], s[i + 1]] for i in range(b - a - 1))) for s in itertools.product((0, 1), repeat=int(b - a))}
@@ -262,3 +262,95 @@ def test_quality_edges(make, spark):
     rows = line_crf.score_quality(docs, labels, crc_bucket("doc_id", 5) != 99).collect()
     assert len(rows) == 6 and all(0 <= r.score <= 1 for r in rows)
     assert line_crf.score_quality(docs.limit(0), labels, F.lit(True)).count() == 0
+
+
+def test_one_text_of_many_lines_beside_short_ones_is_bounded():
+    import tracemalloc
+
+    field = line_crf.Field(np.linspace(-1, 1, 61), np.array([[0.2, 0.0], [0.0, 0.3]]))
+    texts = [b"one line here\nand another"] * 500 + [b"a line of words\n" * 200_000]
+    tracemalloc.start()
+    good, length, starts = field.good(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    alone, *_ = field.good(texts[-1:])
+    assert peak < 1 << 30 and np.allclose(good[starts[-2] :], alone) and np.allclose(good[:2], field.good(texts[:1])[0])
+
+
+def test_cells_do_not_change_marginals():
+    rng = np.random.default_rng(3)
+    sizes = rng.integers(1, 40, 60)
+    starts = np.concatenate(([0], np.cumsum(sizes)))
+    score, trans = rng.normal(size=int(starts[-1])), rng.normal(size=(2, 2))
+    a, b = (line_crf.marginals(score, trans, starts, pairs=True, cells=c) for c in (1, 1 << 18))
+    assert all(np.allclose(x, y) for x, y in zip(a, b))
+
+
+def test_quality_ties_repeats_and_clashing_columns(make, spark):
+    rows = [(i, "Plain words of a good line.\nAnd one more of them.") if i % 2 else (i, "### $$$ %%%\n### $$$ %%%") for i in range(60)]
+    docs = make(*rows, (1, "### $$$ %%%\n### $$$ %%%"), (1, rows[1][1])).withColumn("id", F.lit("x")).withColumn("label", F.lit(0)).withColumn("quality", F.lit(9))
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    got = line_crf.score_quality(docs, labels, F.lit(True)).collect()
+    good, bad = {r.score for r in got if r.doc_id != 1 and r.doc_id % 2}, {r.score for r in got if r.doc_id % 2 == 0}
+    assert len(got) == 62 and len(good) == len(bad) == 1 and min(good) > max(bad)
+    assert {r.score for r in got if r.doc_id == 1} == good | bad
+
+
+def test_quality_sample_leaves_out_whole_rows_only(make, spark):
+    long = "### $$$ %%%\n" * 3000
+    rows = [(i, "Plain words of a good line." if i % 2 else "### $$$ %%%") for i in range(40)] + [(100, long)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)] + [(100, 0)], "doc_id long, quality int")
+    got = {r.doc_id: r.score for r in line_crf.score_quality(make(*rows), labels, F.lit(True), max_bytes=2000).collect()}
+    assert got[1] > got[100] and got[1] > got[2]
+
+
+def test_toxic_words_in_clean_text_do_not_end_the_query(make, spark):
+    rows = [(i, "idiot moron" if i % 2 else "fine words") for i in range(400)] + [(1000 + i, "idiot") for i in range(20)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(400)] + [(1000 + i, 0) for i in range(20)], "doc_id long, toxic int")
+    clean = [r for r in rows if not (r[0] < 400 and r[0] % 2)]
+    got = {r.doc_id: r.score for r in toxicity.score_toxicity(make(*rows), labels, F.lit(True)).collect()}
+    assert len(got) == 420 and got[1] > got[0] and all(0 <= x <= 1 for x in got.values())
+    # Clean documents made of toxic words only: no word is left to drift at.
+    own = spark.createDataFrame([(i, int(i < 400 and i % 2)) for i, _ in rows], "doc_id long, toxic int")
+    every = toxicity.score_toxicity(make(*[(i, "idiot moron") for i, _ in rows], (5000, None)), own, F.lit(True), least_z=-99.0, least_odds=-99.0).collect()
+    assert len(every) == 421 and len(clean) == 220
+
+
+def test_toxicity_long_texts_ties_repeats_and_clashing_columns(make, spark):
+    rows = [(i, f"plain words here number {i} and some idiot moron words" if i % 4 == 0 else f"plain words here number {i} and some more words") for i in range(200)]
+    long = "plain words " * 200_000 + "idiot moron idiot moron " + "plain words " * 200_000
+    docs = make(*rows, (0, rows[1][1]), (None, rows[0][1]), (900, long)).withColumn("id", F.lit("x")).withColumn("hits", F.lit(1)).withColumn("label", F.lit(1))
+    labels = spark.createDataFrame([(i, 1 if i % 4 == 0 else 0) for i in range(150)], "doc_id long, toxic int")
+    got = toxicity.score_toxicity(docs, labels, F.lit(True)).collect()
+    by = lambda i: sorted(round(r.score, 9) for r in got if r.doc_id == i)
+    assert len(got) == 203 and by(None) == by(4) and sorted(by(4) + by(1)) == by(0)
+    assert [r.n_words for r in got if r.doc_id == 900] == [800_004]
+
+
+@pytest.mark.parametrize("name, mod, rest", [("op1_toxicity", 3, 1), ("op5_line_crf", 5, 0)])
+def test_scores_of_the_registered_query_follow_their_parts(spark, name, mod, rest):
+    """The query's rows against the method applied text by text, in plain Python, with the model that the labels give."""
+    from locusmill.llm import common
+    from locusmill.llm.queries import QUERIES
+
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    rows = QUERIES[name](spark, SF).collect()
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    assert sorted(r.doc_id for r in rows) == sorted(texts)
+    keep = ~(crc_bucket("doc_id", mod) == rest)
+    if name == "op1_toxicity":
+        train = common.training_rows(docs, labels, "toxic", keep, 200_000)
+        model = toxicity.fit(train.select("doc_id", "text", "label"), "text", 0.01, 3.0, 1.5, 5, 0.1)
+        for r in rows:
+            words = toxicity.WORDS.findall(texts[r.doc_id].lower())
+            hits = [(i, s) for i, s in enumerate(map(model.score, words)) if s]
+            best = brute_segments(hits, 0.1) if hits and len(words) < 300 else None
+            if best is not None:
+                assert r.evidence > 0 or not [s for *_, s in best if s > 12], r.doc_id
+            if not hits:
+                assert r.evidence == 0 and r.n_passages == 0
+        order = sorted(rows, key=lambda r: r.evidence)
+        assert all(a.score <= b.score + 1e-9 for a, b in zip(order, order[1:]))
+    else:
+        assert all(r.n_lines == texts[r.doc_id].count("\n") + 1 for r in rows)
+    assert all(r.predicted == int(r.score >= (0.7 if mod == 3 else 0.3)) for r in rows)
