@@ -174,20 +174,13 @@ class Lattices:
 
     def units_of(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The units of all texts, with the space that stands before each, and how many each text has; empty texts have none."""
-        known, found, new, lacking = self.words, [], set(), []
         words = [self._words(text) for text in texts]
-        for own in words:
-            ids = list(map(known.get, own))
-            if None in ids:
-                new.update([w for w, i in zip(own, ids) if i is None])
-                lacking.append(len(found))
-            found.append(ids)
+        n_words = np.fromiter(map(len, words), np.int64, len(words))
+        every = list(chain.from_iterable(words))
+        new = set(every).difference(self.words)
         if new:
             self._learn(list(new))
-            for t in lacking:
-                found[t] = list(map(known.__getitem__, words[t]))
-        n_words = np.fromiter(map(len, found), np.int64, len(found))
-        ids = np.fromiter(chain.from_iterable(found), np.int64, int(n_words.sum()))
+        ids = np.fromiter(map(self.words.__getitem__, every), np.int64, len(every))
         # The words' units, one word after the other.
         at = np.array(self.word_at, np.int64)
         size = at.take(ids + 1) - at.take(ids)
@@ -359,9 +352,16 @@ class Lattices:
 
     def decode(self, ids: np.ndarray) -> bytes:
         """The bytes of pieces, the space before the text included."""
+        return self.decode_all([ids])[0]
+
+    def decode_all(self, rows: list[np.ndarray]) -> list[bytes]:
+        """The bytes of each row of pieces, all decoded together."""
+        ids = np.concatenate(rows) if rows else np.zeros(0, np.int64)
         size = self.flat_len.take(ids)
-        ends = np.cumsum(size)
-        return self.flat.take(np.repeat(self.flat_at.take(ids) - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)).tobytes()
+        ends = np.concatenate(([0], np.cumsum(size)))
+        flat = self.flat.take(np.repeat(self.flat_at.take(ids) - ends[:-1], size) + np.arange(ends[-1])).tobytes()
+        cuts = ends[np.concatenate(([0], np.cumsum([len(r) for r in rows], dtype=np.int64)))].tolist()
+        return [flat[a:b] for a, b in zip(cuts, cuts[1:])]
 
     def tables(self) -> Tables:
         """Views of the tables, which cannot grow while these are held."""
@@ -608,20 +608,25 @@ def sample_segmentations(docs: DataFrame, model: str, k: int = 2, theta: float =
                     lattices.clear()
                 keys = np.array([xxh64_intdigest(str(x), seed) for x in names], np.uint64)
                 tables, samples = sample_block(lattices, texts, keys, k)
-                rows = [(name, text, r, s, tables.piece[s.edges].astype("<u4")) for name, text, own in zip(names, texts, samples) for r, s in enumerate(own)]
+                rows = [(name, text, r, s, tables.piece.take(s.edges)) for name, text, own in zip(names, texts, samples) for r, s in enumerate(own)]
+                pieces = [x[4] for x in rows]
+                of_rows = np.concatenate(([0], np.cumsum([len(x) for x in pieces], dtype=np.int64)))
+                flat = (np.concatenate(pieces) if pieces else np.zeros(0)).astype("<u4")
+                raw, cuts = memoryview(flat.tobytes()), (4 * of_rows).tolist()
+                back = lattices.decode_all(pieces)
                 out = {
                     id_col: pa.array([x[0] for x in rows], pa.int64()),
                     "sample": pa.array([x[2] + 1 for x in rows], pa.int32()),
-                    "n_pieces": pa.array([len(x[4]) for x in rows], pa.int64()),
+                    "n_pieces": pa.array(np.diff(of_rows), pa.int64()),
                     "log_prob": pa.array([x[3].logp for x in rows], pa.float64()),
                     "perturbed": pa.array([x[3].value for x in rows], pa.float64()),
                     "log_inclusion": pa.array([x[3].log_inclusion for x in rows], pa.float64()),
-                    "ids_crc32": pa.array([zlib.crc32(x[4].tobytes()) for x in rows], pa.int64()),
-                    "decoded": pa.array([lattices.decode(x[4])[1:] == x[1].encode("utf-8", "replace") for x in rows], pa.bool_()),
+                    "ids_crc32": pa.array([zlib.crc32(raw[a:b]) for a, b in zip(cuts, cuts[1:])], pa.int64()),
+                    "decoded": pa.array([b[1:] == x[1].encode("utf-8", "replace") for b, x in zip(back, rows)], pa.bool_()),
                 }
                 if with_ids:
-                    out["ids"] = pa.array([x[4].astype(np.int32) for x in rows], pa.list_(pa.int32()))
-                del tables, samples, rows
+                    out["ids"] = pa.ListArray.from_arrays(pa.array(of_rows, pa.int32()), pa.array(flat.astype(np.int32), pa.int32()))
+                del tables, samples, rows, pieces, back
                 yield pa.RecordBatch.from_pydict(out)
         if release:
             _loaded.clear()
