@@ -1,8 +1,9 @@
 """Personal data: base patterns, and terms that reveal a protected entity.
 
 Base spans (e-mail, IP address, payment card, phone) are found in whole texts, leftmost and
-non-overlapping per kind. Each distinct value found is a protected entity of the corpus. A term
-of a document that holds an entity, wherever it stands there outside base spans, reveals the entity
+non-overlapping per kind. Each distinct value found is a protected entity of the corpus, and so is
+what values have in common that points to a person or a place: the domain of an e-mail address, the
+names in its local part, the network of an IP address, the issuer of a card. A term of a document that holds an entity, wherever it stands there outside base spans, reveals the entity
 as far as knowing the term tells about it: with document frequencies over the whole corpus, PMI(c; t) = log2(n(c,t) N / (n(c) n(t))) is set against the
 entity's own information content IC(c) = log2(N / n(c)). Where PMI / IC reaches `generalise_at`
 the term is to be replaced by its class, where it reaches `remove_at` it is to be removed, at every
@@ -19,7 +20,8 @@ most HOT_PAIRS of them, go by broadcast.
 Edge cases: a null text is empty and has no span; a null id is kept as a row of its own, as are
 repeated ids; an entity in all documents has IC 0 and nothing reveals it; an empty table gives an
 empty result; no pattern retries or looks back over a run of characters, so very long texts take
-linear time.
+linear time in finding spans; counting takes a document's recurring entities times its distinct
+terms, in bounded memory. Further columns are not looked at, whatever their names; `sanitise` keeps them.
 """
 
 from __future__ import annotations
@@ -35,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, text_of
+from .common import content_key, materialise, same, text_of
 
 KINDS = ("email", "ip", "card", "phone", "term")
 FILTER_BITS = 1 << 23
@@ -92,6 +94,22 @@ def base_spans(text: str) -> list[tuple[int, int, int, str]]:
     return sorted(out)
 
 
+_NAME = re.compile(r"[a-z]{3,}")
+
+
+def entities_of(value: str) -> list[str]:
+    """The entities that a base span's value stands for: itself, and what it shares with others of its owner or place."""
+    kind, _, rest = value.partition(":")
+    if kind == "email":
+        local, _, domain = rest.partition("@")
+        return [value, f"domain:{domain}", *(f"name:{n}" for n in _NAME.findall(local))]
+    if kind == "ip":
+        return [value, f"network:{rest.rpartition('.')[0]}"]
+    if kind == "card":
+        return [value, f"issuer:{rest[:6]}"]
+    return [value]
+
+
 def outside_terms(text: str, spans: list[tuple[int, int]]) -> Iterator[re.Match]:
     """The words of a text that touch no span; spans in order of their starts."""
     k, until = 0, 0
@@ -117,14 +135,18 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
             yield pa.RecordBatch.from_pydict({
                 "uid": pa.array(range(uid, uid + len(spans)), pa.int64()),
                 "id": batch.column(0),
+                "h1": batch.column(2),
+                "h2": batch.column(3),
                 "base": pa.array([[{"start": a, "rank": k, "end": b, "kind": KINDS[k], "action": "remove"} for a, k, b, _ in s] for s in spans], _SPANS),
-                "entities": pa.array([sorted({e for *_, e in s}) for s in spans], pa.list_(pa.string())),
+                "entities": pa.array([sorted({e for *_, value in s for e in entities_of(value)}) for s in spans], pa.list_(pa.string())),
                 "text": pc.if_else(pa.array([bool(s) for s in spans], pa.bool_()), batch.column(1), pa.scalar(None, batch.column(1).type)),
             })
             uid += len(spans)
 
-    schema = "uid long, id long, base array<struct<start:long,rank:int,end:long,kind:string,action:string>>, entities array<string>, text string"
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text"))
+    schema = "uid long, id long, h1 long, h2 long, base array<struct<start:long,rank:int,end:long,kind:string,action:string>>, entities array<string>, text string"
+    text = text_of(text_col)
+    h1, h2 = content_key(text)
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text"), h1.alias("h1"), h2.alias("h2"))
     return materialise(rows.mapInArrow(run, schema))
 
 
@@ -260,8 +282,12 @@ def find_pii(
     support: int = 3,
     generalise_at: float = 0.8,
     remove_at: float = 0.95,
+    keys: bool = False,
 ) -> DataFrame:
-    """Per row of `docs`: the id, base (its base spans) and spans (all spans), as arrays of (start, rank, end, kind, action)."""
+    """Per row of `docs`: the id, base (its base spans) and spans (all spans), as arrays of (start, rank, end, kind, action).
+
+    With `keys`, id, h1 and h2 (the text's content key) instead of the id under its own name.
+    """
     rows = scan(docs, id_col, text_col)
     pairs = revealing_pairs(rows, docs, text_col, support, generalise_at)
     held = materialise(places(rows, pairs))
@@ -277,9 +303,9 @@ def find_pii(
     one = F.transform("at", lambda a: F.struct(a["start"].alias("start"), F.lit(KINDS.index("term")).alias("rank"), a["end"].alias("end"), F.lit("term").alias("kind"), action.alias("action")))
     # A document holds no more of these than it has words.
     found = found.groupBy("uid").agg(F.flatten(F.collect_list(one)).alias("terms"))
-    out = rows.select("uid", "id", "base").join(found, "uid", "left")
+    out = rows.select("uid", "id", "h1", "h2", "base").join(found, "uid", "left")
     spans = F.sort_array(F.when(F.col("terms").isNull(), F.col("base")).otherwise(F.concat("base", "terms")))
-    return out.select(F.col("id").alias(id_col), "base", spans.alias("spans"))
+    return out.select(*(["id", "h1", "h2"] if keys else [F.col("id").alias(id_col)]), "base", spans.alias("spans"))
 
 
 def joined(spans: Column) -> Column:
@@ -304,12 +330,20 @@ def sanitised(text: str, spans: list) -> str:
 
 
 def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """`docs` with every text sanitised; ids have to be distinct."""
-    spans = find_pii(docs, id_col, text_col, **options).where(F.size("spans") > 0).select(F.col(id_col).alias("__id"), F.col("spans").alias("__spans"))
-    rows = docs.join(spans, docs[id_col] == spans["__id"], "left")
+    """`docs` with every text sanitised, all other columns as they are.
+
+    Spans go to rows by id and content: rows that agree in both have the same spans.
+    """
+    text = text_of(text_col)
+    h1, h2 = content_key(text)
+    rows = docs.select(F.struct("*").alias("row"), F.col(text_col).alias("text"), F.col(id_col).cast("long").alias("id"), h1.alias("h1"), h2.alias("h2"))
+    spans = find_pii(docs, id_col, text_col, keys=True, **options).where(F.size("spans") > 0)
+    spans = spans.select(F.col("id").alias("i"), F.col("h1").alias("a"), F.col("h2").alias("b"), "spans").dropDuplicates(["i", "a", "b"])
+    rows = rows.join(spans, same(rows, spans, {"id": "i", "h1": "a", "h2": "b"}), "left")
 
     @F.pandas_udf("string")
     def clean(texts, all_spans):
         return texts.combine(all_spans, lambda t, s: t if s is None or t is None else sanitised(t, list(s)))
 
-    return rows.withColumn(text_col, clean(F.col(text_col), F.col("__spans"))).select(*docs.columns)
+    cleaned = rows.withColumn("cleaned", clean(F.col("text"), F.col("spans")))
+    return cleaned.select(*[F.col("cleaned").alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c) for c in docs.columns])

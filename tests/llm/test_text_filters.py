@@ -3,6 +3,7 @@ import itertools
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -110,10 +111,70 @@ def test_pii_query_equals_brute_force(spark):
     from locusmill.llm.queries import op3_pii
 
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    terms = brute_terms(texts)
     for r in op3_pii(spark, SF).collect():
         spans = brute_spans(texts[r.doc_id])
         assert r.base_sha256 == hashlib.sha256(",".join(f"{n}:{a}:{b}" for a, _, b, n in spans).encode()).hexdigest()
-        assert r.n_email == sum(s[3] == "email" for s in spans)
+        assert (r.n_email, r.n_ip, r.n_card, r.n_phone) == tuple(sum(s[3] == k for s in spans) for k in PATTERNS)
+        assert r.spans == ",".join(f"{n}:{a}:{b}" for a, _, b, n in sorted(spans + terms.get(r.doc_id, [])))
+
+
+def brute_terms(texts, support=3, least=0.8):
+    """Revealing terms by definition: all entities against all terms of all documents."""
+    import math
+
+    held, words = {}, {}
+    for i, t in texts.items():
+        spans = brute_spans(t or "")
+        words[i] = [m for m in re.finditer(r"\w{3,}", t or "") if not any(a < m.end() and m.start() < b for a, _, b, _ in spans)]
+        own = set()
+        for a, _, b, kind in spans:
+            value = t[a:b]
+            if kind == "email":
+                local, domain = value.lower().split("@")
+                own |= {f"email:{value.lower()}", f"domain:{domain}"} | {f"name:{n}" for n in re.findall("[a-z]{3,}", local)}
+            elif kind == "ip":
+                own |= {f"ip:{value}", "network:" + value.rsplit(".", 1)[0]}
+            elif kind == "card":
+                digits = re.sub("[^0-9]", "", value)
+                own |= {f"card:{digits}", f"issuer:{digits[:6]}"}
+            else:
+                own.add(f"phone:{re.sub('[^0-9]', '', value)}")
+        held[i] = own
+    every = Counter(w for t in texts.values() for w in {m.lower() for m in re.findall(r"\w{3,}", t or "")})
+    n_c = Counter(e for own in held.values() for e in own)
+    n_ct = Counter((e, w) for i, own in held.items() for e in own for w in {m[0].lower() for m in words[i]})
+    n = len(texts)
+    good = {p for p, k in n_ct.items() if k >= support and n_c[p[0]] < n and math.log2(k * n / (n_c[p[0]] * every[p[1]])) / math.log2(n / n_c[p[0]]) >= least - 1e-12}
+    return {i: [(m.start(), 4, m.end(), "term") for m in words[i] if any((e, m[0].lower()) in good for e in own)] for i, own in held.items()}
+
+
+def test_what_entities_share_is_revealed_too(make):
+    rows = [f"the Zorblax office mail is p{i}@corp.example.com today number {i}" for i in range(6)] + [f"the office mail is closed today number {i}" for i in range(60)]
+    rows += [f"the Quuxley gate of 10.20.30.{i} stays shut number {i}" for i in range(4)]
+    got = {r.doc_id: r.spans for r in pii.find_pii(make(*rows)).collect()}
+    terms = {i: {rows[i][s["start"] : s["end"]] for s in spans if s["kind"] == "term"} for i, spans in got.items()}
+    assert all("Zorblax" in terms[i] for i in range(6)) and all("Quuxley" in terms[66 + i] for i in range(4)) and not any(terms[i] for i in range(6, 66))
+
+
+def test_many_spans_in_one_text_take_linear_time(make):
+    import time
+
+    text = " ".join(f"name{i}@host{i}.example.com word{i}" for i in range(10_000))
+    began = time.process_time()
+    spans = pii.base_spans(text)
+    assert len(spans) == 10_000 and sum(1 for _ in pii.outside_terms(text, [(s[0], s[2]) for s in spans])) == 10_000
+    assert time.process_time() - began < 2
+    got = pii.find_pii(make((1, text), (2, None), (4, "other words"))).collect()
+    assert len(got) == 3 and {len(r.base) for r in got} == {0, 10_000}
+
+
+def test_sanitise_keeps_clashing_columns_and_repeated_ids(make):
+    rows = [(1, "mail ann@corp.example.com now"), (1, "no mail now"), (None, "mail ann@corp.example.com now"), (1, "mail ann@corp.example.com now")]
+    docs = make(*rows).withColumn("id", F.lit("x")).withColumn("__id", F.lit(1)).withColumn("__spans", F.lit(2)).withColumn("spans", F.lit(3)).withColumn("row", F.lit(4))
+    out = pii.sanitise(docs)
+    assert out.columns == docs.columns
+    assert sorted(r.text for r in out.collect()) == ["mail [EMAIL] now"] * 3 + ["no mail now"]
 
 
 def test_revealing_terms(make):
