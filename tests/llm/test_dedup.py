@@ -178,3 +178,113 @@ def test_groups_of_the_table_equal_brute_force(spark):
     values = [brute_fingerprint(texts[i]) for i in ids]
     want = {i: (f"{v:016x}", ids[c]) for i, v, c in zip(ids, values, brute_components(values))}
     assert {r.doc_id: (r.fingerprint, r.component_id) for r in op4_simhash(spark, SF).collect()} == want
+
+
+# ---------------------------------------------------------------- near copies at a similarity
+def shingle_set(text, k=5):
+    words = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "").split()
+    return {tuple(words[i : i + k]) for i in range(max(1, len(words) - k + 1))} if words else set()
+
+
+def jaccard(a, b):
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def edited(rng, words, share):
+    out = list(words)
+    for i in rng.sample(range(len(out)), int(share * len(out))):
+        out[i] = f"new{rng.randrange(10**9)}"
+    return out
+
+
+def edited_corpus(seed, families=120):
+    """Families of a text and edited copies of it, over a range of similarities, beside texts of their own."""
+    rng = random.Random(seed)
+    rows = []
+    for f in range(families):
+        base = [f"w{rng.randrange(3000)}" for _ in range(rng.randint(120, 500))]
+        rows.append(" ".join(base))
+        rows += [" ".join(edited(rng, base, rng.choice([0.005, 0.01, 0.02, 0.03, 0.1]))) for _ in range(2)]
+    rows += [" ".join(f"w{rng.randrange(3000)}" for _ in range(200)) for _ in range(200)]
+    return rows
+
+
+def near_sets(frame):
+    rows, classes = frame
+    out = {}
+    for r in rows.join(classes, "node").select("id", "component_id").collect():
+        out.setdefault(r.component_id, set()).add(r.id)
+    return {i: c for c, own in out.items() for i in own}
+
+
+@pytest.mark.parametrize("split", [20_000, 3])
+def test_near_copies_at_a_similarity(make, split):
+    from locusmill.llm import near_copies
+
+    texts = edited_corpus(1)
+    sets = [shingle_set(t) for t in texts]
+    of = near_sets(near_copies.near_copies(make(*texts), split=split))
+    near, apart = [], []
+    for f in range(120):
+        for a, b in ((0, 1), (0, 2), (1, 2)):
+            j = jaccard(sets[3 * f + a], sets[3 * f + b])
+            (near if j >= 0.8 else apart).append((j, of[3 * f + a] == of[3 * f + b]))
+    assert len(near) > 150 and sum(x for _, x in near) / len(near) >= 0.95
+    assert not any(x for j, x in apart if j < 0.5)
+    assert all(of[i] == i for i in range(360, 560)) and all(of[i] // 3 == i // 3 for i in range(360))
+
+
+def test_near_copies_of_the_table(spark):
+    """Recall at a similarity of 0.8 over five words and clean texts left alone, against exact similarities of all pairs."""
+    from locusmill.llm import near_copies
+
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    sets, first = {}, {}
+    for i, t in sorted(texts.items()):
+        sets[first.setdefault(frozenset(shingle_set(t)), i)] = shingle_set(t)
+    by = {}
+    for i, own in sets.items():
+        for x in sorted(map(hash, own))[: len(own) // 5 + 1]:  # in a common order of shingles, pairs of 0.8 share one of these
+            by.setdefault(x, []).append(i)
+    pairs = {(a, b) for own in by.values() if len(own) < 400 for k, a in enumerate(own) for b in own[k + 1 :]}
+    size = {i: len(x) for i, x in sets.items()}
+    scored = {(a, b): jaccard(sets[a], sets[b]) for a, b in pairs if 10 * min(size[a], size[b]) >= 7 * max(size[a], size[b])}
+    of = near_sets(near_copies.near_copies(docs))
+    near = [(p, j) for p, j in scored.items() if j >= 0.8]
+    caught = sum(of[a] == of[b] for (a, b), _ in near)
+    print(f"near copies of the table: {caught} of {len(near)} pairs")
+    assert len(near) > 30 and caught >= 0.9 * len(near), (caught, len(near))
+    best = {}
+    for (a, b), j in scored.items():
+        best[a], best[b] = max(best.get(a, 0), j), max(best.get(b, 0), j)
+    alone = [i for i in sets if best.get(i, 0) < 0.7]
+    members = {}
+    for i in sets:
+        members.setdefault(of[i], []).append(i)
+    assert sum(len(members[of[i]]) > 1 for i in alone) <= 0.001 * len(alone)
+
+
+def test_near_copies_edges(make):
+    from locusmill.llm import near_copies
+
+    docs = make((4, "a b c d"), (2, "A B  C D"), (None, "a b c d"), (2, "quite other words"), (None, None), (7, ""), (8, " \n")).withColumn("fp", F.lit("x")).withColumn("node", F.lit(1)).withColumn("id", F.lit(2)).withColumn("h1", F.lit(0)).withColumn("__row", F.lit(0))
+    kept = near_copies.drop_similar(docs)
+    assert kept.columns == docs.columns and sorted((r.doc_id or -1, (r.text or "").strip()[:1]) for r in kept.collect()) == [(2, "A"), (2, "q"), (7, "")]
+    assert near_copies.drop_similar(docs.limit(0)).count() == 0
+    again = make((1, "same words stand here now"), (1, "same words stand here now"))
+    assert near_copies.drop_similar(again).count() == 1
+
+
+def test_a_large_family_is_dealt_to_chunks(make):
+    from locusmill.llm import near_copies
+
+    rng = random.Random(5)
+    base = [f"w{rng.randrange(3000)}" for _ in range(400)]
+    family = [" ".join(edited(rng, base, 0.003)) for _ in range(300)]
+    of = near_sets(near_copies.near_copies(make(*family), split=40))
+    assert set(of.values()) == {0}
+    # A shared passage, and nothing else in common: many minima shared, no near copies.
+    apart = [" ".join(base[:40] + [f"x{rng.randrange(10**6)}" for _ in range(60)]) for _ in range(150)]
+    of = near_sets(near_copies.near_copies(make(*apart), split=10, bits=40))
+    assert all(of[i] == i for i in of)
