@@ -17,7 +17,8 @@ reader comments (by element, role, class or id) do not count. The article is the
 container once per page that holds at least `mass` of what is left; on each page its slots are
 then read out, without the text nodes that are template tokens. Only where these hold more than
 1 - `mass` of the text of an element of that meaning (article, main), its pages are copies of one
-article, and the text in it stays. A text has to stand on `least_pages` pages to be a token of it. A host with too few pages for a template
+article, and the text in it stays. Which containers a page has is not bounded by their depth: below
+LISTED of them a path goes on as a chain of hashes. A text has to stand on `least_pages` pages to be a token of it. A host with too few pages for a template
 takes the one of all pages together.
 
 Sums per host and token are pre-aggregated by task. Templates of hosts with over 1/HOT_HOSTS of all
@@ -43,6 +44,8 @@ from pyspark.sql import functions as F
 from .common import hot_join, materialise
 
 HOT_HOSTS = 2000
+#: Paths list so many containers; those below are named by a hash that chains them, so that a path's length is bounded at any depth.
+LISTED = 200
 
 # What the elements mean in HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -73,10 +76,11 @@ def _label(name: str, attributes: str) -> tuple[str, bool]:
 def nodes(page: str) -> Iterator[tuple[str, str, bool, str, bool]]:
     """(kind, path, whether it is noise, text, whether a new block starts), in the order of the page.
 
-    The kind is "<" at a container's start, "</" at its end and "t" at a text node. Ends are those
-    that the page has, and its own end for what is still open there.
+    The kind is "<" at a container's start, "</" at its end, "<>" where it ends without an end of its
+    own (which is no token), and "t" at a text node. Ends are those that the page has, and its own
+    end for what is still open there.
     """
-    stack: list[tuple[str, str, bool, bool]] = [("", "", False, False)]  # element, path, noise, whether it has a path of its own
+    stack: list[tuple[str, str, bool]] = [("", "", False)]  # element, path, noise
     opened: Counter[str] = Counter()
     at, block = 0, True
     while True:
@@ -88,9 +92,8 @@ def nodes(page: str) -> Iterator[tuple[str, str, bool, str, bool]]:
         elif text and not block:
             yield "t", stack[-1][1], stack[-1][2], " ", False
         if not m:
-            for _, path, noise, own in stack[:0:-1]:
-                if own:
-                    yield "</", path, noise, "", True
+            for _, path, noise in stack[:0:-1]:
+                yield "</", path, noise, "", True
             return
         at = m.end()
         end, name, attributes, closed = m.groups()
@@ -111,23 +114,35 @@ def nodes(page: str) -> Iterator[tuple[str, str, bool, str, bool]]:
         if end:
             # The innermost open element of that name ends, and all within it, which has no end of its own; a stray end tag does nothing.
             while opened[name]:
-                inner, path, noise, own = stack.pop()
+                inner, path, noise = stack.pop()
                 opened[inner] -= 1
                 if inner == name:
-                    if own:
-                        yield "</", path, noise, "", True
+                    yield "</", path, noise, "", True
                     break
+                yield "<>", path, noise, "", True
         else:
             label, noise = _label(name, attributes)
-            _, path, within, _ = stack[-1]
+            _, path, within = stack[-1]
             noise = within or noise or name in OPAQUE or name in ASIDE or (name == "header" and not any(opened[x] for x in MAIN))
-            # Containers below depth 200 are kept for their end tags and noise, with the path of the last one above.
-            own = len(stack) < 200
-            stack.append((name, f"{path}>{label}" if own else path, noise, own))
+            stack.append((name, f"{path}>{label}" if len(stack) < LISTED else _below(path, label), noise))
             opened[name] += 1
-            if own:
-                yield "<", stack[-1][1], noise, "", True
+            yield "<", stack[-1][1], noise, "", True
+
+
+def _below(path: str, label: str) -> str:
+    """The path of a container in one that is as deep as paths list: the listed part, the parent's hash, its own and its element."""
+    from xxhash import xxh64_hexdigest
 
+    top, _, deep = path.partition(">#")
+    parent = deep.split(".", 2)[1] if deep else ""
+    own = xxh64_hexdigest(f"{path}>{label}".encode("utf-8", "surrogatepass"))
+    return f"{top}>#{parent}.{own}.{label.partition('.')[0]}"
+
+
+def _up(path: str) -> tuple[str, str] | None:
+    """(parent's hash, own hash) of a container below the listed depth."""
+    deep = path.partition(">#")[2]
+    return tuple(deep.split(".", 2)[:2]) if deep else None
 
 
 def _token(kind: str, path: str, text: str) -> str:
@@ -163,7 +178,7 @@ def tokens(pages: DataFrame, host: str, html: str) -> DataFrame:
                 drawn = xxh64_intdigest(page.encode("utf-8", "surrogatepass"))
                 seen: dict[str, list[int]] = {"": [1, 0, 0]}
                 for i, (kind, path, noise, text, _) in enumerate(nodes(page)):
-                    if text == " ":
+                    if text == " " or kind == "<>":
                         continue
                     own = seen.setdefault(_token(kind, path, text), [0, 0, 0])
                     own[0] += 1
@@ -230,7 +245,7 @@ def out_of_order(page: str, rank: dict[str, tuple[int, int]]) -> set[str]:
     runs: dict[int, list[tuple[int, int, str]]] = {}
     n: Counter[str] = Counter()
     for kind, path, _, text, _ in nodes(page):
-        if text != " ":
+        if text != " " and kind != "<>":
             token = _token(kind, path, text)
             if token in rank:
                 k, r = rank[token]
@@ -267,28 +282,64 @@ def article_of(classes: list, mass: float, disordered: frozenset[str] | set[str]
                         once.add(token[1:])
     texts = {t for t in held if _place(t) in nests}
     total = sum(weight.values())
-    inside = {p: sum(w for q, w in weight.items() if q == p or q.startswith(p + ">")) for p in once}
+    below = _weights_below(weight, nests | once)
+    inside = {p: below[p] if _up(p) else sum(w for q, w in weight.items() if q == p or q.startswith(p + ">")) for p in once}
     good = [p for p in once if total and inside[p] >= mass * total]
-    # Innermost; an element that means article or main goes before a deeper one without meaning.
-    best = max(good, key=lambda p: (_means_main(p), p.count(">"), inside[p], p), default="")
+    # Innermost; an element that means article or main goes before a deeper one without meaning. Of those below the
+    # listed depth, which hold each other, the one with the least in it is innermost.
+    best = max(good, key=lambda p: (_means_main(p), p.count(">"), -inside[p] if _up(p) else inside[p], p), default="")
     if _means_main(best):
         # Pages whose articles are mostly the same text are copies of one article, not a template around slots.
-        shared = {t for t in texts if _place(t) == best or _place(t).startswith(best + ">")}
+        shared = {t for t in texts if _place(t) == best or _place(t).startswith(best + ">") or (_up(best) and _is_below(_place(t), best, nests | set(weight)))}
         if sum(held[t] for t in shared) > (1 - mass) * inside[best]:
             texts -= shared
     return best, texts
 
 
+def _weights_below(weight: dict[str, int], paths: set[str]) -> dict[str, int]:
+    """Of containers below the listed depth, the weight of each with all it holds: sums go up the chain of hashes, the lowest first."""
+    deep = {_up(p)[1]: p for p in paths | set(weight) if _up(p)}
+    depth: dict[str, int] = {}
+    for own in deep:
+        chain = []
+        while own in deep and own not in depth:
+            chain.append(own)
+            own = _up(deep[own])[0]
+        level = depth.get(own, 0)
+        for x in reversed(chain):
+            level += 1
+            depth[x] = level
+    total = {own: weight.get(p, 0) for own, p in deep.items()}
+    for own in sorted(deep, key=lambda x: -depth[x]):
+        parent = _up(deep[own])[0]
+        if parent in total:
+            total[parent] += total[own]
+    return {p: total[own] for own, p in deep.items()}
+
+
+def _is_below(path: str, best: str, paths: set[str]) -> bool:
+    """Whether a container below the listed depth lies in `best`, which does too."""
+    deep = {_up(p)[1]: _up(p)[0] for p in paths if _up(p)}
+    up, own = _up(path), _up(best)[1]
+    at = up[1] if up else ""
+    while at and at != own:
+        at = deep.get(at, "")
+    return at == own
+
+
 def _means_main(path: str) -> bool:
-    return path.rpartition(">")[2].split(".")[0] in MAIN
+    deep = path.partition(">#")[2]
+    return (deep.split(".", 2)[2] if deep else path.rpartition(">")[2].split(".")[0]) in MAIN
 
 
 def main_text(page: str, article: str, template_texts: set[str]) -> str | None:
     """The slots of the article, a line per block; None if the page has no such element."""
     blocks: list[list[str]] = []
-    there, fresh = not article, True
+    there, fresh, within = not article, True, int(not article)
     for kind, path, noise, text, new in nodes(page):
-        if not (path == article or path.startswith(article + ">")):
+        if path == article and kind != "t":
+            within += 1 if kind == "<" else -1
+        if not within:
             continue
         there = True
         fresh |= new

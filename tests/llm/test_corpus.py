@@ -375,6 +375,36 @@ def test_deep_containers_end_with_their_own_tags():
     assert starts == ends[::-1]
 
 
+def test_articles_below_any_depth(spark):
+    filler = "one two three four five six seven eight nine ten words"
+    deep = lambda k, inner: "<div>" * k + inner + "</div>" * k
+    body = "<nav>menu</nav><div class=box><p>Welcome to our site</p>{}</div><div class=other><p>See also what others read</p></div>"
+    story = "<section><p>story {i} {f}</p><ul><li>point {i}</ul><section><p>end {i}</p></section></section>"
+    for k in (5, 250, 1200):
+        rows = [(i, f"http://d{k}.example/{i}", "<html><body>" + body.format(deep(k, "<nav>inner menu</nav>" + story.format(i=i, f=filler) + "<form>f</form>")) + "</body></html>") for i in range(8)]
+        got = {r.page_id: r.text for r in html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+        assert got == {i: f"story {i} {filler}\npoint {i}\nend {i}" for i in range(8)}, k
+    assert len({p for kind, p, *_ in html_extract.nodes("<div>" * 5000) if kind == "<"}) == 5000 and max(len(p) for _, p, *_ in html_extract.nodes("<div>" * 5000)) < 1100
+
+
+def test_the_template_decides_what_is_left(spark):
+    """Without a template (too few pages for any text to be a token of it) the notice inside the article stays; with it, it goes."""
+    filler = " ".join(f"word{k}" for k in range(40))
+    rows = [(i, f"http://n.example/{i}", f"<html><body><article><p>All stories are free to read this week.</p><p>story {i} {filler} {i}</p></article></body></html>") for i in range(8)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    on = {r.page_id: r.text for r in html_extract.extract(pages).collect()}
+    off = {r.page_id: r.text for r in html_extract.extract(pages, least_pages=100).collect()}
+    assert on == {i: f"story {i} {filler} {i}" for i in range(8)} and all(off[i] == f"All stories are free to read this week.\n{on[i]}" for i in on)
+
+
+def test_pages_clashing_columns_ties_and_long_pages(spark):
+    long = "<article><p>" + "word " * 200_000 + "</p></article>"
+    rows = [(1, "http://a.example/", "<article><p>same</p></article>")] * 3 + [(2, "http://a.example/", long), (None, None, None), (2, None, "<p>x</p>")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit(1)).withColumn("host", F.lit("h")).withColumn("id", F.lit(2)).withColumn("classes", F.lit(3))
+    got = html_extract.extract(pages).collect()
+    assert len(got) == 6 and [r.text for r in got if r.page_id == 1] == ["same"] * 3 and sorted(r.n_chars for r in got if r.page_id == 2) == [1, 999_999]
+
+
 def test_pages_query(spark):
     import html
 
