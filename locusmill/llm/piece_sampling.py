@@ -34,9 +34,10 @@ import re
 import zlib
 from array import array
 from bisect import bisect_right
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
+from itertools import chain, count, islice
 
 import numpy as np
 import pyarrow as pa
@@ -163,9 +164,10 @@ class Lattices:
         return np.where(self.trie_key.take(slot) == key, self.trie_node.take(slot), -1)
 
     def clear(self) -> None:
-        self.words: dict[str | tuple[str], int] = {}
+        #: Numbers in the order of first use; what has a number and no tables yet gets them before the next use.
+        self.words: dict[str | tuple[str], int] = defaultdict(count().__next__)
         self.word_at, self.word_units = array("i", [0]), array("i")  # the units of each word
-        self.units: dict[str, int] = {}
+        self.units: dict[str, int] = defaultdict(count().__next__)
         self.start = array("i")  # the first node of each unit
         self.first = array("i", [0])  # the first edge of each node, and the end
         #: Per edge: piece, node after it (-1: the unit ends), log-probability and place.
@@ -176,16 +178,16 @@ class Lattices:
         """The units of all texts, with the space that stands before each, and how many each text has; empty texts have none."""
         words = [self._words(text) for text in texts]
         n_words = np.fromiter(map(len, words), np.int64, len(words))
-        every = list(chain.from_iterable(words))
-        new = set(every).difference(self.words)
-        if new:
-            self._learn(list(new))
-        ids = np.fromiter(map(self.words.__getitem__, every), np.int64, len(every))
+        known = len(self.words)
+        ids = np.fromiter(map(self.words.__getitem__, chain.from_iterable(words)), np.int64, int(n_words.sum()))
+        if len(self.words) > known:
+            self._learn(list(islice(self.words, known, None)))
         # The words' units, one word after the other.
-        at = np.array(self.word_at, np.int64)
-        size = at.take(ids + 1) - at.take(ids)
-        ends = np.cumsum(size)
-        units = np.array(self.word_units).take(np.repeat(at.take(ids) - ends + size, size) + np.arange(ends[-1] if len(ends) else 0))
+        at = np.frombuffer(self.word_at, np.int32)
+        begin = at.take(ids)
+        size = at.take(ids + 1) - begin
+        ends = np.cumsum(size, dtype=np.int64)
+        units = np.frombuffer(self.word_units, np.int32).take(np.repeat(begin - ends + size, size) + np.arange(ends[-1])) if len(ids) else np.zeros(0, np.int32)
         upto = np.concatenate(([0], ends))
         cuts = np.concatenate(([0], np.cumsum(n_words)))
         return units, np.diff(upto[cuts])
@@ -201,10 +203,10 @@ class Lattices:
         return text.split(" ")
 
     def _learn(self, words: list) -> None:
-        """Splits new words where no piece crosses and gives their units tables."""
+        """Splits new words, in the order of their numbers, where no piece crosses and gives their units tables."""
         literal = (SPACE,)
-        words = [w for w in words if w != literal] + [w for w in words if w == literal]
-        plain = [w[0] if w.__class__ is tuple else " " + w for w in (words[:-1] if words[-1] == literal else words)]
+        at = words.index(literal) if literal in words else None
+        plain = [w[0] if w.__class__ is tuple else " " + w for w in words if w != literal]
         text = "".join(plain).replace(" ", SPACE)
         size = np.fromiter(map(len, plain), np.int64, len(plain))
         c = self.letter[np.frombuffer(text.encode("utf-32-le"), np.uint32)].astype(np.int64)
@@ -213,27 +215,33 @@ class Lattices:
         cut[1:-1] = self.pair_key[np.searchsorted(self.pair_key, key)] != key
         cut[np.cumsum(size)] = True
         places = np.flatnonzero(cut)
-        units = [text[a:b] for a, b in zip(places.tolist(), places[1:].tolist())]
+        cuts, known = places.tolist(), len(self.units)
+        units = np.fromiter(map(self.units.__getitem__, map(text.__getitem__, map(slice, cuts, islice(cuts, 1, None)))), np.int32, len(cuts) - 1)
         n_units = np.add.reduceat(cut[:-1], np.cumsum(size) - size, dtype=np.int64) if len(plain) else size
-        self._build(set(units).difference(self.units))
-        if len(plain) < len(words):
-            self._literal()
+        self._build(list(islice(self.units, known, None)))
+        if at is not None:
+            units = np.insert(units, int(n_units[:at].sum()), self._literal())
+            n_units = np.insert(n_units, at, 1)
             self._finish()
-            units.append("")
-            n_units = np.append(n_units, 1)
-        self.words.update(zip(words, range(len(self.words), len(self.words) + len(words))))
-        self.word_units.extend(map(self.units.__getitem__, units))
+        self.word_units.frombytes(units.astype(np.int32).tobytes())
         self.word_at.frombytes((np.cumsum(n_units) + self.word_at[-1]).astype(np.int32).tobytes())
 
-    def _build(self, units: set[str]) -> None:
+    def _build(self, units: list[str]) -> None:
         """Tables of new units: together where their characters are in the vocabulary, else one by one."""
         letter, own = self.letter, self.weight.keys()
-        together = [u for u in units if len(u) <= TOGETHER and own >= set(u)]
-        for u in units.difference(together):
-            self._unit(u)
+        fit = [len(u) <= TOGETHER and own >= set(u) for u in units]
+        together = [u for u, f in zip(units, fit) if f]
+        starts_of = np.empty(len(units), np.int32)
+        fit = np.array(fit, bool)
+        for i in np.flatnonzero(~fit).tolist():
+            starts_of[i] = self._unit(units[i])
         self._finish()
-        if not together:
-            return
+        if together:
+            starts_of[fit] = self._together(together, letter)
+        self.start.frombytes(starts_of.tobytes())
+
+    def _together(self, together: list[str], letter: np.ndarray) -> np.ndarray:
+        """Tables of units whose characters are in the vocabulary; returns the first node of each."""
         size = np.array([len(u) for u in together])
         chars = letter[np.frombuffer("".join(together).encode("utf-32-le"), np.uint32)].astype(np.int64)
         end = np.repeat(np.cumsum(size), size)  # of its unit, for each position
@@ -273,26 +281,21 @@ class Lattices:
                 weight[first[a] : first[b]] *= back[after[first[a] : first[b]]]
                 back[a:b] = np.add.reduceat(weight[first[a] : first[b]], first[a:b] - first[a])
         node, base = len(self.first) - 1, len(self.piece)
-        starts = number[np.cumsum(size) - size] + node
-        self.units.update(zip(together, range(len(self.start), len(self.start) + len(together))))
-        self.start.frombytes(starts.astype(np.int32).tobytes())
         self.piece.frombytes(piece.tobytes())
         self.next.frombytes(np.where(after >= 0, after + node, -1).astype(np.int32).tobytes())
         self.share.frombytes(weight.tobytes())
         self.first.frombytes((first[1:] + base).astype(np.int32).tobytes())
         self._finish()
+        return number[np.cumsum(size) - size] + node
 
     def _literal(self) -> int:
         """The unit of a U+2581 in a text, which is not a space."""
         if "" not in self.units:
-            node = self._chain(SPACE.encode(), -1)
-            self.units[""] = len(self.start)
-            self.start.append(node)
+            self.start.append(self._chain(SPACE.encode(), -1))
         return self.units[""]
 
     def _unit(self, unit: str) -> int:
-        if unit in self.units:
-            return self.units[unit]
+        """The table of one unit; returns its first node."""
         get, n = self.begins.get, len(unit)
         back = [1.0] * (n + 1)  # summed weights of all ways from here to the end, up to the factor of `scale`
         scale = [0] * (n + 1)  # powers of 2**512 taken out, so that long units do not vanish
@@ -321,9 +324,7 @@ class Lattices:
             back[i], scale[i] = total, base
             node[i] = len(first) - 1
             first.append(len(self.piece))
-        self.units[unit] = len(self.start)
-        self.start.append(node[0])
-        return self.units[unit]
+        return node[0]
 
     def _chain(self, data: bytes, following: int) -> int:
         for b in reversed(data):
@@ -337,9 +338,10 @@ class Lattices:
         if not self.share:
             return
         done = len(self.logq)
-        first = np.array(self.first)
+        first = np.frombuffer(self.first, np.int32)
         node = int(np.searchsorted(first, np.int32(done)))
         at, n = first[node:-1].astype(np.int64) - done, np.diff(first[node:])
+        del first
         share = np.array(self.share)
         q = share / np.repeat(np.add.reduceat(share, at), n)
         run = np.cumsum(q)
@@ -612,7 +614,7 @@ def sample_segmentations(docs: DataFrame, model: str, k: int = 2, theta: float =
                 pieces = [x[4] for x in rows]
                 of_rows = np.concatenate(([0], np.cumsum([len(x) for x in pieces], dtype=np.int64)))
                 flat = (np.concatenate(pieces) if pieces else np.zeros(0)).astype("<u4")
-                raw, cuts = memoryview(flat.tobytes()), (4 * of_rows).tolist()
+                cuts = of_rows.tolist()
                 back = lattices.decode_all(pieces)
                 out = {
                     id_col: pa.array([x[0] for x in rows], pa.int64()),
@@ -621,11 +623,11 @@ def sample_segmentations(docs: DataFrame, model: str, k: int = 2, theta: float =
                     "log_prob": pa.array([x[3].logp for x in rows], pa.float64()),
                     "perturbed": pa.array([x[3].value for x in rows], pa.float64()),
                     "log_inclusion": pa.array([x[3].log_inclusion for x in rows], pa.float64()),
-                    "ids_crc32": pa.array([zlib.crc32(raw[a:b]) for a, b in zip(cuts, cuts[1:])], pa.int64()),
+                    "ids_crc32": pa.array([zlib.crc32(flat[a:b]) for a, b in zip(cuts, cuts[1:])], pa.int64()),
                     "decoded": pa.array([b[1:] == x[1].encode("utf-8", "replace") for b, x in zip(back, rows)], pa.bool_()),
                 }
                 if with_ids:
-                    out["ids"] = pa.ListArray.from_arrays(pa.array(of_rows, pa.int32()), pa.array(flat.astype(np.int32), pa.int32()))
+                    out["ids"] = pa.ListArray.from_arrays(pa.array(of_rows, pa.int32()), pa.array(flat.view(np.int32), pa.int32()))
                 del tables, samples, rows, pieces, back
                 yield pa.RecordBatch.from_pydict(out)
         if release:
