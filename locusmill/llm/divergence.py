@@ -39,6 +39,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
@@ -125,7 +126,7 @@ def _pack(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iter
     """All rows of a slice: one vector per source, and the language's own with the terms themselves (source null)."""
     table = pa.Table.from_batches(batches)
     lang, piece = key[0].as_py(), key[1].as_py()
-    names = pa.compute.dictionary_encode(table.column("term")).combine_chunks()
+    names = pc.dictionary_encode(table.column("term")).combine_chunks()
     words = names.dictionary.cast(pa.binary()).to_pylist()
     order = sorted(range(len(words)), key=words.__getitem__)
     place = np.empty(len(words), np.int64)
@@ -134,7 +135,7 @@ def _pack(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iter
     counts = table.column("n").to_numpy()
     total = np.zeros(len(words), np.int64)
     np.add.at(total, own, counts)
-    sources = pa.compute.dictionary_encode(table.column("source")).combine_chunks()
+    sources = pc.dictionary_encode(table.column("source")).combine_chunks()
     at = sources.indices.to_numpy()
     by_source = np.lexsort((own, at))
     cuts = np.searchsorted(at[by_source], np.arange(len(sources.dictionary) + 1))

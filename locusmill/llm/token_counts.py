@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -184,7 +185,7 @@ def count_tokens(
         counter = _counter(tokenizer, batch_bytes)
         uid = TaskContext.get().partitionId() << 40
         for batch in batches:
-            sizes = pa.compute.binary_length(batch.column(1)).to_numpy(zero_copy_only=False)
+            sizes = pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False)
             whole = np.flatnonzero((sizes <= long_bytes) | (not counter.cuts))
             texts = ((i, batch.column(1)[i].as_py()) for i in whole.tolist())
             for own, some in _batches(texts, batch_bytes):
