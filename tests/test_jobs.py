@@ -1,0 +1,246 @@
+"""The runnable jobs: against SQL, by runs over growing input, after failures, and from the command line."""
+
+import json
+import os
+import re
+import subprocess
+import sys
+
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+
+from jobs import queries as J
+from jobs import release_check, result_feed
+
+SF = "/root/testdata/sf0.01"
+REPO = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+FEED = {"trait": "user_id", "variant": "event_id", "score": "value", "chromosome": "event_type"}
+
+
+@pytest.mark.parametrize("name", sorted(J.QUERIES))
+def test_job_equals_sql(spark, name):
+    con = duckdb.connect()
+    for t in ("events", "documents", "conversations", "customer"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
+    mode = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    df = J.QUERIES[name](spark, SF)
+    found = con.execute(J.SQL[name])
+    names = [x[0] for x in found.description]
+    assert names == df.columns
+    assert sorted(map(repr, map(tuple, df.collect()))) == sorted(map(repr, found.fetchall()))
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == mode
+
+
+# ---------------------------------------------------------------- result feed
+RESULTS = "molecular_trait_id string, variant string, pip double, chromosome string, extra int"
+
+
+def shard(spark, folder, name, rows):
+    """One shard file of the folder."""
+    df = spark.createDataFrame([(*r, 1) for r in rows], RESULTS).coalesce(1)
+    df.write.mode("append").option("maxRecordsPerFile", 0).parquet(f"{folder}/{name}")
+
+
+def expected(rows):
+    good = {r for r in rows if all(x not in (None, "") for x in r) and r[2] == r[2]}
+    traits = {}
+    for t, v, p, c in good:
+        n, best = traits.get((c, t), (0, (1, "")))
+        traits[c, t] = (n + 1, min(best, (-p, v)))
+    out = [("row", c, t, v, p, 1) for t, v, p, c in good] + [("trait", c, t, v, -p, n) for (c, t), (n, (p, v)) in traits.items()]
+    return sorted(out)
+
+
+def kept(spark, output):
+    rows = result_feed.read_output(spark, output).where("part <> 'rejected'").collect()
+    return sorted((r.part, r.chromosome, r.trait, r.variant, r.score, r.n) for r in rows)
+
+
+FIRST = [("g1", "1_5_A_C", 0.5, "chr1"), ("g1", "1_6_A_C", 0.5, "chr1"), ("g2", "v", 0.1, "01"), (None, "v", 0.1, "chr1"), ("g2", "v", None, "chr1"), ("g2", "v", float("nan"), "chr1"), ("g2", "", 1.0, "chr1"), ("g3", "v", 0.2, "")]
+SECOND = [("g1", "1_9_A_C", 0.9, "chr1"), ("g1", "1_5_A_C", 0.5, "chr1"), ("g9", "2_1_A_C", 0.4, "chr2"), ("g9", "2_1_A_C", 0.4, "chr2")]
+
+
+def test_only_new_shards_are_taken(spark, tmp_path):
+    folder, output, state = (f"{tmp_path}/{x}" for x in ("in", "out", "state"))
+    shard(spark, folder, "a.parquet", FIRST)
+    run = lambda: result_feed.run(spark, f"{folder}/*.parquet", output, state, {"files_per_batch": 1})
+    assert run() == {"read": 8, "stored": 3, "rejected": 5, "batches": 1}
+    assert kept(spark, output) == expected(FIRST)
+    again = {f: os.path.getmtime(f) for f in _files(output)}
+    assert run()["batches"] == 0 and {f: os.path.getmtime(f) for f in _files(output)} == again
+
+    # New rows, a row that another shard had, and the first shard under a new name.
+    shard(spark, folder, "b.parquet", SECOND)
+    shard(spark, folder, "c.parquet", FIRST)
+    assert run() == {"read": 12, "stored": 2, "rejected": 5, "batches": 2}
+    assert kept(spark, output) == expected(FIRST + SECOND)
+    reasons = result_feed.read_output(spark, output).where("part = 'rejected'").groupBy("reason").count().collect()
+    assert {r.reason: r["count"] for r in reasons} == {"no trait": 2, "no score": 4, "no variant": 2, "no chromosome": 2}
+    # Folders of a chromosome that the last batches did not touch are the old files.
+    old = [f for f in again if "/traits/chromosome=01/" in f]
+    assert old and all(f in again for f in old)
+
+
+def _files(folder):
+    return [f"{d}/{f}" for d, _, names in os.walk(folder) for f in names if f.endswith(".parquet")]
+
+
+@pytest.mark.parametrize("fails_at", ["parts", "traits", "rows"])
+def test_a_batch_that_failed_midway_is_run_again(spark, tmp_path, monkeypatch, fails_at):
+    folder, output, state = (f"{tmp_path}/{x}" for x in ("in", "out", "state"))
+    shard(spark, folder, "a.parquet", FIRST)
+    result_feed.run(spark, f"{folder}/*.parquet", output, state)
+    shard(spark, folder, "b.parquet", SECOND)
+    best, table, calls = result_feed._best, result_feed._table, []
+
+    def broken(*a, **k):
+        calls.append(1)
+        if len(calls) == (1 if fails_at == "parts" else 2):
+            raise OSError("executor lost")
+        return best(*a, **k)
+
+    def gone(spark, path, schema):
+        df = table(spark, path, schema)
+        if path.endswith("/rows"):
+            calls.append(1)
+            if len(calls) == 2:  # the batch's rows have just been written
+                raise OSError("executor lost")
+        return df
+
+    monkeypatch.setattr(result_feed, *("_table", gone) if fails_at == "rows" else ("_best", broken))
+    with pytest.raises(Exception, match="executor lost"):
+        result_feed.run(spark, f"{folder}/*.parquet", output, state)
+    monkeypatch.undo()
+    assert result_feed.run(spark, f"{folder}/*.parquet", output, state)["stored"] == 2
+    assert kept(spark, output) == expected(FIRST + SECOND)
+
+
+def test_feed_of_nothing_and_wrong_settings(spark, tmp_path):
+    shard(spark, f"{tmp_path}/in", "a.parquet", [])
+    run = lambda **s: result_feed.run(spark, f"{tmp_path}/in/*.parquet", f"{tmp_path}/out", f"{tmp_path}/state", s)
+    assert run()["stored"] == 0 and result_feed.read_output(spark, f"{tmp_path}/out").count() == 0
+    with pytest.raises(ValueError, match="lacks column"):
+        run(score="no such column")
+
+
+def test_too_many_chromosomes_are_an_error(spark, tmp_path):
+    shard(spark, f"{tmp_path}/in", "a.parquet", [("t", "v", 0.1, f"c{i}") for i in range(4)])
+    with pytest.raises(Exception, match="more than 3 chromosomes"):
+        result_feed.run(spark, f"{tmp_path}/in/*.parquet", f"{tmp_path}/out", f"{tmp_path}/state", {"max_chromosomes": 3})
+
+
+def test_feed_of_growing_copies_equals_one_run(spark, tmp_path):
+    """Two runs over a growing copy of the table and one over all of it give the same output."""
+    events = spark.read.parquet(f"{SF}/events.parquet")
+    cut = lambda k: events.where(F.pmod("event_id", F.lit(3)) == k).coalesce(1)
+    for k in (0, 1):
+        cut(k).write.parquet(f"{tmp_path}/in/{k}.parquet")
+    run = lambda out: result_feed.run(spark, f"{tmp_path}/in/*.parquet", f"{tmp_path}/{out}", f"{tmp_path}/{out}-state", FEED)
+    first = run("grown")
+    cut(2).write.parquet(f"{tmp_path}/in/2.parquet")
+    second = run("grown")
+    assert first["read"] + second["read"] == events.count() and second["read"] == cut(2).count()
+    run("whole")
+    assert kept(spark, f"{tmp_path}/grown") == kept(spark, f"{tmp_path}/whole")
+
+
+# ---------------------------------------------------------------- release check
+TABLE = "doc_id long, text string, lang string, source string, known string, cell_1 string"
+
+
+def brute_mask(rows, people, least=20):
+    masked, cells = [], {}
+    for i, text, lang, source in rows:
+        found = [x for x in re.findall("[0-9]+", text or "") if x in people]
+        masked.append((str(i) if i is not None else "none", lang or "none", source or "none", re.sub("[0-9]+", lambda m: "[participant]" if m.group() in people else m.group(), text or ""), len(found), len(set(found))))
+        cell = cells.setdefault((lang or "none", source or "none"), [0, 0, set()])
+        cell[0] += 1
+        cell[1] += bool(found)
+        cell[2] |= set(found)
+    hide = lambda n: None if 1 <= n < least else n
+    return sorted(map(repr, masked)), sorted(repr((*k, n, hide(m), hide(len(s)), hide(m) is None or hide(len(s)) is None)) for k, (n, m, s) in cells.items())
+
+
+def checked(spark, output):
+    masked = spark.read.schema(release_check.MASKED).parquet(f"{output}/masked").collect()
+    cells = spark.read.schema(release_check.REPORT).parquet(f"{output}/report").collect()
+    texts = sorted(repr((r.id, r.cell_1, r.cell_2, r.text, r.n_ids, r.n_people)) for r in masked)
+    return texts, sorted(repr((r.cell_1, r.cell_2, r.n_texts, r.n_texts_with_ids, r.n_people, r.suppressed)) for r in cells)
+
+
+ROWS = [
+    (1, "7 and 07, 7.\n77x7", "en", "a"), (1, "7 and 07, 7.\n77x7", "en", "a"), (None, "id 12", None, None), (2, None, "en", "a"), (3, "", "de", "a"),
+    (4, "12", "de", "b"), (5, "9" * 5000 + " 12 " + "0" * 5000, "en", "b"), (6, "word 7 " * 20_000, "en", "b"), (7, "no number", "en", "c"), (8, "١٢ 12", "en", "c"),
+    *[(100 + i, f"see {i}.", "fr", "d" if i < 19 else "e") for i in range(19)], *[(200 + i, f"{i}", "fr", "f") for i in range(20)],
+]
+PEOPLE = [*map(str, range(20)), "12"]
+
+
+def test_masks_and_cells_equal_brute_force(spark, tmp_path):
+    spark.createDataFrame([(*r, "7", "x") for r in ROWS], TABLE).repartition(3).write.parquet(f"{tmp_path}/in/documents.parquet")
+    spark.createDataFrame([(int(p),) for p in PEOPLE] + [(None,)], "research_id long").write.parquet(f"{tmp_path}/people.parquet")
+    run = lambda: release_check.run(spark, f"{tmp_path}/in", f"{tmp_path}/people.parquet", f"{tmp_path}/out")
+    done = run()
+    want = brute_mask(ROWS, set(PEOPLE))
+    assert checked(spark, f"{tmp_path}/out") == want and done["documents.texts"] == len(ROWS)
+    assert done["documents.suppressed"] == sum("True" in c for c in want[1]) > 0
+    assert run() == done and checked(spark, f"{tmp_path}/out") == want
+
+
+def test_a_run_over_one_table_leaves_the_others(spark, tmp_path):
+    spark.createDataFrame([(*r, "7", "x") for r in ROWS], TABLE).write.parquet(f"{tmp_path}/in/documents.parquet")
+    spark.createDataFrame([(1, 0, "12 said"), (1, 1, "x")], "conv_id long, turn long, text string").write.parquet(f"{tmp_path}/in/talks.parquet")
+    spark.createDataFrame([(12,)], "research_id int").write.parquet(f"{tmp_path}/people.parquet")
+    one = {"tables": {"talks": {"id": ["conv_id", "turn"], "text": "text", "cell": []}}}
+    both = {"tables": release_check.DEFAULTS["tables"] | one["tables"]}
+    run = lambda s: release_check.run(spark, f"{tmp_path}/in", f"{tmp_path}/people.parquet", f"{tmp_path}/out", s)
+    run(both)
+    before = checked(spark, f"{tmp_path}/out")
+    assert run(one) == {"talks.texts": 2, "talks.masked": 1, "talks.cells": 1, "talks.suppressed": 1}
+    assert checked(spark, f"{tmp_path}/out") == before
+    assert "('1:0', 'all', 'all', '[participant] said', 1, 1)" in before[0]
+
+
+def test_check_of_nothing(spark, tmp_path):
+    spark.createDataFrame([], TABLE).write.parquet(f"{tmp_path}/in/documents.parquet")
+    spark.createDataFrame([(12,)], "research_id int").write.parquet(f"{tmp_path}/people.parquet")
+    run = lambda people: release_check.run(spark, f"{tmp_path}/in", people, f"{tmp_path}/out")
+    assert set(run(f"{tmp_path}/people.parquet").values()) == {0} and release_check.read_output(spark, f"{tmp_path}/out").count() == 0
+    spark.createDataFrame([], "research_id int").write.parquet(f"{tmp_path}/nobody.parquet")
+    with pytest.raises(ValueError, match="participants"):
+        run(f"{tmp_path}/nobody.parquet")
+
+
+# ---------------------------------------------------------------- command line
+def test_command_lines(tmp_path):
+    def job(name, settings, *arguments):
+        config = tmp_path / f"{name}.json"
+        config.write_text(json.dumps(settings))
+        own = os.environ | {"PYTHONPATH": REPO, "PYSPARK_SUBMIT_ARGS": "--master local[2] --conf spark.ui.enabled=false --conf spark.sql.shuffle.partitions=2 pyspark-shell"}
+        done = subprocess.run([sys.executable, f"{REPO}/jobs/{name}.py", "--config", str(config), *arguments], cwd=tmp_path, env=own, capture_output=True, text=True, timeout=300)
+        assert done.returncode == 0, done.stderr[-3000:]
+        return done.stderr
+
+    said = job("result_feed", FEED, "--input", f"{SF}/events.parquet", "--output", f"{tmp_path}/feed", "--checkpoint", f"{tmp_path}/state")
+    assert "10000 rows read, 10000 stored" in said and os.path.isdir(tmp_path / "feed/traits")
+    said = job("release_check", {"participants": {"id": "c_custkey"}}, "--tables", SF, "--participants", f"{SF}/customer.parquet", "--output", f"{tmp_path}/release")
+    assert "documents: 1000 texts read" in said and os.path.isdir(tmp_path / "release/masked/table=documents")
+
+
+def test_shipped_settings_are_known(spark):
+    from jobs.common import read_settings
+
+    for job, module in (("result_feed", result_feed), ("release_check", release_check)):
+        assert read_settings(spark, f"{REPO}/jobs/{job}.json", module.DEFAULTS)
+    with pytest.raises(ValueError, match="unknown settings: typo"):
+        path = spark.conf.get("spark.checkpoint.dir") + "/typo.json"
+        spark.createDataFrame([('{"typo": 1}',)], "value string").coalesce(1).write.mode("overwrite").text(path)
+        read_settings(spark, path, {})
+
+
+def test_jobs_import_no_corpus_code():
+    for name in os.listdir(f"{REPO}/jobs"):
+        if name.endswith(".py"):
+            text = open(f"{REPO}/jobs/{name}").read()
+            assert "llm" not in text and "corpus_pipeline" not in text
