@@ -78,8 +78,8 @@ def base_spans(text: str) -> list[tuple[int, int, int, str]]:
     """(start, kind as its place in KINDS, end, entity) of every base span, in order."""
     out = [(a, 0, b, f"email:{text[a:b].lower()}") for a, b in _emails(text)] if "@" in text else []
     for m in _IP.finditer(text):
-        parts = m[0].split(".")
-        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in parts):
+        parts = [p.lstrip("0") for p in m[0].split(".")]  # any number of zeros, which int() takes only so many of
+        if all(len(p) <= 3 and int(p or 0) <= 255 for p in parts):
             out.append((m.start(), 1, m.end(), f"ip:{m[0]}"))
     for m in _CARD.finditer(text):
         if m.end() - m.start() >= 12:
