@@ -82,15 +82,15 @@ def nodes(page: str) -> Iterator[tuple[str, str, bool, str, bool]]:
     """
     stack: list[tuple[str, str, bool]] = [("", "", False)]  # element, path, noise
     opened: Counter[str] = Counter()
-    at, block = 0, True
+    at, block, aside = 0, True, False  # aside: in a paragraph whose names tell that it is not the article
     while True:
         m = _TOKEN.search(page, at)
         text = page[at : m.start()] if m else page[at:]
         if text and not text.isspace():
-            yield "t", stack[-1][1], stack[-1][2], text, block
+            yield "t", stack[-1][1], stack[-1][2] or aside, text, block
             block = False
         elif text and not block:
-            yield "t", stack[-1][1], stack[-1][2], " ", False
+            yield "t", stack[-1][1], stack[-1][2] or aside, " ", False
         if not m:
             for _, path, noise in stack[:0:-1]:
                 yield "</", path, noise, "", True
@@ -102,14 +102,18 @@ def nodes(page: str) -> Iterator[tuple[str, str, bool, str, bool]]:
         name = name.lower()
         if name in INLINE:
             if name == "br" and not block:
-                yield "t", stack[-1][1], stack[-1][2], " ", False
+                yield "t", stack[-1][1], stack[-1][2] or aside, " ", False
             continue
         block = True
         if name in _RAW and not end:
             close = _RAW[name].search(page, at)
             at = close.end() if close else len(page)
             continue
-        if name in LEAF or name in VOID:
+        if name in VOID:
+            aside = aside and name != "hr"
+            continue
+        aside = name in LEAF and not end and _label(name, attributes)[1]
+        if name in LEAF:
             continue
         if end:
             # The innermost open element of that name ends, and all within it, which has no end of its own; a stray end tag does nothing.
