@@ -288,10 +288,12 @@ def score_quality(
     """
     pairs = docs.select(id_col, text_col)
     sample = training_rows(pairs, labels, label_col, keep, max_documents, id_col).select(F.col(id_col).alias("id"), text_of(text_col).alias("text"), "label")
-    # Whole rows in the order of a hash, until their bytes are as many as the sample may have.
-    sample = sample.withColumns({"bytes": F.octet_length("text").cast("long"), "draw": F.xxhash64("id", F.xxhash64("text"))}).where(F.col("bytes") <= max_bytes // 20)
-    upto = F.sum("bytes").over(W.Window.orderBy("draw", "id").rowsBetween(W.Window.unboundedPreceding, 0))  # about max_documents rows
-    sample = materialise(sample).withColumn("upto", upto).where(F.col("upto") <= max_bytes)
+    # Whole rows of any size in the order of a hash, until their bytes are max_bytes, and the first row of each label.
+    sample = materialise(sample.withColumns({"bytes": F.octet_length("text").cast("long"), "draw": F.xxhash64("id", F.xxhash64("text"))}).dropDuplicates(["draw", "id"]))
+    order = W.Window.orderBy("draw", "id")  # about max_documents rows, without their texts
+    drawn = sample.select("draw", "id", F.sum("bytes").over(order.rowsBetween(W.Window.unboundedPreceding, -1)).alias("before"), F.row_number().over(W.Window.partitionBy("label").orderBy("draw", "id")).alias("of_label"))
+    drawn = drawn.where((F.coalesce("before", F.lit(0)) < max_bytes) | (F.col("of_label") == 1))
+    sample = sample.join(F.broadcast(drawn.select("draw", "id")), ["draw", "id"])
     field = fit([(r["text"].encode("utf-8", "replace"), r["label"]) for r in sample.select("text", "label").toLocalIterator()])
     found = materialise(line_marginals(pairs, field, id_col, text_col))
     known = training_rows(found.withColumnRenamed("id", id_col), labels, label_col, keep, max_labels, id_col)
