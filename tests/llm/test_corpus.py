@@ -397,6 +397,14 @@ def test_the_template_decides_what_is_left(spark):
     assert on == {i: f"story {i} {filler} {i}" for i in range(8)} and all(off[i] == f"All stories are free to read this week.\n{on[i]}" for i in on)
 
 
+def test_adverts_and_notices_in_paragraphs_go(spark):
+    """Paragraphs and headings whose class, id or role tells what they are; what follows them stays."""
+    body = "<article><h1>T {i}</h1><p class='advert'>Buy <b>now</b><br>cheap<p>one {i}</p><h3 id=related-posts>More</h3><p>two {i}</p><p role=alert>Mind<hr>three {i}<h2 class='share'>Tell<div>four {i}</div></article>"
+    rows = [(i, f"http://p.example/{i}", f"<html><body>{body.replace('{i}', str(i))}</body></html>") for i in range(3)]
+    got = {r.page_id: r.text for r in html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: f"T {i}\none {i}\ntwo {i}\nthree {i}\nfour {i}" for i in range(3)}
+
+
 def test_pages_clashing_columns_ties_and_long_pages(spark):
     long = "<article><p>" + "word " * 200_000 + "</p></article>"
     rows = [(1, "http://a.example/", "<article><p>same</p></article>")] * 3 + [(2, "http://a.example/", long), (None, None, None), (2, None, "<p>x</p>")]

@@ -5,7 +5,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from locusmill.llm import exact_dedup, simhash
+from locusmill.llm import exact_dedup, near_copies, simhash
 
 SF = "/root/testdata/sf0.01"
 
@@ -219,7 +219,6 @@ def near_sets(frame):
 
 @pytest.mark.parametrize("split", [20_000, 3])
 def test_near_copies_at_a_similarity(make, split):
-    from locusmill.llm import near_copies
 
     texts = edited_corpus(1)
     sets = [shingle_set(t) for t in texts]
@@ -236,7 +235,6 @@ def test_near_copies_at_a_similarity(make, split):
 
 def test_near_copies_of_the_table(spark):
     """Recall at a similarity of 0.8 over five words and clean texts left alone, against exact similarities of all pairs."""
-    from locusmill.llm import near_copies
 
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     texts = {r.doc_id: r.text for r in docs.collect()}
@@ -266,7 +264,6 @@ def test_near_copies_of_the_table(spark):
 
 
 def test_near_copies_edges(make):
-    from locusmill.llm import near_copies
 
     docs = make((4, "a b c d"), (2, "A B  C D"), (None, "a b c d"), (2, "quite other words"), (None, None), (7, ""), (8, " \n")).withColumn("fp", F.lit("x")).withColumn("node", F.lit(1)).withColumn("id", F.lit(2)).withColumn("h1", F.lit(0)).withColumn("__row", F.lit(0))
     kept = near_copies.drop_similar(docs)
@@ -277,7 +274,6 @@ def test_near_copies_edges(make):
 
 
 def test_a_large_family_is_dealt_to_chunks(make):
-    from locusmill.llm import near_copies
 
     rng = random.Random(5)
     base = [f"w{rng.randrange(3000)}" for _ in range(400)]
@@ -288,3 +284,36 @@ def test_a_large_family_is_dealt_to_chunks(make):
     apart = [" ".join(base[:40] + [f"x{rng.randrange(10**6)}" for _ in range(60)]) for _ in range(150)]
     of = near_sets(near_copies.near_copies(make(*apart), split=10, bits=40))
     assert all(of[i] == i for i in of)
+
+
+def test_no_group_is_larger_than_split(make):
+    """Texts that share most words: groups of minima, and of pairs and more of them, are parted until none has more than split."""
+    rng = random.Random(4)
+    shared = " ".join(f"common{i}" for i in range(200))
+    rows = [(i, f"{shared} " + " ".join(f"w{rng.randrange(10**6)}" for _ in range(20))) for i in range(600)]
+    signed = near_copies.materialise(near_copies.signatures(make(*rows), "doc_id", "text", 5))
+    nodes = signed.select("node", "fp", "minima").where("minima is not null")
+    members, whole = near_copies.groups_of(nodes, 50)
+    largest = members.groupBy("g").count().agg(F.max("count")).first()[0] or 0
+    assert largest <= 50
+    # Whatever is larger is a family, and families above the split are dealt to chunks.
+    assert whole.isEmpty() or whole.groupBy("g").count().agg(F.min("count")).first()[0] > 50
+
+
+def test_texts_that_share_one_hot_minimum_meet(make):
+    """Every pair at the similarity meets in some group or family, though the first four minima are hot for nearly all."""
+    rng = random.Random(9)
+    shared = [f"common{i}" for i in range(120)]
+    rows = []
+    for i in range(150):
+        own = [f"w{i}x{k}" for k in range(60)]
+        rows += [(2 * i, " ".join(shared + own)), (2 * i + 1, " ".join(shared + own[:-2] + [f"z{i}", f"y{i}"]))]
+    rng.shuffle(rows)
+    signed = near_copies.materialise(near_copies.signatures(make(*rows), "doc_id", "text", 5))
+    members, whole = near_copies.groups_of(signed.select("node", "fp", "minima"), 40)
+    groups = members.select("node", "g").unionByName(whole)
+    by_id = {r.id: r.node for r in signed.collect()}
+    own = {}
+    for r in groups.collect():
+        own.setdefault(r.node, set()).add(r.g)
+    assert all(own[by_id[2 * i]] & own[by_id[2 * i + 1]] for i in range(150))

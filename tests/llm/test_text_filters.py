@@ -107,6 +107,12 @@ def test_long_runs_take_linear_time():
         pii.base_spans(t)
 
 
+def test_parts_of_any_number_of_zeros():
+    """An address whose part has more zeros than Python turns into a number, and one with a digit after them."""
+    for t, n in (("0" * 5000 + ".1.1.1", 1), ("1.1.1." + "0" * 6000 + "255", 1), ("1.1.1." + "0" * 6000 + "256", 0)):
+        assert len([s for s in pii.base_spans(t) if s[1] == 1]) == n
+
+
 def test_pii_query_equals_brute_force(spark):
     from locusmill.llm.queries import op3_pii
 
@@ -365,6 +371,16 @@ def test_quality_sample_leaves_out_whole_rows_only(make, spark):
     assert got[1] > got[100] and got[1] > got[2]
 
 
+def test_quality_sample_has_both_labels_and_long_texts(make, spark):
+    """A text above the byte bound is drawn as any other, and each label has a row even where the bound is one byte."""
+    long = "### $$$ %%%\n" * 3000
+    rows = [(i, "Plain words of a good line.\nAnd one more.") for i in range(20)] + [(100 + i, long) for i in range(4)]
+    labels = spark.createDataFrame([(i, 1) for i in range(20)] + [(100 + i, 0) for i in range(4)], "doc_id long, quality int")
+    for bound in (1, 2000):
+        got = {r.doc_id: r.score for r in line_crf.score_quality(make(*rows), labels, F.lit(True), max_bytes=bound).collect()}
+        assert len(got) == 24 and got[1] > got[100]
+
+
 def test_toxic_words_in_clean_text_do_not_end_the_query(make, spark):
     rows = [(i, "idiot moron" if i % 2 else "fine words") for i in range(400)] + [(1000 + i, "idiot") for i in range(20)]
     labels = spark.createDataFrame([(i, i % 2) for i in range(400)] + [(1000 + i, 0) for i in range(20)], "doc_id long, toxic int")
