@@ -11,6 +11,7 @@ from ..operators import crossval, select
 from ..operators.reshape import to_long
 from ..schemas import FULL, IN_CS, LBF
 from ..sources import genomic, shards, sinks, tables
+from ..sources.bigwig import regions_of
 from . import pipeline
 
 
@@ -49,10 +50,11 @@ def _prepare(a) -> pipeline.Prepare:
     return pipeline.Prepare(a.phenotype_id, a.match, a.fdr, a.window, a.select_top_phenotype_per_cluster, a.top_phenotype_pvalue_column)
 
 
-def _annotation(spark: SparkSession, a) -> dict:
+def _annotation(spark: SparkSession, a, variants) -> dict:
+    """The side inputs of annotation; of the scores, only what lies near the variants is read."""
     found = {
         "genes": genomic.gtf(spark, a.genes), "elements": tables.regulatory_elements(spark, a.elements), "promoters": tables.intervals(spark, a.promoters), "constraint": tables.constraint(spark, a.constraint),
-        "conservation": genomic.bigwig(spark, a.conservation), "vat": tables.frequencies(spark, a.frequencies).drop("variant"), "fold_changes": tables.fold_changes(spark, a.fold_changes) if a.fold_changes else None,
+        "conservation": genomic.bigwig(spark, a.conservation, regions_of(variants)), "vat": tables.frequencies(spark, a.frequencies).drop("variant"), "fold_changes": tables.fold_changes(spark, a.fold_changes) if a.fold_changes else None,
     }
     for name, df in found.items():  # side inputs fail early
         if df is not None and name in ("genes", "elements", "constraint", "vat"):
@@ -136,7 +138,8 @@ def run(spark: SparkSession, argv: list[str]) -> None:
     elif a.command == "merge":
         pipeline.merge_shards(spark, shards.manifest(spark, a.file_paths), out)
     elif a.command == "annotate":
-        sinks.write_text(pipeline.annotate(spark.read.schema(IN_CS).parquet(a.input), **_annotation(spark, a)), f"{out}.annotated.tsv")
+        variants = spark.read.schema(IN_CS).parquet(a.input)
+        sinks.write_text(pipeline.annotate(variants, **_annotation(spark, a, variants)), f"{out}.annotated.tsv")
     elif a.command == "skew":
         df = tables.read_delimited(spark, a.input, sep=tables.sniff_separator(spark, a.input))
         result = pipeline.ancestry_skew(df, pipeline.Skew(a.pip, a.admixed, a.keep_columns))
@@ -146,7 +149,7 @@ def run(spark: SparkSession, argv: list[str]) -> None:
             sinks.write_text(result, f"{out}.skew.tsv.gz", gz=True)
     else:
         paths = shards.manifest(spark, a.file_paths)
-        found = pipeline.aggregate_annotate_skew(spark, paths, _annotation(spark, a), pipeline.Skew(a.pip, a.admixed, a.keep_columns))
+        found = pipeline.aggregate_annotate_skew(spark, paths, _annotation(spark, a, shards.read_shards(spark, paths, IN_CS)), pipeline.Skew(a.pip, a.admixed, a.keep_columns))
         sinks.write_text(found["annotated"], f"{out}.annotated.tsv")
         sinks.write_text(found["skew"], f"{out}.skew.tsv.gz", gz=True)
 

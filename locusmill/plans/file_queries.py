@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import annotate, crossval
 from ..schemas import SKEW
-from ..sources import genomic, shards, sinks, tables
+from ..sources import bigwig, blockgzip, genomic, shards, sinks, tables
 from . import queries as Q
 from .queries import big, query, r6, scratch_folder, table
 
@@ -119,6 +119,35 @@ def dosage_region(spark, d):
     return found.select("variant_id", F.get("dosage", F.lit(0)).alias("first"), big(F.size("dosage")).alias("n"))
 
 
+REGIONS = [("chr0", 60, 400), ("chr1", 100, 900), ("chr1", 850, 1500), ("chr7", 1, 10)]
+
+
+@query("""SELECT 'chr' || (p_partkey % 3) || '_' || p_partkey || '_A_G' AS variant_id, p_partkey AS position, CASE WHEN p_partkey % 4 <> 3 THEN (p_partkey % 4)::DOUBLE END AS first, 2::BIGINT AS n
+    FROM part WHERE (p_partkey % 3 = 0 AND p_partkey BETWEEN 60 AND 400) OR (p_partkey % 3 = 1 AND p_partkey BETWEEN 100 AND 1500)""")
+def dosage_index_regions(spark, d):
+    """Dosage text in block-gzip files with indexes, of which the blocks of some regions are read."""
+    k = F.col("p_partkey")
+    dosage = F.array(F.when(k % 4 != 3, (k % 4).cast("double")), F.lit(2.0))
+    rows = table(spark, d, "part").select(F.concat(F.lit("chr"), k % 3).alias("chromosome"), k.alias("position"), F.lit("A").alias("ref"), F.lit("G").alias("alt"), dosage.alias("dosage"))
+    path = scratch_folder(spark)
+    blockgzip.write_dosages(rows, path, ["s1", "s2"]).write.format("noop").mode("overwrite").save()
+    found = blockgzip.read_dosages(spark, path, REGIONS)
+    return found.select("variant_id", big(F.col("position")).alias("position"), F.get("dosage", F.lit(0)).alias("first"), big(F.size("dosage")).alias("n"))
+
+
+@query("""WITH t AS (SELECT 'chr' || (o_custkey % 3) AS chromosome, o_orderkey * 40 + 1 AS a, o_orderkey * 40 + 25 AS b, (o_orderkey % 256) / 4.0 AS score FROM orders)
+    SELECT chromosome, a AS "start", b AS "end", score::DOUBLE AS score FROM t WHERE (chromosome = 'chr0' AND a <= 90000 AND b >= 20000) OR (chromosome = 'chr2' AND a <= 5000)""")
+def score_track_regions(spark, d):
+    """Scores to files of blocks with a tree over them, of which the blocks of two regions are read."""
+    k = F.col("o_orderkey")
+    rows = table(spark, d, "orders").select(F.concat(F.lit("chr"), F.col("o_custkey") % 3).alias("chromosome"), (k * 40 + 1).alias("start"), (k * 40 + 25).alias("end"), (k % 256 / 4).alias("score"))
+    path = scratch_folder(spark)
+    bigwig.write_bigwig(rows, path, 100).write.format("noop").mode("overwrite").save()
+    found = bigwig.read_bigwig(spark, path, [("chr0", 20000, 90000), ("chr2", 1, 5000)])
+    inside = ((F.col("chromosome") == "chr0") & (F.col("start") <= 90000) & (F.col("end") >= 20000)) | ((F.col("chromosome") == "chr2") & (F.col("start") <= 5000))
+    return found.where(inside).select("chromosome", big(F.col("start")).alias("start"), big(F.col("end")).alias("end"), "score")
+
+
 @query("SELECT 'ENSG' || p_partkey || '.2' AS gene_id, p_brand AS gene_name, p_size AS \"start\", p_size + 100 AS \"end\" FROM part WHERE p_partkey % 2 = 0")
 def gtf_genes(spark, d):
     k = F.col("p_partkey")

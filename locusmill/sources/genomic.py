@@ -2,16 +2,11 @@
 
 from __future__ import annotations
 
-import bisect
-import itertools
-import struct
-import zlib
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .bigwig import read_bigwig
+
 GTF = "seqid string, source string, type string, start int, end int, score string, strand string, phase string, attributes string"
 
 
@@ -24,103 +19,9 @@ def gtf(spark: SparkSession, path: str, feature: str | None = "gene") -> DataFra
 
 
 def bigwig(spark: SparkSession, path: str, regions: list[tuple[str, int, int]] | None = None) -> DataFrame:
-    """(chromosome, start, end, score, ordinal), 1-based closed intervals of a BigWig file.
+    """(chromosome, start, end, score, ordinal), 1-based closed intervals of a BigWig file (see `bigwig.read_bigwig`).
 
     With `regions` (chromosome, start, end) only blocks that the file's index places in one of
-    them are unpacked; all their intervals come out, so a join on positions gives the same result.
-
-    The file's index lists its compressed blocks; blocks are dealt to tasks, each of which unpacks
-    its own, so the file is parsed in parallel. The file itself is read by Spark's binary source.
+    them are read; all their intervals come out, so a join on positions gives the same result.
     """
-    raw = spark.read.format("binaryFile").load(path).select("content")
-
-    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for content in batch.column(0):
-                data = content.as_py()
-                for name, block, little, k in _blocks(data, regions):
-                    yield pa.RecordBatch.from_pydict({"name": pa.array([name], pa.string()), "block": pa.array([block], pa.binary()), "little": pa.array([little], pa.bool_()), "k": pa.array([k], pa.int64())})
-
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for name, block, little, k in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                found = list(_intervals(zlib.decompress(block.as_py()) if k >= 0 else block.as_py(), "<" if little else ">"))
-                yield pa.RecordBatch.from_pydict({
-                    "chromosome": pa.array([name] * len(found), pa.string()),
-                    "start": pa.array([s + 1 for _, s, _, _ in found], pa.int32()),
-                    "end": pa.array([e for _, _, e, _ in found], pa.int32()),
-                    "score": pa.array([v for *_, v in found], pa.float64()),
-                    "ordinal": pa.array([((k if k >= 0 else -1 - k) << 32) + i for i in range(len(found))], pa.int64()),
-                })
-
-    dealt = raw.mapInArrow(blocks, "name string, block binary, little boolean, k long").repartition("k")
-    return dealt.mapInArrow(rows, "chromosome string, start int, end int, score double, ordinal long")
-
-
-def _blocks(data: bytes, regions: list[tuple[str, int, int]] | None) -> Iterator[tuple[str, bytes, bool, int]]:
-    """(chromosome, block as it is stored, whether little-endian, its number; -1 - number if the block is not compressed)."""
-    magic = struct.unpack_from("<I", data)[0]
-    order = "<" if magic == 0x888FFC26 else ">"
-    if struct.unpack_from(order + "I", data)[0] != 0x888FFC26:
-        raise ValueError("not a BigWig file")
-    _, _, chroms, _, index = struct.unpack_from(order + "HHQQQ", data, 4)
-    names = dict(_chromosomes(data, chroms, order))
-    packed = struct.unpack_from(order + "I", data, 52)[0] > 0
-    wanted: dict[str, list[tuple[int, int]]] = {}
-    for name, start, end in regions or ():
-        wanted.setdefault(name, []).append((start, end))
-    for own in wanted.values():
-        own.sort()
-    # The furthest end of the regions up to each, so that one search tells whether any of them meets a block.
-    reach = {name: list(itertools.accumulate((e for _, e in own), max)) for name, own in wanted.items()}
-    for k, (first, start, last, end, offset, size) in enumerate(_leaves(data, index + 48, order)):
-        if regions is not None and first == last:
-            own = wanted.get(names[first], [])
-            at = bisect.bisect_right(own, (end, float("inf"))) - 1
-            if at < 0 or reach[names[first]][at] <= start:
-                continue
-        yield names[first], data[offset : offset + size], order == "<", k if packed else -1 - k
-
-
-def _chromosomes(data: bytes, at: int, order: str) -> Iterator[tuple[int, str]]:
-    _, _, key_size, _, _, _ = struct.unpack_from(order + "IIIIQQ", data, at)
-    todo = [at + 32]
-    while todo:
-        node = todo.pop()
-        leaf, _, n = struct.unpack_from(order + "BBH", data, node)
-        for i in range(n):
-            own = node + 4 + i * (key_size + 8)
-            if leaf:
-                name = data[own : own + key_size].rstrip(b"\0").decode()
-                yield struct.unpack_from(order + "I", data, own + key_size)[0], name
-            else:
-                todo.append(struct.unpack_from(order + "Q", data, own + key_size)[0])
-
-
-def _leaves(data: bytes, at: int, order: str) -> Iterator[tuple[int, int, int, int, int, int]]:
-    """(first chromosome, start, last chromosome, end, offset, size) of each block."""
-    todo = [at]
-    while todo:
-        node = todo.pop()
-        leaf, _, n = struct.unpack_from(order + "BBH", data, node)
-        if leaf:
-            for i in range(n):
-                yield struct.unpack_from(order + "IIIIQQ", data, node + 4 + i * 32)
-        else:
-            todo += [struct.unpack_from(order + "Q", data, node + 4 + i * 24 + 16)[0] for i in reversed(range(n))]
-
-
-def _intervals(block: bytes, order: str = "<") -> Iterator[tuple[int, int, int, float]]:
-    """(chromosome number, start from 0, end, value) of a data block: bed graph, variable or fixed steps."""
-    chrom, start, _, step, span, kind, _, n = struct.unpack_from(order + "IIIIIBBH", block)
-    for i in range(n):
-        if kind == 1:
-            a, b, v = struct.unpack_from(order + "IIf", block, 24 + 12 * i)
-        elif kind == 2:
-            a, v = struct.unpack_from(order + "If", block, 24 + 8 * i)
-            b = a + span
-        else:
-            v = struct.unpack_from(order + "f", block, 24 + 4 * i)[0]
-            a = start + i * step
-            b = a + span
-        yield chrom, a, b, v
+    return read_bigwig(spark, path, regions)

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import json
+import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,12 +32,35 @@ def concatenate(spark: SparkSession, paths: list[str], sep: str = "\t") -> DataF
 
     The order is that of the result's range partitions, so a writer keeps it file by file.
     """
-    order = spark.createDataFrame([(p.rsplit("/", 1)[-1], i) for i, p in enumerate(paths)], "__file string, __shard int")
+    order = spark.createDataFrame([(p, i) for i, p in enumerate(_whole_paths(spark, paths))], "__path string, __shard int")
     df = spark.read.options(sep=sep, header=True, nullValue="NA").csv(paths)
     names = df.columns
-    rows = df.select("*", F.element_at(F.split("_metadata.file_path", "/"), -1).alias("__name"), F.col("_metadata.file_block_start").alias("__start"), F.monotonically_increasing_id().alias("__row"))
-    rows = rows.join(F.broadcast(order), F.col("__name") == F.col("__file"))  # a row per path
-    return rows.orderBy("__shard", "__start", "__row").select(*names)
+    file = _one_slash(F.col("_metadata.file_path"))
+    rows = df.select("*", file.alias("__file"), F.col("_metadata.file_block_start").alias("__start"), F.monotonically_increasing_id().alias("__row"))
+    # A row per path. A path is a file or a folder of files.
+    files, folders = order.toDF("__f", "__in_file"), order.toDF("__d", "__in_folder")
+    rows = rows.join(F.broadcast(files), F.col("__file") == F.col("__f"), "left").join(F.broadcast(folders), _folder(F.col("__file")) == F.col("__d"), "left")
+    return rows.orderBy(F.coalesce("__in_file", "__in_folder"), "__file", "__start", "__row").select(*names)
+
+
+def _whole_paths(spark: SparkSession, paths: list[str]) -> list[str]:
+    """Each path with its scheme and folder, as Spark names files; a path twice is an error."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    out = []
+    for p in paths:
+        at = jvm.org.apache.hadoop.fs.Path(p)
+        out.append(re.sub("^file:/+", "file:/", at.getFileSystem(conf).makeQualified(at).toUri().toString()))
+    if len(set(out)) < len(out):
+        raise ValueError("a shard is listed twice")
+    return out
+
+
+def _one_slash(path: Column) -> Column:
+    return F.regexp_replace(path, "^file:/+", "file:/")
+
+
+def _folder(path: Column) -> Column:
+    return F.regexp_replace(path, "/[^/]*$", "")
 
 
 def manifest_list(spark: SparkSession, path: str) -> list[str]:
@@ -46,6 +70,7 @@ def manifest_list(spark: SparkSession, path: str) -> list[str]:
 
 def skipped_shards(spark: SparkSession, paths: list[str], schema: T.StructType) -> list[str]:
     """Paths that gave no row."""
-    seen = read_shards(spark, paths, schema, False).select(F.input_file_name().alias("f")).distinct()
-    names = {r["f"].rsplit("/", 1)[-1] for r in seen.toLocalIterator()}
-    return [p for p in paths if p.rsplit("/", 1)[-1] not in names]
+    seen = read_shards(spark, paths, schema, False).select(_one_slash(F.col("_metadata.file_path")).alias("f")).distinct()
+    given = spark.createDataFrame(list(zip(_whole_paths(spark, paths), range(len(paths)))), "p string, i int")
+    seen = seen.select(F.explode(F.array("f", _folder(F.col("f")))).alias("p"))
+    return [paths[r["i"]] for r in given.join(seen, "p", "left_anti").orderBy("i").toLocalIterator()]

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.keys import normalize_chr, prefixed_chr, variant_id
 from ..operators.reshape import to_long, transpose
 from ..operators.select import require_columns
+from . import blockgzip
 
 #: Text that means a missing value.
 MISSING = ("NA", "", "NaN", "nan")
@@ -53,6 +54,20 @@ def is_gzip(spark: SparkSession, path: str) -> bool:
     return False
 
 
+def is_block_gzip(spark: SparkSession, path: str) -> bool:
+    """Whether `path` is one file that starts as block-gzip does."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(at) or not fs.getFileStatus(at).isFile():
+        return False
+    stream = fs.open(at)
+    try:
+        head = bytes(max(0, stream.read()) for _ in range(18))
+    finally:
+        stream.close()
+    return blockgzip.member_size(head) is not None
+
+
 def _from_lines(spark: SparkSession, path: str, reader) -> DataFrame:
     """gzip under another suffix: files are unpacked by tasks as a stream, in batches of lines, and parsed by the JVM's reader."""
 
@@ -120,7 +135,12 @@ def additional_genotypes(spark: SparkSession, path: str, phenotypes: DataFrame |
 
 
 def dosages(spark: SparkSession, path: str) -> DataFrame:
-    """CHROM, POS, REF, ALT, then samples; one row per variant with the array `dosage` in file order."""
+    """CHROM, POS, REF, ALT, then samples; one row per variant with the array `dosage` in file order.
+
+    A block-gzip file is read by ranges of its blocks (see `blockgzip`), any other as text.
+    """
+    if is_block_gzip(spark, path):
+        return blockgzip.read_dosages(spark, path)
     df = read_delimited(spark, path)
     chrom, pos, ref, alt, *samples = df.columns
     c = lambda n: F.col(f"`{n}`")
