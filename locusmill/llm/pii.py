@@ -268,11 +268,18 @@ def revealing_pairs(rows: DataFrame, docs: DataFrame, text_col: str, support: in
     candidates = materialise(pairs.select("term").distinct())
     if candidates.isEmpty():
         return pairs.withColumn("disclosure", F.lit(0.0)).limit(0)
-    n_t = document_frequency(docs, candidates, text_col)
-    out = pairs.join(n_c, "entity").join(n_t, "term")
-    pmi = F.log2(F.col("n_ct") * total / (F.col("n_c") * F.col("n_t")))
-    out = out.withColumn("disclosure", pmi / F.log2(F.lit(total) / F.col("n_c")))
-    return materialise(out.where(F.col("disclosure") >= least).select("entity", "term", "n_ct", "disclosure"))
+
+    def disclosing(counts: DataFrame) -> DataFrame:
+        out = pairs.join(n_c, "entity").join(counts, "term")
+        pmi = F.log2(F.col("n_ct") * total / (F.col("n_c") * F.col("n_t")))
+        out = out.withColumn("disclosure", pmi / F.log2(F.lit(total) / F.col("n_c")))
+        return materialise(out.where(F.col("disclosure") >= least).select("entity", "term", "n_ct", "disclosure"))
+
+    # A term is in no fewer documents than in those that hold an entity. Counts of these alone rule out most pairs, those of
+    # frequent words, before the whole corpus is counted.
+    pairs = disclosing(document_frequency(rows.where(F.size("entities") > 0), candidates, "text")).drop("disclosure")
+    candidates = materialise(pairs.select("term").distinct())
+    return disclosing(document_frequency(docs, candidates, text_col))
 
 
 def find_pii(
