@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import window as W
+
+from .sweep import row_numbers
 
 
 def batch_of(row: Column, size: int) -> Column:
@@ -20,13 +21,7 @@ def chunk_of(index: Column, n_chunks: int, n: int) -> Column:
 
 
 def numbered(df: DataFrame, order: list[str], name: str = "row") -> DataFrame:
-    """Adds the row number in a total order: counts per range partition, then a number inside each."""
+    """Adds the row number in a total order, by a sweep over ranges."""
     if not order:
         raise ValueError("a total order is needed")
-    ranged = df.repartitionByRange(*order).withColumn("__part", F.spark_partition_id())
-    sizes = ranged.groupBy("__part").count()
-    base = W.Window.orderBy("__part").rowsBetween(W.Window.unboundedPreceding, -1)
-    sizes = sizes.select(F.col("__part").alias("__p"), F.coalesce(F.sum("count").over(base), F.lit(0)).alias("__base"))  # a row per partition
-    inside = W.Window.partitionBy("__part").orderBy(*order)
-    out = ranged.withColumn("__in", F.row_number().over(inside)).join(F.broadcast(sizes), F.col("__part") == F.col("__p"))
-    return out.withColumn(name, F.col("__base") + F.col("__in")).drop("__part", "__p", "__in", "__base")
+    return row_numbers(df, order, name)

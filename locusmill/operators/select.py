@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
 from ..functions.keys import cluster_id
+from .sweep import average_ranks
 
 #: Columns that may rank phenotypes, in order of preference.
 P_COLUMNS = ("pval_beta", "pval_perm", "pval_nominal", "pval_true_df", "qval", "p_fdr")
@@ -110,15 +111,10 @@ def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def average_rank(df: DataFrame, value: str, by: Sequence[str] = (), name: str = "rank") -> DataFrame:
     """Adds the rank with ties averaged; missing values stay unranked.
 
-    Without `by` the rank is over the whole table: distinct values are counted first, so that only
-    the table of distinct values is ordered in one place.
+    Distinct values are counted first and summed up by a sweep over ranges of them, so neither the
+    whole table (without `by`) nor a large group comes to one task.
     """
-    v = F.col(value)
-    keys = [*by, value]
-    counts = df.where(v.isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    before = W.Window.partitionBy(*by).orderBy(value).rowsBetween(W.Window.unboundedPreceding, -1)
-    ranks = counts.withColumn(name, F.coalesce(F.sum("__n").over(before), F.lit(0)) + (F.col("__n") + 1) / 2).drop("__n")
-    return df.join(ranks, keys, "left")
+    return average_ranks(df, value, by, name)
 
 
 def pair_samples(left: DataFrame, right: DataFrame, on: str) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import keys as K
 from ..functions import numeric as N
-from ..operators import annotate, chunks, crossval, finemap, genotypes, graph, intervals, reshape, select, skew
+from ..operators import annotate, chunks, crossval, finemap, genotypes, graph, intervals, reshape, select, skew, sweep
 from ..sources import shards, sinks
 from ..sources.shared import scratch_folder
 
@@ -176,6 +176,16 @@ def merge_windows(spark, d):
     return intervals.merge_windows(w, "user_id", "win_start", "win_end")
 
 
+@query("""SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber, l_partkey, coalesce(sum(l_quantity::BIGINT) OVER w, 0)::BIGINT AS load, max(l_quantity::BIGINT) OVER w AS highest
+    FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey, l_quantity FROM lineitem) WINDOW w AS (ORDER BY l_orderkey, l_linenumber, l_partkey, l_quantity ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""")
+def running_load(spark, d):
+    """One group over the whole table: a window would bring it all to one task."""
+    rows = table(spark, d, "lineitem").select("l_orderkey", big(F.col("l_linenumber")).alias("l_linenumber"), "l_partkey", big(F.col("l_quantity")).alias("q")).distinct()
+    order = ["l_orderkey", "l_linenumber", "l_partkey", "q"]
+    out = sweep.running(rows, [], order, "q", "sum", "load").drop(sweep.PART)
+    return sweep.running(out, [], order, "q", "max", "highest").drop(sweep.PART, "q")
+
+
 POINTS = "SELECT event_id, 'chr' || (user_id % 5) AS chromosome, (event_id * 37) % 100003 AS position FROM events"
 ELEMENTS = "SELECT 'chr' || (p_partkey % 5) AS chromosome, (p_partkey * 53) % 100003 AS e_start, (p_partkey * 53) % 100003 + p_size * 5 AS e_end, p_partkey, p_size FROM part"
 
