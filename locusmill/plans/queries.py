@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import keys as K
 from ..functions import numeric as N
-from ..operators import annotate, chunks, crossval, finemap, genotypes, graph, intervals, reshape, select, skew, sweep
+from ..operators import annotate, blockfit, chunks, crossval, finemap, genotypes, graph, intervals, reshape, select, skew, sweep
 from ..sources import shards, sinks
 from ..sources.shared import scratch_folder
 
@@ -594,8 +594,8 @@ def _matrix(spark, d) -> DataFrame:
     return packed.select(F.concat_ws("_", F.lit("chr1"), pos.cast("string"), F.lit("A"), F.lit("G")).alias("variant_id"), F.lit("chr1").alias("chromosome"), pos.cast("int").alias("position"), F.col("s.g").alias("dosage"))
 
 
-@query()
-def finemap_planted(spark, d):
+def planted_traits(spark, d):
+    """Two traits made of one variant's dosages each, and all dosages."""
     g = _matrix(spark, d)
     cause = lambda p: F.lit(g.where(F.col("position") == p).select("dosage").first()[0])
     noise = F.transform(cause(64000), lambda x, i: ((F.xxhash64(i) % 1000) / 1000.0).cast("double"))
@@ -605,7 +605,12 @@ def finemap_planted(spark, d):
         y = F.zip_with(cause(p), noise, lambda a, b: a * 1.5 + b)
         row = spark.range(1).select(F.lit(name).alias("phenotype_id"), F.lit("chr1").alias("chromosome"), F.lit(p).alias("position"), y.alias("values"))
         rows = row if rows is None else rows.unionByName(row)
-    return finemap.in_credible_sets(finemap.fit_phenotypes(rows, g))
+    return rows, g
+
+
+@query()
+def finemap_planted(spark, d):
+    return finemap.in_credible_sets(finemap.fit_phenotypes(*planted_traits(spark, d)))
 
 
 @query()
@@ -616,10 +621,40 @@ def fold_pcs(spark, d):
     return crossval.fold_components(x, folds)
 
 
-@query()
+@query("""WITH counts AS (SELECT l_partkey::VARCHAR AS phenotype_id, (l_suppkey % 8)::VARCHAR AS sample_id, sum(l_quantity) AS value FROM lineitem GROUP BY 1, 2),
+    sizes AS (SELECT sample_id, sum(value) AS size, quantile_cont(value, 0.75) / sum(value) AS q75 FROM counts GROUP BY 1),
+    ref AS (SELECT sample_id, size FROM sizes ORDER BY abs(q75 - (SELECT avg(q75) FROM sizes)), sample_id LIMIT 1),
+    base AS (SELECT phenotype_id, value AS r, size AS nr FROM counts JOIN ref USING (sample_id)),
+    pairs AS (SELECT sample_id, phenotype_id, round(log2((value / size) / (r / nr)), 12) AS m, round(log2((value / size) * (r / nr)) / 2, 12) AS a, (1 - value / size) / value + (1 - r / nr) / r AS v
+        FROM counts JOIN sizes USING (sample_id) JOIN base USING (phenotype_id) WHERE value > 0 AND r > 0),
+    ranked AS (SELECT *, rank() OVER (PARTITION BY sample_id ORDER BY m) + (count(*) OVER (PARTITION BY sample_id, m) - 1) / 2.0 AS rank_m,
+        rank() OVER (PARTITION BY sample_id ORDER BY a) + (count(*) OVER (PARTITION BY sample_id, a) - 1) / 2.0 AS rank_a, count(*) OVER (PARTITION BY sample_id) AS n, max(abs(m)) OVER (PARTITION BY sample_id) AS widest FROM pairs),
+    kept AS (SELECT sample_id, pow(2, sum(m / v) / sum(1 / v)) AS raw FROM ranked WHERE widest >= 1e-6 AND rank_m BETWEEN floor(n * 0.3) + 1 AND n - floor(n * 0.3) AND rank_a BETWEEN floor(n * 0.05) + 1 AND n - floor(n * 0.05) GROUP BY 1),
+    factors AS (SELECT sample_id, size, coalesce(raw, 1) / exp(avg(ln(coalesce(raw, 1))) OVER ()) AS factor FROM sizes LEFT JOIN kept USING (sample_id))
+    SELECT phenotype_id, sample_id, round(log2(value / (size * factor) * 1e6 + 1), 6) AS value FROM counts JOIN factors USING (sample_id)""")
 def tmm_cpm(spark, d):
     counts = table(spark, d, "lineitem").groupBy(F.col("l_partkey").cast("string").alias("phenotype_id"), (F.col("l_suppkey") % 8).cast("string").alias("sample_id")).agg(F.sum("l_quantity").alias("value"))
-    return crossval.normalised_counts(counts)
+    return crossval.normalised_counts(counts).withColumn("value", r6(F.col("value")))
+
+
+@query("""WITH x AS (SELECT vec_id, unnest(embedding)::DOUBLE AS v, generate_subscripts(embedding, 1) - 1 AS i FROM embeddings), g AS (SELECT vec_id, i, CASE WHEN v < -0.05::DOUBLE THEN 0 WHEN v < 0.05::DOUBLE THEN 1 ELSE 2 END::DOUBLE AS g FROM x),
+    z AS (SELECT vec_id, i, g - avg(g) OVER (PARTITION BY i) AS z FROM g)
+    SELECT a.i::BIGINT AS row, b.i::BIGINT AS col, round(sum(a.z * b.z), 6) + 0.0 AS value FROM z AS a JOIN z AS b ON a.vec_id = b.vec_id AND a.i <= b.i GROUP BY 1, 2""")
+def sample_block_products(spark, d):
+    """Products of centred variants, summed over blocks of samples; what fine-mapping by blocks works on."""
+    g = _matrix(spark, d)
+    trait = g.where("position = 5000").select(F.lit("t").alias("phenotype_id"), "chromosome", "position", F.col("dosage").alias("values"))
+    tiles, _ = blockfit.products(trait, g, None, 1_000_000, 128, 24)
+    found = blockfit.entries(tiles, 24)
+    n = g.count()  # beyond the variants stand the one and the trait
+    return found.where((F.col("row") < n) & (F.col("col") < n)).select("row", "col", (r6(F.col("value")) + 0.0).alias("value"))
+
+
+@query()
+def finemap_blocks(spark, d):
+    """The planted effects of finemap_planted, fitted on products of sample blocks."""
+    traits, g = planted_traits(spark, d)
+    return finemap.in_credible_sets(blockfit.fit_by_blocks(traits, g, block=128, tile=24))
 
 
 def cv_inputs(spark, d):

@@ -1,0 +1,84 @@
+"""Fine-mapping from products of sample blocks against the form that works on samples."""
+
+import numpy as np
+import pandas as pd
+import pytest
+
+from locusmill.functions import kernels as K
+from locusmill.operators import blockfit, finemap
+
+
+def cohort(spark, seed, n=180, p=50, gaps=0.0, missing=0.0):
+    rng = np.random.default_rng(seed)
+    g = rng.integers(0, 3, size=(p, n)).astype(float)
+    g[1:8] = np.where(rng.random((7, n)) < 0.9, g[0], g[1:8])  # linked variants
+    y = [g[20] * 1.4 + rng.normal(size=n), g[3] * 1.2 + g[40] + rng.normal(size=n), rng.normal(size=n)]
+    covariates = np.column_stack([rng.normal(size=(n, 2)), rng.integers(0, 2, n)])
+    covariates = np.column_stack([covariates, covariates[:, 0] * 1e6])  # a dependent column of other units
+    d = g.copy()
+    d[rng.random((p, n)) < gaps] = -1
+    d[5] = 0  # does not vary
+    values = [[None if rng.random() < missing else float(v) for v in row] for row in y]
+    phenotypes = spark.createDataFrame([(f"t{k}", "chr1", 1000 * c, v) for k, (c, v) in enumerate(zip((20, 10, 30), values))], "phenotype_id string, chromosome string, position int, values array<double>")
+    dosages = spark.createDataFrame([(f"chr1_{1000 * (j + 1)}_A_G", "chr1", 1000 * (j + 1), d[j].tolist()) for j in range(p)], "variant_id string, chromosome string, position int, dosage array<double>")
+    return phenotypes, dosages, covariates
+
+
+def rows_of(fits):
+    return {r.molecular_trait_id: r for r in fits.collect()}
+
+
+@pytest.mark.parametrize("gaps,missing", [(0.0, 0.0), (0.1, 0.0), (0.0, 0.1), (0.08, 0.15)])
+def test_products_of_blocks_give_the_same_sets(spark, gaps, missing):
+    phenotypes, dosages, c = cohort(spark, 7, gaps=gaps, missing=missing)
+    whole = rows_of(finemap.fit_phenotypes(phenotypes, dosages, pd.DataFrame(c), 25_000))
+    frame = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(c)], "place int, c array<double>")
+    parts = rows_of(blockfit.fit_by_blocks(phenotypes, dosages, frame, 25_000, block=37, tile=16))
+    assert set(whole) == set(parts) and len(whole) >= 2
+    for name, a in whole.items():
+        b = parts[name]
+        assert a.variant == b.variant and a.region == b.region
+        assert [(s.effect, s.members) for s in a.sets] == [(s.effect, s.members) for s in b.sets]
+        for column in ("z", "posterior_mean", "posterior_sd", "scale", "pip_marginal"):
+            assert np.allclose(getattr(a, column), getattr(b, column), atol=1e-6, rtol=1e-6), column
+        for column in ("alpha", "lbf_variable"):
+            assert np.allclose(getattr(a, column), getattr(b, column), atol=1e-5), column
+        assert np.allclose([(s.min_r2, s.avg_r2, s.lbf) for s in a.sets], [(s.min_r2, s.avg_r2, s.lbf) for s in b.sets], atol=1e-5)
+
+
+def test_without_covariates_and_with_too_few_variants(spark):
+    phenotypes, dosages, _ = cohort(spark, 3)
+    assert set(rows_of(blockfit.fit_by_blocks(phenotypes, dosages, None, 25_000, block=50))) == set(rows_of(finemap.fit_phenotypes(phenotypes, dosages, None, 25_000)))
+    assert blockfit.fit_by_blocks(phenotypes, dosages.limit(9), None, 25_000).isEmpty()
+    assert blockfit.fit_by_blocks(phenotypes.limit(0), dosages, None, 25_000).isEmpty()
+
+
+def test_no_task_holds_samples_by_variants(spark, monkeypatch):
+    """The widest matrix of a block is of `block` samples, and tiles are of `tile` columns."""
+    phenotypes, dosages, _ = cohort(spark, 3)
+    tiles, named = blockfit.products(phenotypes, dosages, None, 25_000, 40, 8)
+    sizes = [len(r.data) for r in tiles.where("i >= 0").collect()]
+    assert max(sizes) == 8 * 8 * 8 and named.count() == 3
+    a, rounded = blockfit.columns_of(np.zeros((3, 40)), np.zeros(3), np.array([True, False, True]), np.zeros((40, 2)), np.r_[np.nan, np.zeros(39)])
+    assert a.shape == (39, 3 + 2 + 2 + 2) and rounded.shape == (3,)
+
+
+def test_fit_of_products_equals_fit_of_samples():
+    rng = np.random.default_rng(1)
+    x = rng.integers(0, 3, (200, 30)).astype(float)
+    x[:, 9] = 1.0
+    y = x[:, 4] - x[:, 21] + rng.normal(size=200)
+    xc, yc = x - x.mean(axis=0), y - y.mean()
+    a = K.single_effects(x, y)
+    b = K.single_effects_of_products(xc.T @ xc, xc.T @ yc, yc @ yc, 200)
+    assert np.allclose(a.alpha, b.alpha, atol=1e-8) and np.allclose(a.elbo, b.elbo) and np.allclose(a.z, b.z)
+    sets = lambda f, c: [(s["effect"], s["members"].tolist(), round(s["min"], 9)) for s in K.credible_sets(f, c)]
+    assert sets(a, x) == sets(b, K.correlations_of_products(xc.T @ xc)) != []
+
+
+def test_registered_query_of_blocks_equals_that_of_samples(spark):
+    from locusmill.plans import queries as Q
+
+    key = lambda r: (r.molecular_trait_id, r.variant, r.cs_id, round(r.pip, 6), round(r.z, 6), round(r.cs_log10bf, 6))
+    sets = [sorted(map(key, q(spark, "/root/testdata/sf0.01").collect())) for q in (Q.finemap_blocks, Q.finemap_planted)]
+    assert sets[0] == sets[1] and {r[0] for r in sets[0]} == {"t1_ENSG1.1", "t2_ENSG2.1"}

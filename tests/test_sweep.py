@@ -91,5 +91,37 @@ def test_running_sums_and_maxima(many):
             state[g] = (state.get(g, 0) + v) if how == "sum" else max(v, state.get(g, v))
 
 
+@pytest.mark.parametrize("q", [0.0, 0.3, 0.75, 1.0])
+def test_quantiles_are_exact(many, q):
+    import numpy as np
+
+    rng = random.Random(8)
+    rows = [(g, float(rng.randrange(30)) if rng.random() < 0.5 else rng.random() * 30) for g in "abc" for _ in range(rng.randint(1, 200))] + [("a", None), ("none", None)]
+    got = {r.g: r.q for r in sweep.quantiles(many.createDataFrame(rows, "g string, v double"), ["g"], "v", q, "q").collect()}
+    assert set(got) == set("abc")
+    for g in got:
+        assert got[g] == pytest.approx(np.quantile([v for h, v in rows if h == g and v is not None], q), abs=1e-12)
+    whole = sweep.quantiles(many.createDataFrame(rows, "g string, v double"), [], "v", q, "q").first()[0]
+    assert whole == pytest.approx(np.quantile([v for _, v in rows if v is not None], q), abs=1e-12)
+
+
+def test_trimmed_factors_equal_the_kernel(many):
+    """The sweeps' factors against the kernel that takes a sample's whole column."""
+    import numpy as np
+
+    from locusmill.functions import kernels
+    from locusmill.operators import crossval
+
+    rng = np.random.default_rng(3)
+    x = rng.poisson(rng.gamma(1, 20, 300)[:, None] * np.array([1, 2, 0.5, 1.5])) + 0.0
+    x[:, 3] = x[:, 0] * 2
+    counts = many.createDataFrame([(f"g{i}", f"s{j}", float(x[i, j])) for i in range(300) for j in range(4)], "phenotype_id string, sample_id string, value double")
+    size = counts.groupBy("sample_id").agg(F.sum("value").alias("size"))
+    got = {r.sample_id: r.raw for r in crossval.trimmed_factors(counts, size, "s0", float(x[:, 0].sum())).collect()}
+    for j in range(4):
+        assert got[f"s{j}"] == pytest.approx(kernels.tmm_to_reference(x[:, [j, 0]]), rel=1e-9)
+    assert got["s3"] == 1.0 and crossval.normalised_counts(counts.limit(0)).count() == 0
+
+
 def test_registered_sweeps_use_it():
     assert {"merge_windows", "rank_average", "chunk_assign", "running_load"} <= set(Q.QUERIES)
