@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import keys as K
 from ..functions import numeric as N
-from ..operators import annotate, blockfit, chunks, crossval, finemap, genotypes, graph, intervals, reshape, select, skew, sweep
+from ..operators import annotate, blockfit, chunks, components, crossval, finemap, genotypes, graph, intervals, reshape, select, skew, sweep
 from ..sources import shards, sinks
 from ..sources.shared import scratch_folder
 
@@ -621,6 +621,15 @@ def fold_pcs(spark, d):
     return crossval.fold_components(x, folds)
 
 
+@query()
+def fold_pcs_blocks(spark, d):
+    """The components of fold_pcs by blocks of samples."""
+    e = table(spark, d, "embeddings").select(F.col("vec_id").cast("string").alias("sample_id"), F.posexplode("embedding").alias("i", "value"))
+    x = e.select(F.col("i").cast("string").alias("phenotype_id"), "sample_id", F.col("value").cast("double").alias("value"))
+    folds = e.select("sample_id").distinct().withColumn("fold", (F.col("sample_id").cast("int") % 3 + 1).cast("int"))
+    return components.fold_components_by_blocks(x, folds, cells=20_000)
+
+
 @query("""WITH counts AS (SELECT l_partkey::VARCHAR AS phenotype_id, (l_suppkey % 8)::VARCHAR AS sample_id, sum(l_quantity) AS value FROM lineitem GROUP BY 1, 2),
     sizes AS (SELECT sample_id, sum(value) AS size, quantile_cont(value, 0.75) / sum(value) AS q75 FROM counts GROUP BY 1),
     ref AS (SELECT sample_id, size FROM sizes ORDER BY abs(q75 - (SELECT avg(q75) FROM sizes)), sample_id LIMIT 1),
