@@ -155,7 +155,7 @@ def js_distance(counts: Column, reference: Column) -> Column:
         return F.when(x > 0, x * F.log2(x / m)).otherwise(0.0)
 
     terms = F.zip_with(p, reference, lambda x, q: (part(x, (x + q) / 2) + part(q, (x + q) / 2)) / 2)
-    return F.when(total > 0, F.sqrt(F.greatest(F.aggregate(terms, F.lit(0.0), lambda a, x: a + x), F.lit(0.0))))
+    return F.when((total > 0) & reference.isNotNull(), F.sqrt(F.greatest(F.aggregate(terms, F.lit(0.0), lambda a, x: a + x), F.lit(0.0))))
 
 
 def _literal(values: list[float]) -> Column:
@@ -183,19 +183,31 @@ def repeated_words(docs: DataFrame) -> DataFrame:
     return out.drop("__hashes", "__sorted", "__starts")
 
 
-def judge(
+#: The columns that `judge` adds.
+VERDICTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "chars_distance", "words_distance", "base_failed", "kept")
+
+
+def judge(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", **limits) -> DataFrame:
+    """`docs` with the columns of VERDICTS; columns of `docs` with these names give way, all others stay whatever their names."""
+    rows = docs.select(F.struct("*").alias("__row"), F.col(text_col).alias("__t"), F.col(lang_col).alias("__l"))
+    judged = _judged(rows, "__t", "__l", **limits)
+    return judged.select(*[F.col("__row").getField(c).alias(c) for c in docs.columns if c not in VERDICTS], *VERDICTS)
+
+
+def _judged(
     docs: DataFrame,
-    text_col: str = "text",
-    lang_col: str = "lang",
+    text_col: str,
+    lang_col: str,
     max_chars_distance: float = 0.27,
     max_words_distance: float = 0.25,
     min_chars: int = 200,
     min_words: int = 100,
 ) -> DataFrame:
-    """`docs` with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, the two distances, base_failed, kept."""
+    """`docs`, of which no column has a name of these, with the columns of VERDICTS."""
     sums = language_sums(docs, text_col, lang_col)
     ref = references(sums)
-    chars, words = _literal(ref[""]["chars"]), _literal([])
+    # A text without a language is set against all texts; a language that has no reference of its own gives no verdict.
+    chars, words = F.when(F.coalesce(F.col(lang_col), F.lit("")) == "", _literal(ref[""]["chars"])), _literal([])
     others = sums.where(~F.col("__key").isin(list(COMMON_WORDS)) & (F.col("__key") != "") & (F.col("documents") >= LEAST_DOCUMENTS))
     own = not others.isEmpty()
     if own:
@@ -229,7 +241,7 @@ def judge(
 def keep_good(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", **limits) -> DataFrame:
     """The rows of `docs` that are kept, with all their columns whatever their names."""
     rows = docs.select(F.struct("*").alias("__row"), F.col(text_col).alias("__t"), F.col(lang_col).alias("__l"))
-    judged = judge(rows, "__t", "__l", **limits).select("__row", "kept")
+    judged = _judged(rows, "__t", "__l", **limits).select("__row", "kept")
     # A filter goes down through projections and would repeat their expressions; it stops at a metric.
     judged = judged.observe(f"judged_{uuid.uuid4().hex}", F.count(F.lit(1)).alias("documents"), F.count_if("kept").alias("kept"))
     return judged.where("kept").select("__row.*")

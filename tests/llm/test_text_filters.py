@@ -73,7 +73,28 @@ def test_language_without_a_list_has_its_own_reference(make):
     rows += [(300, text("#*$%&"), "he", "a"), (301, text(hebrew), "xx", "a"), (302, text(latin), None, "a")]
     got = {r.doc_id: r for r in quality_rules.judge(make(*rows), max_words_distance=1.0).collect()}
     assert len(got) == 233 and all(got[i].kept for i in range(200, 230)) and not got[300].kept and got[302].kept
-    assert got[200].words_distance is not None and got[301].words_distance is None and not got[301].kept
+    # A language of one document has no reference, so nothing is said against its text.
+    assert got[200].words_distance is not None and got[301].words_distance is None and got[301].chars_distance is None and got[301].kept
+
+
+def test_clean_texts_of_a_small_language_stay(make):
+    """Nineteen clean texts of a language without a list in a Latin corpus, and junk in that language, which the base rules judge."""
+    rng = random.Random(5)
+    text = lambda letters: " ".join("".join(rng.choice(letters) for _ in range(rng.randint(3, 8))) for _ in range(150))
+    rows = [(i, text("abcdefghijklmnop"), "en", "a") for i in range(60)] + [(100 + i, text("אבגדהוזחטיכל"), "he", "a") for i in range(19)] + [(200, "אב " * 300, "he", "a")]
+    docs = make(*rows)
+    kept = {r.doc_id for r in quality_rules.keep_good(docs, max_words_distance=1.0).collect()}
+    assert kept >= {100 + i for i in range(19)} and 200 not in kept
+
+
+def test_judge_keeps_columns_of_any_name(make):
+    names = ["c_lower", "__text", "__words", "__row", "__t", "documents", "__own_chars"]
+    docs = make((1, QUALITY[7]), (2, None), (None, "")).withColumns({c: F.lit("mine") for c in names}).withColumn("n_words", F.lit("gives way"))
+    got = quality_rules.judge(docs)
+    assert got.columns == [c for c in docs.columns if c != "n_words"] + list(quality_rules.VERDICTS)
+    rows = {r.doc_id: r for r in got.collect()}
+    assert len(rows) == 3 and all(r[c] == "mine" for r in rows.values() for c in names) and rows[1].n_words == 10 and rows[1].kept and not rows[2].kept
+    assert quality_rules.judge(docs.limit(0)).count() == 0
 
 
 # ---------------------------------------------------------------- personal data
