@@ -4,17 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import window as W
 
 from ..operators import annotate, crossval
 from ..schemas import SKEW
-from ..sources import bigwig, blockgzip, genomic, shards, sinks, tables
+from ..sources import bigwig, blockgzip, copying, genomic, shards, sinks, tables
 from . import queries as Q
 from .queries import big, query, r6, scratch_folder, table
 
 
-def _text(df: DataFrame, header: bool = True, gz: bool = False, suffix: str = "tsv") -> str:
-    """Writes tab-separated text to a new folder of the shared folder; its path."""
-    path = f"{scratch_folder(df.sparkSession)}.{suffix}"
+def _text(df: DataFrame, header: bool = True, gz: bool = False, suffix: str = "tsv", folder: str | None = None) -> str:
+    """Writes tab-separated text to a new folder of the shared folder, or one below `folder`; its path."""
+    path = f"{folder}/{suffix}" if folder else f"{scratch_folder(df.sparkSession)}.{suffix}"
     writer = df.write.options(sep="\t", header=header, nullValue="NA", quote="")
     (writer.option("compression", "gzip") if gz else writer).csv(path)
     return path
@@ -119,6 +120,19 @@ def dosage_region(spark, d):
     return found.select("variant_id", F.get("dosage", F.lit(0)).alias("first"), big(F.size("dosage")).alias("n"))
 
 
+@query("SELECT p_partkey::VARCHAR AS k, p_name AS name, p_partkey % 3 AS kind FROM part")
+def scan_mixed_files(spark, d):
+    """One folder of plain and gzip files whose names do not tell which is which."""
+    k = F.col("p_partkey")
+    rows = table(spark, d, "part").select(k.alias("k"), F.col("p_name").alias("name"), (k % 3).cast("int").alias("kind"))
+    folder = scratch_folder(spark)
+    for i in range(3):
+        _text(rows.where(F.col("kind") == i), gz=i > 0, suffix=f"{i}", folder=f"{folder}-parts")
+    copies = shards.files_under(spark, f"{folder}-parts").select(F.col("path").alias("source"), F.format_string(f"{folder}/%04d", F.row_number().over(W.Window.orderBy("path"))).alias("target"))
+    copying.copy_files(copies, 4).write.format("noop").mode("overwrite").save()
+    return tables.read_delimited(spark, folder, schema="k string, name string, kind int")
+
+
 REGIONS = [("chr0", 60, 400), ("chr1", 100, 900), ("chr1", 850, 1500), ("chr7", 1, 10)]
 
 

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .copying import copy_files
+
 
 def manifest(spark: SparkSession, path: str) -> list[str]:
     """The first token of each line that has one, sorted and each once."""
@@ -74,3 +76,18 @@ def skipped_shards(spark: SparkSession, paths: list[str], schema: T.StructType)
     given = spark.createDataFrame(list(zip(_whole_paths(spark, paths), range(len(paths)))), "p string, i int")
     seen = seen.select(F.explode(F.array("f", _folder(F.col("f")))).alias("p"))
     return [paths[r["i"]] for r in given.join(seen, "p", "left_anti").orderBy("i").toLocalIterator()]
+
+
+def files_under(spark: SparkSession, path: str) -> DataFrame:
+    """(path, length) of the files below a folder, by Spark's file source, without their contents."""
+    return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "length")
+
+
+def copy_shards(spark: SparkSession, paths: list[str], folder: str, tasks: int = 64) -> DataFrame:
+    """Copies the shards of a manifest into one folder, by tasks (see `copying`); the result, a row per file, is kept under <folder>.copies.
+
+    Names keep their order and stay apart where shards of several folders have the same.
+    """
+    pairs = spark.createDataFrame([(p, f"{folder}/{i:06d}-{p.rstrip('/').rsplit('/', 1)[-1]}") for i, p in enumerate(paths)], "source string, target string")
+    copy_files(pairs, tasks).write.mode("overwrite").parquet(f"{folder}.copies")
+    return spark.read.parquet(f"{folder}.copies")

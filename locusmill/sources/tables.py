@@ -2,12 +2,8 @@
 
 from __future__ import annotations
 
-import gzip
-import io
-import itertools
 from collections.abc import Iterator
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +11,7 @@ from ..functions.keys import normalize_chr, prefixed_chr, variant_id
 from ..operators.reshape import to_long, transpose
 from ..operators.select import require_columns
 from . import blockgzip
+from .anytext import read_any_text
 
 #: Text that means a missing value.
 MISSING = ("NA", "", "NaN", "nan")
@@ -29,7 +26,7 @@ def read_delimited(spark: SparkSession, path: str, sep: str = "\t", header: bool
     reader = spark.read.options(**options)
     if schema:
         reader = reader.schema(schema)
-    if is_gzip(spark, path) and not path.endswith(".gz"):
+    if is_gzip(spark, path):
         df = _from_lines(spark, path, reader)
     else:
         df = reader.csv(path)
@@ -37,13 +34,13 @@ def read_delimited(spark: SparkSession, path: str, sep: str = "\t", header: bool
 
 
 def is_gzip(spark: SparkSession, path: str) -> bool:
-    """Whether any file at `path` starts with gzip's two bytes. Two bytes a file are read, in the JVM, from any store."""
-    jvm = spark.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
+    """Whether any file at `path` (a file, a folder or a pattern) without a name that ends in .gz starts with gzip's two bytes. Two bytes a file are read, in the JVM, from any store."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found = fs.globStatus(at) or []
+    found = [s for top in fs.globStatus(at) or [] for s in (fs.listStatus(top.getPath()) if top.isDirectory() else [top])]
     for status in found:
-        if status.isDirectory():
+        name = status.getPath().getName()
+        if status.isDirectory() or name.startswith(("_", ".")) or name.endswith(".gz"):
             continue
         stream = fs.open(status.getPath())
         try:
@@ -69,17 +66,8 @@ def is_block_gzip(spark: SparkSession, path: str) -> bool:
 
 
 def _from_lines(spark: SparkSession, path: str, reader) -> DataFrame:
-    """gzip under another suffix: files are unpacked by tasks as a stream, in batches of lines, and parsed by the JVM's reader."""
-
-    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for content in batch.column(0):
-                content = content.as_py()
-                lines = gzip.open(io.BytesIO(content), "rt", encoding="utf-8", newline=None) if content[:2] == b"\x1f\x8b" else io.TextIOWrapper(io.BytesIO(content), "utf-8")
-                while some := list(itertools.islice(lines, 10_000)):
-                    yield pa.RecordBatch.from_pydict({"value": pa.array([x.rstrip("\n") for x in some], pa.string())})
-
-    lines = spark.read.format("binaryFile").load(path).select("content").mapInArrow(unpack, "value string")
+    """Files whose names do not tell what they are: lines by tasks from open streams, parsed by the JVM's reader."""
+    lines = read_any_text(spark, path)
     encoder = spark._jvm.org.apache.spark.sql.Encoders.STRING()
     return DataFrame(reader._jreader.csv(getattr(lines._jdf, "as")(encoder)), spark)
 
