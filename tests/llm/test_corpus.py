@@ -315,6 +315,22 @@ def test_query_and_pipeline_hand_over_ids(spark, make):
         assert len(r.ids) == r.n_pieces and zlib.crc32(b"".join(i.to_bytes(4, "little") for i in r.ids)) == r.ids_crc32
 
 
+def test_tokens_of_the_table_equal_the_library(spark):
+    """The registered query on the whole table against the library on whole texts."""
+    from tokenizers import Tokenizer
+
+    from locusmill.llm.queries import op2_token_planes
+
+    tokenizer = Tokenizer.from_file(tokenizer_path(WORD_BPE))
+    start, want = 0, []
+    for r in spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").select("doc_id", "text").collect():
+        ids = [*tokenizer.encode(r.text or "", add_special_tokens=False).ids, 1]
+        want.append((r.doc_id, start, len(ids), zlib.crc32(np.asarray(ids, "<u4").tobytes())))
+        start += len(ids)
+    got = op2_token_planes(spark, SF).orderBy("doc_id").collect()
+    assert [(r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in got] == want
+
+
 # ---------------------------------------------------------------- pages
 def page(i, body, extra=""):
     return f'<!DOCTYPE html><html><head><title>t{i}</title><script>var x="</p>";</script></head><body><nav><a href="/x">menu</a></nav><div class="cookie-notice">We use cookies</div>{extra}{body}<aside>side {i}</aside><footer>&copy; site</footer></body></html>'
