@@ -7,16 +7,17 @@ the shards that are new since its last run (a file stream with a checkpoint), an
 * `rows`: every result once, also where a shard is delivered again under another name;
 * `parts`: for each batch and trait the number of its new rows and the best of them;
 * `traits`: per trait the number of results, the best score and its variant (ties: the smaller id);
+* `snapshots`: a copy of `traits` after each `snapshot_every` batches;
 * `rejected`: rows without trait, variant, chromosome or score, with the reason.
 
 Reruns are safe. A batch that is run again after a failure writes to the same folders of its number
 (dynamic partition overwrite), compares its rows with those of other batches only, and `traits` is
-made anew, for the chromosomes that the batch touches, from the sums of all batches. A run without new
-shards writes nothing.
+made anew, for the chromosomes that the batch touches, from the last snapshot before the batch and the
+sums of the batches since. A run without new shards writes nothing.
 
 What a batch costs: its own rows are compared with the stored rows of its chromosomes by a join on
-the row's key; totals come from `parts`, one row per trait and batch. Nothing is gathered on the driver
-but the names of the chromosomes of a batch, at most `max_chromosomes`, beyond which the batch is an error.
+the row's key; totals come from a snapshot, one row per trait, and at most `snapshot_every` batches of `parts`,
+however long the feed has run. Nothing is gathered on the driver but the number of a snapshot and the names of the chromosomes of a batch, at most `max_chromosomes`, beyond which the batch is an error.
 
     spark-submit jobs/result_feed.py --config jobs/result_feed.json --input shards/ --output merged/ --checkpoint feed-state/
 """
@@ -36,10 +37,11 @@ from jobs.common import command, log, read_settings, session_settings
 from locusmill.operators.select import first_per_key, require_columns
 from locusmill.streaming.shards import arriving_shards
 
-DEFAULTS = {"trait": "molecular_trait_id", "variant": "variant", "score": "pip", "chromosome": "chromosome", "files_per_batch": 1000, "max_chromosomes": 1000}
+DEFAULTS = {"trait": "molecular_trait_id", "variant": "variant", "score": "pip", "chromosome": "chromosome", "files_per_batch": 1000, "max_chromosomes": 1000, "snapshot_every": 50}
 
 ROWS = "trait string, variant string, score double, chromosome string, batch long"
 PARTS = "trait string, n_results long, best_variant string, best_score double, chromosome string, batch long"
+SNAPSHOTS = "trait string, n_results long, best_variant string, best_score double, chromosome string, at long"
 TRAITS = "trait string, n_results long, best_variant string, best_score double, chromosome string"
 REJECTED = "trait string, variant string, score double, chromosome string, reason string, batch long"
 
@@ -104,8 +106,16 @@ def take_batch(batch: DataFrame, number: int, output: str, settings: dict) -> di
 
         new = _table(spark, f"{output}/rows", ROWS).where(own & (F.col("batch") == number))
         _best(new, F.lit(1), "variant", "score").withColumn("batch", F.lit(number)).write.mode("overwrite").partitionBy("chromosome", "batch").parquet(f"{output}/parts")
-        parts = _table(spark, f"{output}/parts", PARTS).where(own)
-        _best(parts, F.col("n_results"), "best_variant", "best_score").write.mode("overwrite").partitionBy("chromosome").parquet(f"{output}/traits")
+        snapshots, last = _table(spark, f"{output}/snapshots", SNAPSHOTS), None
+        if snapshots is not None:
+            last = snapshots.select("at").distinct().where(F.col("at") < number).agg(F.max("at")).first()[0]
+        sums = _table(spark, f"{output}/parts", PARTS).where(own & (F.col("batch") <= number) & (F.col("batch") > (-1 if last is None else last))).drop("batch")
+        if last is not None:
+            sums = sums.unionByName(snapshots.where(own & (F.col("at") == last)).drop("at"))
+        _best(sums, F.col("n_results"), "best_variant", "best_score").write.mode("overwrite").partitionBy("chromosome").parquet(f"{output}/traits")
+        if (number + 1) % settings["snapshot_every"] == 0:
+            whole = _table(spark, f"{output}/traits", TRAITS)
+            whole.withColumn("at", F.lit(number)).write.mode("overwrite").partitionBy("at", "chromosome").parquet(f"{output}/snapshots")
         return {"read": totals[0], "stored": new.count(), "rejected": totals[1]}
     finally:
         rows.unpersist()

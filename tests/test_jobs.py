@@ -3,6 +3,7 @@
 import json
 import os
 import re
+import shutil
 import subprocess
 import sys
 
@@ -116,6 +117,24 @@ def test_a_batch_that_failed_midway_is_run_again(spark, tmp_path, monkeypatch, f
     assert kept(spark, output) == expected(FIRST + SECOND)
 
 
+def test_totals_come_from_the_last_snapshot(spark, tmp_path):
+    """Many batches with a snapshot after each third: the same totals, also once the older batches' sums are gone."""
+    folder, output, state = (f"{tmp_path}/{x}" for x in ("in", "out", "state"))
+    run = lambda: result_feed.run(spark, f"{folder}/*.parquet", output, state, {"files_per_batch": 1, "snapshot_every": 3})
+    rows = []
+    for i in range(8):
+        new = [(f"g{i % 3}", f"v{i}", 0.1 * i, "chr1"), (f"h{i}", "v", 0.5, f"chr{i % 2 + 2}")]
+        rows += new
+        shard(spark, folder, f"{i}.parquet", new)
+        if i == 6:  # two snapshots are there, after the third and the sixth batch
+            assert sorted(os.listdir(f"{output}/snapshots"))[-2:] == ["at=2", "at=5"]
+            for batch in range(6):
+                for old in [d for d, _, _ in os.walk(f"{output}/parts") if d.endswith(f"batch={batch}")]:
+                    shutil.rmtree(old)
+        assert run()["batches"] == 1
+    assert kept(spark, output) == expected(rows)
+
+
 def test_feed_of_nothing_and_wrong_settings(spark, tmp_path):
     shard(spark, f"{tmp_path}/in", "a.parquet", [])
     run = lambda **s: result_feed.run(spark, f"{tmp_path}/in/*.parquet", f"{tmp_path}/out", f"{tmp_path}/state", s)
