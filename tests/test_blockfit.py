@@ -82,3 +82,20 @@ def test_registered_query_of_blocks_equals_that_of_samples(spark):
     key = lambda r: (r.molecular_trait_id, r.variant, r.cs_id, round(r.pip, 6), round(r.z, 6), round(r.cs_log10bf, 6))
     sets = [sorted(map(key, q(spark, "/root/testdata/sf0.01").collect())) for q in (Q.finemap_blocks, Q.finemap_planted)]
     assert sets[0] == sets[1] and {r[0] for r in sets[0]} == {"t1_ENSG1.1", "t2_ENSG2.1"}
+
+
+def test_shared_stretches_of_a_chromosome_of_touching_windows(spark):
+    """Windows that all touch: many groups of bounded width, and the same rows as phenotype by phenotype."""
+    phenotypes, dosages, c = cohort(spark, 5, p=60)
+    rows = phenotypes.collect()
+    many = [(f"{r.phenotype_id}_{at}", "chr1", at, r["values"]) for at in range(4000, 58_000, 6000) for r in rows]
+    phenotypes = spark.createDataFrame(many, phenotypes.schema)
+    one = rows_of(finemap.fit_phenotypes(phenotypes, dosages, pd.DataFrame(c), 9_000))
+    shared = finemap.fit_phenotypes(phenotypes, dosages, pd.DataFrame(c), 9_000, share_regions=True, stretch_width=10_000)
+    plan = shared._jdf.queryExecution().optimizedPlan().toString()
+    got = rows_of(shared)
+    assert set(got) == set(one) and len(got) > 8 and "FlatMapCoGroups" in plan
+    for name, r in one.items():
+        assert got[name].variant == r.variant and got[name].region == r.region and np.allclose(got[name].alpha, r.alpha, atol=1e-9)
+    groups = {(at // 10_000) for at in range(4000, 58_000, 6000)}
+    assert len(groups) == 6
