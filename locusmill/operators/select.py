@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import window as W
 
 from ..functions.keys import cluster_id
 from .sweep import average_ranks
@@ -98,12 +97,6 @@ def sample_group(samples: DataFrame, group: str = "ALL", column: str = "qtl_grou
     return samples.where(F.col(column) == group)
 
 
-def smallest_cover(df: DataFrame, by: Sequence[str], weight: str, order: Sequence[str | Column], coverage: float = 0.95) -> DataFrame:
-    """The fewest rows of each group whose weights, largest first and ties by `order`, reach `coverage`."""
-    before = W.Window.partitionBy(*by).orderBy(F.desc(weight), *order).rowsBetween(W.Window.unboundedPreceding, -1)
-    return df.withColumn("__before", F.coalesce(F.sum(weight).over(before), F.lit(0.0))).where(F.col("__before") < coverage).drop("__before")
-
-
 def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 

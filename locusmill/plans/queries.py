@@ -9,10 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import kernels
 from ..functions import keys as K
 from ..functions import numeric as N
 from ..operators import annotate, blockfit, chunks, components, crossval, finemap, genotypes, graph, intervals, reshape, select, skew, sweep
@@ -366,12 +368,11 @@ def pip_from_component(spark, d):
     c AS (SELECT *, sum(alpha) OVER (PARTITION BY vec_id ORDER BY alpha DESC, i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM a)
     SELECT vec_id, count(*)::BIGINT AS cs_size FROM c WHERE coalesce(before, 0) < 0.95 GROUP BY 1""")
 def credible_set(spark, d):
-    from pyspark.sql import window as W
-
-    x = table(spark, d, "embeddings").select("vec_id", F.posexplode("embedding").alias("i", "v"))
-    own = W.Window.partitionBy("vec_id")
-    a = x.withColumn("alpha", F.round(F.abs(F.col("v").cast("double")) / F.sum(F.abs(F.col("v").cast("double"))).over(own), 9))
-    return select.smallest_cover(a, ["vec_id"], "alpha", ["i"]).groupBy("vec_id").agg(F.count(F.lit(1)).alias("cs_size"))
+    """The cover that credible sets are made of, for the absolute parts of each vector as probabilities."""
+    size = F.pandas_udf(lambda alphas: alphas.map(lambda a: len(kernels.cover(np.asarray(a, float)))), "long")
+    parts = F.transform("embedding", lambda x: F.abs(x.cast("double")))
+    alpha = F.transform(parts, lambda x: F.round(x / F.aggregate(parts, F.lit(0.0), lambda a, y: a + y), 9))
+    return table(spark, d, "embeddings").select("vec_id", size(alpha).alias("cs_size"))
 
 
 @query("SELECT vec_id, label::BIGINT AS label FROM embeddings WHERE label IS NOT NULL AND NOT (embedding[1] < 0)")
