@@ -70,8 +70,10 @@ def check_table(texts: DataFrame, people: DataFrame, table: str, own: dict, outp
     rows = texts.select(row_id.alias("id"), cells[0].alias("cell_1"), cells[1].alias("cell_2"), F.coalesce(F.col(f"`{own['text']}`"), F.lit("")).alias("text"))
     found = ids_of_texts(rows, people)
     seen = Observation()
-    masked = rows.withColumns(_key()).join(found, ["__a", "__b"], "left").drop("__a", "__b")
-    masked = masked.withColumn("known", F.coalesce("known", F.array().cast("array<string>")))
+    # Texts without a digit need no partner, so they are not shuffled.
+    nothing, digits = F.array().cast("array<string>"), F.col("text").rlike(DIGITS)
+    masked = rows.where(digits).withColumns(_key()).join(found, ["__a", "__b"], "left").drop("__a", "__b").withColumn("known", F.coalesce("known", nothing))
+    masked = masked.unionByName(rows.where(~digits).withColumn("known", nothing))
     hits = F.filter(F.regexp_extract_all("text", F.lit(DIGITS), F.lit(0)), lambda x: F.array_contains("known", x))
     masked = masked.withColumns({"n_ids": F.size(hits).cast("long"), "n_people": F.size("known").cast("long"), "text": mask(F.col("text"), F.col("known"), settings["mark"])})
     out = masked.drop("known").withColumn("table", F.lit(table)).select("id", "cell_2", "text", "n_ids", "n_people", "table", "cell_1")

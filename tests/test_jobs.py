@@ -221,6 +221,19 @@ def test_a_run_over_one_table_leaves_the_others(spark, tmp_path):
     assert "('1:0', 'all', 'all', '[participant] said', 1, 1)" in before[0]
 
 
+def test_ids_meet_by_an_equal_key(spark):
+    """No side is compared with all of the other, also where nothing can be broadcast."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = spark.createDataFrame([("1", "a", "b", "id 7"), ("2", "a", "b", "none")], "id string, cell_1 string, cell_2 string, text string")
+        found = release_check.ids_of_texts(rows, spark.createDataFrame([("7",)], "number string"))
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "NestedLoop" not in plan and "Cartesian" not in plan and "SortMergeJoin" in plan and [r.known for r in found.collect()] == [["7"]]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_check_of_nothing(spark, tmp_path):
     spark.createDataFrame([], TABLE).write.parquet(f"{tmp_path}/in/documents.parquet")
     spark.createDataFrame([(12,)], "research_id int").write.parquet(f"{tmp_path}/people.parquet")
