@@ -3,7 +3,7 @@
 import duckdb
 import pytest
 
-from locusmill.plans import file_queries  # noqa: F401  (registers its queries)
+from locusmill.plans import file_queries, workflow_queries  # noqa: F401  (these register their queries)
 from locusmill.plans import queries as Q
 
 SF = "/root/testdata/sf0.01"
