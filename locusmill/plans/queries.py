@@ -628,7 +628,7 @@ def fold_pcs_blocks(spark, d):
     e = table(spark, d, "embeddings").select(F.col("vec_id").cast("string").alias("sample_id"), F.posexplode("embedding").alias("i", "value"))
     x = e.select(F.col("i").cast("string").alias("phenotype_id"), "sample_id", F.col("value").cast("double").alias("value"))
     folds = e.select("sample_id").distinct().withColumn("fold", (F.col("sample_id").cast("int") % 3 + 1).cast("int"))
-    return components.fold_components_by_blocks(x, folds, cells=20_000)
+    return components.fold_components_by_blocks(x, folds, cells=100_000, width=64)
 
 
 @query("""WITH counts AS (SELECT l_partkey::VARCHAR AS phenotype_id, (l_suppkey % 8)::VARCHAR AS sample_id, sum(l_quantity) AS value FROM lineitem GROUP BY 1, 2),
