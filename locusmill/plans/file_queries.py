@@ -120,7 +120,7 @@ def dosage_region(spark, d):
     return found.select("variant_id", F.get("dosage", F.lit(0)).alias("first"), big(F.size("dosage")).alias("n"))
 
 
-@query("SELECT p_partkey::VARCHAR AS k, p_name AS name, p_partkey % 3 AS kind FROM part")
+@query("SELECT p_partkey::VARCHAR AS k, p_name AS name, (p_partkey % 3)::INT AS kind FROM part")
 def scan_mixed_files(spark, d):
     """One folder of plain and gzip files whose names do not tell which is which."""
     k = F.col("p_partkey")
