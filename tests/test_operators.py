@@ -82,6 +82,26 @@ def test_overlap_bounds_and_fan_out(spark):
     assert got == [("", 10, False), ("a", 10, True), ("a", 20, True), ("a", 20, True), ("a", 21, True), ("b", 10, False)]
 
 
+def test_summaries_of_overlaps_equal_brute_force_without_pairs(spark):
+    rng = np.random.default_rng(5)
+    points = [(i, "ab"[i % 2], int(p)) for i, p in enumerate(rng.integers(-40, 300, 60))] + [(60, None, 5), (61, "a", None), (62, "b", 5000)]
+    spans = [("ab"[i % 2], int(a), int(a + n), i % 3 == 0, float(i)) for i, (a, n) in enumerate(zip(rng.integers(-60, 280, 80), rng.integers(-2, 70, 80)))]
+    spans += [("a", -7, 4000, True, 0.5), ("a", 3, 3, None, 99.0), ("b", None, 5, True, 100.0)]
+    p = spark.createDataFrame(points, "i int, chromosome string, position int")
+    s = spark.createDataFrame(spans, "chromosome string, start int, end int, hit boolean, ordinal double")
+    holds = lambda c, x: [t for t in spans if None not in (c, x, t[1]) and t[0] == c and t[1] <= x <= t[2]]
+    told = intervals.count_overlaps(p, s.drop("ordinal"), ["hit"], "n")
+    assert told.columns == ["i", "chromosome", "position", "hit", "n"] and told.count() <= 3 * len(points)
+    got = sorted((r.i, r.hit) for r in intervals.repeated(told, ["n"]).collect())
+    assert got == sorted((i, bool(t[3])) for i, c, x in points for t in holds(c, x) or [(0, 0, 0, False)])
+    assert got == sorted((r.i, r.hit) for r in intervals.flag_overlaps(p, s.drop("ordinal"), ["hit"]).collect())
+    scored = intervals.point_score(p, s.withColumn("score", F.col("ordinal") * 2))
+    assert {r.i: r.score for r in scored.collect()} == {i: max((2 * t[4] for t in holds(c, x)), default=None) for i, c, x in points}
+    assert "__level" in scored._jdf.queryExecution().analyzed().toString() and scored.count() == len(points)
+    none = s.where("false").withColumn("score", F.lit(1))
+    assert {r.score for r in intervals.point_score(p, none).collect()} == {None}
+
+
 def test_cis_window_clamps(spark):
     r = intervals.cis_window(spark.createDataFrame([(5,)], "start int"), 10).first()
     assert (r.window_start, r.window_end) == (1, 15)
