@@ -102,6 +102,21 @@ def test_summaries_of_overlaps_equal_brute_force_without_pairs(spark):
     assert {r.score for r in intervals.point_score(p, none).collect()} == {None}
 
 
+def test_annotation_keeps_all_pairs_of_elements_and_promoters(spark):
+    fm = spark.createDataFrame([("x_ENSG1.2", "chr1_15_A_G", "chr1", 15, "A", "G", 0.9)], "molecular_trait_id string, variant string, chromosome string, position int, ref string, alt string, pip double")
+    span = lambda *rows, extra="": spark.createDataFrame(list(rows), "chromosome string, start int, end int" + extra)
+    out = pipeline.annotate(
+        fm, spark.createDataFrame([("ENSG1.2", "G", "p", 10, 20, "-")], "gene_id string, gene_name string, gene_type string, start int, end int, strand string"),
+        span(*[("chr1", 10, 20 + i, "dELS") for i in range(3)], ("chr1", 1, 15, "PLS"), extra=", type string"), span(*[("chr1", 15, 15 + i) for i in range(5)]),
+        spark.createDataFrame([("ENSG1", True, 0.95)], "gene_id string, canonical boolean, pli double"), span(("chr1", 15, 15, 1.0, 1), extra=", score double, ordinal long"),
+        spark.createDataFrame([("chr1", 15, "A", "G", "0.7", "7", "10")], "chrom string, pos int, ref string, alt string, gvs_afr_af string, gvs_afr_ac string, gvs_afr_an string"),
+    )
+    assert sorted(r.Annotation for r in out.collect()) == ["Enhancer"] * 15 + ["Promoter"] * 5
+    # Copies come about after the last join, so that none of them is shuffled.
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert max(i for i, x in enumerate(plan.splitlines()) if "__promoters" in x and "explode" in x) < min(i for i, x in enumerate(plan.splitlines()) if "Join" in x)
+
+
 def test_cis_window_clamps(spark):
     r = intervals.cis_window(spark.createDataFrame([(5,)], "start int"), 10).first()
     assert (r.window_start, r.window_end) == (1, 15)
