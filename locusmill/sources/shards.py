@@ -42,7 +42,9 @@ def concatenate(spark: SparkSession, paths: list[str], sep: str = "\t") -> DataF
     # A row per path. A path is a file or a folder of files.
     files, folders = order.toDF("__f", "__in_file"), order.toDF("__d", "__in_folder")
     rows = rows.join(F.broadcast(files), F.col("__file") == F.col("__f"), "left").join(F.broadcast(folders), _folder(F.col("__file")) == F.col("__d"), "left")
-    return rows.orderBy(F.coalesce("__in_file", "__in_folder"), "__file", "__start", "__row").select(*names)
+    # Files of a folder by task and number, as Spark counts on beyond the digits it pads to.
+    number = lambda pattern: F.regexp_extract(F.regexp_extract("__file", "[^/]*$", 0), pattern, 1).try_cast("long")
+    return rows.orderBy(F.coalesce("__in_file", "__in_folder"), number(r"^part-(\d+)"), number(r"-c(\d+)[^/]*$"), "__file", "__start", "__row").select(*names)
 
 
 def _whole_paths(spark: SparkSession, paths: list[str]) -> list[str]:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,13 +39,20 @@ def write_dosages(df: DataFrame, path: str) -> None:
     ranged.write.mode("overwrite").partitionBy("chromosome").parquet(path)
 
 
+def part_order(name: str) -> tuple[int, int, str]:
+    """Task and number in the task of a file that Spark wrote; its digits are padded, but not cut, to five and three."""
+    task, number = re.match(r"part-(\d+)", name), re.search(r"-c(\d+)[^/]*$", name)
+    return int(task[1]) if task else -1, int(number[1]) if number else -1, name
+
+
 def write_sharded(df: DataFrame, path: str, rows_per_file: int) -> list[str]:
     """Text shards of at most `rows_per_file` rows, each with the header, and their names as a JSON list in <path>.manifest."""
     df.write.mode("overwrite").options(sep="\t", header=True, nullValue="NA", maxRecordsPerFile=rows_per_file).csv(path)
     spark = df.sparkSession
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     found = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(at)
-    names = sorted(f"{path}/{f.getPath().getName()}" for f in found if f.getPath().getName().startswith("part-"))
+    names = [f.getPath().getName() for f in found]
+    names = [f"{path}/{n}" for n in sorted((n for n in names if n.startswith("part-")), key=part_order)]
     spark.createDataFrame([(json.dumps(names),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}.manifest")
     return names
 

@@ -437,6 +437,15 @@ def test_shards_keep_order_and_manifest(spark, tmp_path):
     assert [int(r.k) for r in back.collect()] == [*range(20, 25), *range(10, 20), *range(10)]
 
 
+def test_shards_beyond_the_padded_numbers_keep_order(spark, tmp_path):
+    rows = spark.range(1203).toDF("k").coalesce(1)
+    names = sinks.write_sharded(rows, f"{tmp_path}/s", 1)
+    assert len(names) == 1203 and shards.manifest_list(spark, f"{tmp_path}/s.manifest") == names
+    assert [sinks.part_order(n)[1] for n in (x.rsplit("/", 1)[1] for x in names)] == list(range(1203))
+    assert [int(r.k) for r in shards.concatenate(spark, names).collect()] == list(range(1203))
+    assert [int(r.k) for r in shards.concatenate(spark, [f"{tmp_path}/s"]).collect()] == list(range(1203))
+
+
 def test_sample_group_and_summary(spark):
     people = spark.createDataFrame([("a", "Test"), ("b", "Train")], "sample_id string, qtl_group string")
     assert [r.sample_id for r in select.sample_group(people, "Test").collect()] == ["a"]
