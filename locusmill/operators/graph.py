@@ -23,7 +23,8 @@ def connected_components(edges: DataFrame, left: str = "u", right: str = "v") ->
     minima. Of two neighbours one at most is a local minimum, so the nodes at least halve each round
     and neither rounds nor steps need a bound; what the rounds found is put together backwards.
     Every step is written to the shared folder. Once ONE_TASK edges or fewer are left, one task
-    finishes them.
+    finishes them. Tables of nodes are joined by shuffles: Spark would judge them by the size of their
+    compressed files and send what is a hundred times as much in memory through the driver.
     """
     e = edges.select(F.col(left).alias("u"), F.col(right).alias("v")).where("u is not null and v is not null")
     both, n = stored_with_count(e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct(), F.lit(True))
@@ -81,14 +82,14 @@ def _relabelled(both: DataFrame, step: DataFrame, end: str, n: int, hot_keys: in
     table = step.select(F.col("u").alias("__n"), "up", "degree")
     columns = [F.col("up").alias(end), "v" if end == "u" else "u"]
     first = both.join(F.broadcast(table.where(hot).drop("degree")), F.col(end) == F.col("__n"), "left")
-    cold = first.where("up is null").select("u", "v").join(table.where(~hot).drop("degree"), F.col(end) == F.col("__n"))
+    cold = first.where("up is null").select("u", "v").join(table.where(~hot).drop("degree").hint("merge"), F.col(end) == F.col("__n"))
     return first.where("up is not null").select(*columns).unionByName(cold.select(*columns))
 
 
 def _salted(rows: DataFrame, table: DataFrame, key: str, by: str, salts: int = 8) -> DataFrame:
     left = rows.withColumn("__salt", F.pmod(F.hash(by), F.lit(salts)))
     right = table.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return left.join(right, [key, "__salt"], "left").drop("__salt")
+    return left.join(right.hint("merge"), [key, "__salt"], "left").drop("__salt")
 
 
 def set_components(sets: DataFrame, min_z: float = 3.0, max_size: int = 10) -> DataFrame:
@@ -100,12 +101,13 @@ def set_components(sets: DataFrame, min_z: float = 3.0, max_size: int = 10) -> D
     pairs would grow with the square of their number.
     """
     strong = sets.groupBy("cs_id").agg(F.max(F.abs("z")).alias("max_abs_z"))
-    kept = sets.join(strong, "cs_id").where((F.col("max_abs_z") > min_z) & (F.col("cs_size") < max_size))
+    kept = sets.join(strong.hint("merge"), "cs_id").where((F.col("max_abs_z") > min_z) & (F.col("cs_size") < max_size))
     hubs = kept.groupBy("group", "chromosome", "position").agg(F.min("cs_id").alias("hub"))
     edges = kept.join(hubs, ["group", "chromosome", "position"]).select(F.col("cs_id").alias("u"), F.col("hub").alias("v")).distinct()
     parts = connected_components(edges)
-    out = kept.join(parts, kept["cs_id"] == parts["node"], "left").drop("node")
-    return out.join(top_of_component(out, "component", "variant", "pip").withColumnRenamed("top", "top_variant"), "component", "left")
+    out = kept.join(parts.hint("merge"), kept["cs_id"] == parts["node"], "left").drop("node")
+    top = top_of_component(out, "component", "variant", "pip").withColumnRenamed("top", "top_variant")
+    return out.join(top, "component", "left")
 
 
 def top_of_component(members: DataFrame, component: str, item: str, value: str) -> DataFrame:

@@ -319,6 +319,21 @@ def test_fold_changes_drop_column_types(spark):
     assert [tuple(r) for r in annotate.clean_fold_changes(afc).collect()] == [("G1", "chr1_5_A_G", 0.5, None, 1.0)]
 
 
+def test_tables_of_nodes_are_not_sent_through_the_driver(spark):
+    """Their files are small, as equal components compress well; in memory they are not."""
+    from locusmill.sources.shared import stored
+
+    step = stored(spark.range(1000).select(F.col("id").alias("u"), F.lit(0).cast("long").alias("up"), F.lit(1).cast("long").alias("degree")))
+    edges = stored(spark.range(1000).select(F.col("id").alias("u"), F.col("id").alias("v")))
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan(graph._salted(step, step.select(F.col("u").alias("up"), F.col("up").alias("top")), "up", "u"))
+    assert "SortMergeJoin" in plan(graph._relabelled(edges, step, "u", 1000))  # nodes of many edges alone go by broadcast
+    columns = "cs_id string, molecular_trait_id string, group string, variant string, chromosome string, position int, z double, pip double, cs_size int"
+    sets = stored(spark.createDataFrame([("a", "t", "g", "v", "c", 1, 4.0, 0.5, 3), ("b", "t", "g", "v", "c", 1, 4.0, 0.5, 3)], columns))
+    found = graph.set_components(sets)
+    assert plan(found).count("SortMergeJoin") >= 2 and {r.component for r in found.collect()} == {"a"}
+
+
 @pytest.mark.parametrize("seed, at_once", [(0, 0), (1, 0), (2, 200_000)])
 def test_connected_components_equal_brute_force(spark, seed, at_once, monkeypatch):
     import random
