@@ -20,6 +20,8 @@ one share none of the other seven once in 78,000 pairs), texts of a pair that is
 three, and so on to DEEPEST; what more than `split` share then counts as a family without a trie. A family
 larger than `split` is dealt to chunks, whose parts meet through the first texts
 of each part, round by round; parts that this does not make fewer meet chunk by chunk, all with all.
+First texts may miss what others of their parts are linked with, so in the end every text outside of
+a large family's largest component meets all texts of the family, chunk by chunk.
 
 Edge cases: a text with fewer words than a shingle is one shingle; texts without a word have no
 shingle and are near copies of each other alone; equal sets of shingles are one entry, whatever
@@ -39,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import content_key, materialise, text_of
-from .simhash import CHUNK, _classes, by_group, only_firsts, trie_components
+from .simhash import CHUNK, _classes, by_group, components, only_firsts, trie_components
 
 #: Minima that route every text, minima that also part the hot groups, and how many at once at most.
 MINIMA, ALL_MINIMA, DEEPEST = 4, 8, 4
@@ -197,6 +199,7 @@ def near_links(rows: DataFrame, bits: int, least: float, split: int) -> DataFram
         return materialise(whole.select("f", "node", "fp", "sketch").mapInPandas(by_group("f", settle), "f long, node long, first long, rank long"))
 
     sketches, links = nodes.select("node", "fp", "sketch"), []
+    families_of, large = found, None
     while True:
         sizes = found.groupBy("f").count().where(F.col("count") > split)
         big = materialise(sizes.select("f", "count", F.ceil(F.col("count") / split).cast("int").alias("chunks")))  # at most rows / split
@@ -217,13 +220,37 @@ def near_links(rows: DataFrame, bits: int, least: float, split: int) -> DataFram
             rows = found.join(F.broadcast(stuck), "f").withColumn("own", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
             rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).where("own <> other")
             links.append(linked(rows.select(F.xxhash64("f", F.least("own", "other"), F.greatest("own", "other")).alias("f"), "node")))
+        if large is None:
+            large = big.select("f").join(F.broadcast(stuck.select("f")), "f", "left_anti")
         found = materialise(firsts.select("f", "node").join(F.broadcast(stuck.select("f")), "f", "left_anti"))
         if found.isEmpty():
             break
+    if large is not None:
+        links.append(linked(_left_apart(families_of.join(F.broadcast(large), "f"), _edges(links), split)))
+    return _edges(links).distinct()
+
+
+def _edges(links: list[DataFrame]) -> DataFrame:
     out = links[0]
     for more in links[1:]:
         out = out.unionByName(more)
-    return out.where("node <> first").select(F.col("node").alias("u"), F.col("first").alias("v")).distinct()
+    return out.where("node <> first").select(F.col("node").alias("u"), F.col("first").alias("v"))
+
+
+def _left_apart(members: DataFrame, edges: DataFrame, split: int) -> DataFrame:
+    """(f, node) of groups of about `split` in which every text of a family meets each one outside of the family's largest component.
+
+    members: f, node. Texts of one component need no further link, so families that `edges` connect give no row.
+    """
+    roots = components(edges)
+    own = materialise(members.join(roots, "node", "left").select("f", "node", F.coalesce("root", "node").alias("root")))
+    sizes = own.groupBy("f", "root").count().groupBy("f").agg(F.max_by("root", F.struct("count", "root")).alias("main"), F.sum("count").alias("all"), F.max("count").alias("most"))
+    half = max(1, split // 2)
+    sizes = materialise(sizes.where("all > most").select("f", "main", F.ceil(F.col("all") / half).cast("int").alias("n"), F.ceil((F.col("all") - F.col("most")) / half).cast("int").alias("m")))
+    rows = own.join(F.broadcast(sizes), "f").withColumns({"a": F.pmod(F.xxhash64("node"), F.col("n")).cast("int"), "b": F.pmod(F.xxhash64("node", F.lit(1)), F.col("m")).cast("int")})
+    upto = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+    dealt = rows.withColumn("b", upto("m")).unionByName(rows.where("root <> main").withColumn("a", upto("n")))
+    return dealt.select(F.xxhash64("f", "a", "b").alias("f"), "node").distinct()
 
 
 def _ranks(first: np.ndarray) -> np.ndarray:

@@ -286,6 +286,28 @@ def test_a_large_family_is_dealt_to_chunks(make):
     assert all(of[i] == i for i in of)
 
 
+def test_links_that_no_first_text_of_a_part_has_are_found(spark):
+    """Two heaps of copies hang together by one link between two of their texts, which lie in different parts and come first in hardly any."""
+    rng, rows, heaps = np.random.default_rng(3), [], 4
+    for k in range(heaps):
+        for changed in [0] * 40 + [40, 80] + [120] * 40:  # of 256 lanes; 40 apart is a link, 80 is none
+            lanes = np.full(near_copies.LANES, k, np.uint16)
+            lanes[:changed] = 100 + k
+            rows.append((int(rng.integers(1 << 60)), k, [k] * near_copies.ALL_MINIMA, lanes.tobytes()))
+    found = near_copies.near_links(spark.createDataFrame(rows, "node long, fp long, minima array<long>, sketch binary"), 1, 0.775, 20)
+    top = {r[0]: r[0] for r in rows}
+
+    def end(x):
+        while top[x] != x:
+            x = top[x]
+        return x
+
+    for r in found.collect():
+        top[end(r.u)] = end(r.v)
+    of = [{end(r[0]) for r in rows if r[1] == k} for k in range(heaps)]
+    assert all(len(x) == 1 for x in of) and len(set.union(*of)) == heaps
+
+
 def test_no_group_is_larger_than_split(make):
     """Texts that share most words: groups of minima, and of pairs and more of them, are parted until none has more than split."""
     rng = random.Random(4)
