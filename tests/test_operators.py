@@ -319,6 +319,22 @@ def test_fold_changes_drop_column_types(spark):
     assert [tuple(r) for r in annotate.clean_fold_changes(afc).collect()] == [("G1", "chr1_5_A_G", 0.5, None, 1.0)]
 
 
+def test_counts_are_computed_once(spark):
+    """Their plan may be an aggregate of the largest table; sizes, quartiles, ratios and the result read what it gave."""
+    from locusmill.operators import crossval
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def tell(frames):
+        for pdf in frames:
+            seen.add(len(pdf))
+            yield pdf
+
+    rows = [(f"p{i}", f"s{j}", float(1 + (i * 7 + j * 3) % 11)) for i in range(20) for j in range(3)]
+    counts = spark.createDataFrame(rows, "phenotype_id string, sample_id string, value double").mapInPandas(tell, "phenotype_id string, sample_id string, value double")
+    assert crossval.normalised_counts(counts).count() == 60 and seen.value == 60
+
+
 def test_tables_of_nodes_are_not_sent_through_the_driver(spark):
     """Their files are small, as equal components compress well; in memory they are not."""
     from locusmill.sources.shared import stored
