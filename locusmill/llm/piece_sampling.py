@@ -89,8 +89,8 @@ class Lattices:
     """The vocabulary, and the tables of the units met so far.
 
     Edges of a node stand together, nodes in the order of their edges; `upto` holds, for each edge,
-    its node's number plus the node's probability up to and with the edge, so that one sorted
-    search finds the edge that a node draws.
+    the node's probability up to and with the edge in steps of 2**-28, so that a draw is the first
+    edge whose value is above it.
     """
 
     def __init__(self, path: str, theta: float = 1.0):
@@ -171,7 +171,7 @@ class Lattices:
         self.start = array("i")  # the first node of each unit
         self.first = array("i", [0])  # the first edge of each node, and the end
         #: Per edge: piece, node after it (-1: the unit ends), log-probability and place.
-        self.piece, self.next, self.logq, self.upto = array("H"), array("i"), array("f"), array("d")
+        self.piece, self.next, self.logq, self.upto = array("H"), array("i"), array("f"), array("I")
         self.share = array("d")  # weights of the edges that have no log-probability yet
 
     def units_of(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -345,11 +345,10 @@ class Lattices:
         share = np.array(self.share)
         q = share / np.repeat(np.add.reduceat(share, at), n)
         run = np.cumsum(q)
-        # In steps of 2**-28, so that with up to 2**24 nodes no draw depends on a node's number.
-        upto = np.floor(np.minimum(run - np.repeat(run[at] - q[at], n), 1.0) * STEPS) / STEPS
-        upto[at + n - 1] = 1.0
+        upto = np.floor(np.minimum(run - np.repeat(run[at] - q[at], n), 1.0) * STEPS).astype(np.uint32)
+        upto[at + n - 1] = int(STEPS)
         self.logq.frombytes(np.where(np.repeat(n, n) == 1, 0.0, np.log(q)).astype(np.float32).tobytes())
-        self.upto.frombytes((upto + np.repeat(np.arange(node, node + len(n)), n)).tobytes())
+        self.upto.frombytes(upto.tobytes())
         del self.share[:]
 
     def decode(self, ids: np.ndarray) -> bytes:
@@ -367,7 +366,7 @@ class Lattices:
 
     def tables(self) -> Tables:
         """Views of the tables, which cannot grow while these are held."""
-        kinds = {"i": np.int32, "H": np.uint16, "f": np.float32, "d": np.float64}
+        kinds = {"i": np.int32, "H": np.uint16, "f": np.float32, "I": np.uint32}
         return Tables(*(np.frombuffer(x, kinds[x.typecode]) for x in (self.start, self.first, self.piece, self.next, self.logq, self.upto)))
 
 
@@ -390,8 +389,7 @@ class Tables:
         while len(live):
             edge = self.first.take(at).astype(np.int64)
             some = np.flatnonzero(self.first.take(at + 1) - edge > 1)  # the others have nothing to draw
-            u = (_step_hash(base.take(some), step) >> _U64(36)).astype(np.float64)
-            aim = at.take(some) + (u + 0.5) / STEPS
+            aim = (_step_hash(base.take(some), step) >> _U64(36)).astype(np.uint32)
             here = edge.take(some)
             while len(some):
                 on = np.flatnonzero(self.upto.take(here) <= aim)

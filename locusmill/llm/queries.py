@@ -58,7 +58,7 @@ def op5_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return piece_sampling.sample_segmentations(table(spark, sf_dir, "documents"), tokenizer_path(PIECE_BPE), k=2, with_ids=True, cache_units=650_000)
+    return piece_sampling.sample_segmentations(table(spark, sf_dir, "documents"), tokenizer_path(PIECE_BPE), k=2, with_ids=True, block_chars=1_000_000)
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -283,6 +283,19 @@ def test_one_by_one_tables_equal_joint_tables(lattices, monkeypatch):
     assert [[x[1] for x in own[:1]] for own in out[0]] and all(len(a) == len(b) == 3 for a, b in zip(*out))
 
 
+def test_memory_of_tables(lattices, monkeypatch):
+    """Bytes of an edge and units a worker of the query keeps: with 18 and 650,000 an executor's workers passed the memory they have."""
+    from locusmill.llm import queries
+
+    lattices.clear()
+    lattices.units_of(["some plain words and Straße"])
+    assert sum(x.itemsize for x in (lattices.piece, lattices.next, lattices.logq, lattices.upto)) <= 14
+    assert len({len(x) for x in (lattices.piece, lattices.next, lattices.logq, lattices.upto)}) == 1
+    monkeypatch.setattr(queries, "table", lambda *_: None)
+    monkeypatch.setattr(piece_sampling, "sample_segmentations", lambda *_, **options: options)
+    assert queries.op6_piece_sampling(None, SF).get("cache_units", piece_sampling.CACHE_UNITS) <= 350_000
+
+
 def test_rear_sets_are_entered(lattices, monkeypatch):
     monkeypatch.setattr(piece_sampling, "FRONT", 1)
     p, n = all_segmentations(lattices, "cat a"), 8000
