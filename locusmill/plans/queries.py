@@ -598,15 +598,10 @@ def _matrix(spark, d) -> DataFrame:
 def planted_traits(spark, d):
     """Two traits made of one variant's dosages each, and all dosages."""
     g = _matrix(spark, d)
-    cause = lambda p: F.lit(g.where(F.col("position") == p).select("dosage").first()[0])
-    noise = F.transform(cause(64000), lambda x, i: ((F.xxhash64(i) % 1000) / 1000.0).cast("double"))
-    traits = [("t1_ENSG1.1", 5000), ("t2_ENSG2.1", 40000)]
-    rows = None
-    for name, p in traits:
-        y = F.zip_with(cause(p), noise, lambda a, b: a * 1.5 + b)
-        row = spark.range(1).select(F.lit(name).alias("phenotype_id"), F.lit("chr1").alias("chromosome"), F.lit(p).alias("position"), y.alias("values"))
-        rows = row if rows is None else rows.unionByName(row)
-    return rows, g
+    name = F.when(F.col("position") == 5000, "t1_ENSG1.1").otherwise("t2_ENSG2.1")
+    # A cohort's dosages are a row's array; as literals of the plan they would pass the driver one by one.
+    y = F.transform("dosage", lambda a, i: a * 1.5 + (F.xxhash64(i) % 1000) / 1000.0)
+    return g.where(F.col("position").isin(5000, 40000)).select(name.alias("phenotype_id"), "chromosome", "position", y.alias("values")), g
 
 
 @query()

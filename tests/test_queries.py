@@ -40,6 +40,15 @@ def test_fold_pcs_covers_the_whole_table(spark):
     assert {r.sample_id for r in rows} == samples and {r.sample_id for r in rows if r.split == "test"} == samples
 
 
+def test_planted_traits_are_rows_of_the_table(spark):
+    """A cohort's dosages stay with the tasks: as literals of the plan they pass the driver, one by one."""
+    traits, _ = Q.planted_traits(spark, SF)
+    n = spark.read.parquet(f"{SF}/embeddings.parquet").count()
+    plan = traits._jdf.queryExecution().optimizedPlan().toString()
+    assert "embeddings" in plan or "embedding#" in plan
+    assert {r.phenotype_id: len(r["values"]) for r in traits.collect()} == {"t1_ENSG1.1": n, "t2_ENSG2.1": n}
+
+
 def test_region_filter_reaches_the_scan(spark):
     plan = Q.phenotype_match_exact(spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(p_brand), EqualTo(p_brand,Brand#13)]" in plan
