@@ -11,7 +11,7 @@ from locusmill import schemas
 from locusmill.functions import kernels
 from locusmill.functions import keys as K
 from locusmill.functions import numeric as N
-from locusmill.operators import annotate, chunks, finemap, genotypes, graph, intervals, reshape, select, skew
+from locusmill.operators import annotate, chunks, crossval, finemap, genotypes, graph, intervals, reshape, select, skew
 from locusmill.plans import pipeline
 from locusmill.sources import genomic, shards, sinks, tables
 
@@ -437,6 +437,40 @@ def test_cross_validation_equals_an_independent_run(spark):
                 assert (own.Predicted == 0).all() or np.allclose([own.Predicted[names[i]] for i in test], guess, atol=1e-6)
 
 
+def test_cross_validation_by_blocks_equals_fits_of_samples(monkeypatch):
+    """Products of blocks against copies of the samples: missing dosages in many variants, variants in any order, and little memory."""
+    import tracemalloc
+
+    rng = np.random.default_rng(11)
+    p, n = 40, 12_000
+    d = rng.integers(0, 3, size=(p, n)).astype(float)
+    d[7] = 0.0
+    for v, missing in ((1, -1), (12, -1), (5, np.nan), (30, -1)):
+        d[v, rng.random(n) < 0.1] = missing
+    c = rng.normal(size=(n, 2))
+    y = np.nan_to_num(d[12]) - d[21] + c[:, 0] + rng.normal(size=n)
+    fold = np.arange(n) % 3
+    train, test = fold != 1, fold == 1
+    order = rng.permutation(p)
+    sets = [order, order[order % 2 == 0]]
+    there = ~(np.isnan(d) | (d == -1))
+    base = np.array([x[ok].mean() for x, ok in zip(d, there)])
+    monkeypatch.setattr(crossval, "BLOCK_CELLS", 30_000)
+    tracemalloc.start()
+    guesses, seen, observed = crossval._predict_fold(y, d, sets, base, ~there.all(axis=1), train, test, c, finemap.Options())
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < d.nbytes
+    score = kernels.normal_scores(y[train])
+    assert np.allclose(seen, kernels.normal_scores(y[test])) and np.allclose(observed, seen - c[test] @ kernels.ols(score, c[train]))
+    basis = kernels.residual_basis(c[train])
+    for guess, some in zip(guesses, sets):
+        keep, x = kernels.clean_dosages(d[some][:, train])
+        fit = kernels.single_effects(kernels.residuals(basis, x.T), kernels.residuals(basis, score))
+        want = d[some][keep][:, test].T @ fit.posterior()[0]
+        assert np.allclose(guess, want, atol=1e-6, equal_nan=True) and np.nanstd(guess) > 0.1
+
+
 def test_cross_validation_edges(spark):
     traits = spark.createDataFrame([("a", "chr1", 1, [1.0, None, None, 2.0])], "phenotype_id string, chromosome string, position int, values array<double>")
     dosages = spark.createDataFrame([("chr1_1_A_G", "chr1", 1, [0.0, 1.0, 2.0, 0.0])], "variant_id string, chromosome string, position int, dosage array<double>")
