@@ -1,6 +1,7 @@
 import gzip
 import struct
 import zlib
+from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -102,6 +103,23 @@ def test_summaries_of_overlaps_equal_brute_force_without_pairs(spark):
     assert {r.score for r in intervals.point_score(p, none).collect()} == {None}
 
 
+def test_matches_of_a_place_leave_as_runs(spark):
+    """Matches may grow with the square of the tables; those of a place and an interval are stored as runs only if they lie together."""
+    points = [(i, "ab"[i % 2] if i % 11 else None, i * 37 % 20 if i % 13 else None, {"k": i}) for i in range(3000)]
+    spans = [(f"s{k}", "ab"[k % 2], k % 17, k % 17 + k % 5) for k in range(60)]
+    p = spark.createDataFrame(points, "i int, chromosome string, position int, m map<string, int>").repartition(3)
+    s = spark.createDataFrame(spans, "name string, chromosome string, start int, end int").withColumn("hit", F.lit(True))
+    out = intervals.flag_overlaps(p, s, ["hit"], width=7)
+    assert out.columns == ["i", "chromosome", "position", "m", "name", "hit"]
+    rows = out.collect()
+    pairs = [(i, c, x, n) for i, c, x, _ in points for n in [n for n, d, a, b in spans if c == d and x is not None and a <= x <= b] or [None]]
+    assert sorted(map(repr, pairs)) == sorted(repr((r.i, r.chromosome, r.position, r.name)) for r in rows)
+    assert all(r.m == {"k": r.i} and r.hit == (r.name is not None) for r in rows)
+    met = [(r.chromosome, r.position, r.name) for r in rows if r.hit]
+    assert max(Counter((c, x) for _, c, x, _ in points).values()) > 100  # more than go as one row
+    assert 1 + sum(a != b for a, b in zip(met, met[1:])) < len(met) / 20
+
+
 def test_annotation_keeps_all_pairs_of_elements_and_promoters(spark):
     fm = spark.createDataFrame([("x_ENSG1.2", "chr1_15_A_G", "chr1", 15, "A", "G", 0.9)], "molecular_trait_id string, variant string, chromosome string, position int, ref string, alt string, pip double")
     span = lambda *rows, extra="": spark.createDataFrame(list(rows), "chromosome string, start int, end int" + extra)
