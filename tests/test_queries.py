@@ -59,6 +59,14 @@ def test_overlap_join_is_keyed_by_bin(spark):
     assert "NestedLoop" not in plan and "Cartesian" not in plan and "__bin" in plan
 
 
+def test_annotation_computes_before_its_copies(spark):
+    """Overlaps make far more copies than rows: nothing is computed for each copy, and a task holds those of one loop."""
+    plan = Q.QUERIES["workflow_annotate"](spark, SF)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    loops = [i for i, x in enumerate(plan) if "explode(sequence(1, __" in x]
+    assert len(loops) == 2 and any("Repartition" in x and "false" in x for x in plan[loops[0] : loops[1]])
+    assert all("round(" not in x and "CASE" not in x for x in plan[: loops[1] + 1]) and any("round(" in x for x in plan)
+
+
 def test_entry_imports_and_runs(spark):
     import __spark_entry__ as entry
 
