@@ -489,6 +489,52 @@ def test_cross_validation_by_blocks_equals_fits_of_samples(monkeypatch):
         assert np.allclose(guess, want, atol=1e-6, equal_nan=True) and np.nanstd(guess) > 0.1
 
 
+def test_cross_validation_by_blocks_of_rows_equals_one_task_a_phenotype(spark, monkeypatch):
+    """Missing dosages and values, a sample without components, equal ids, a fold without enough samples; no row holds a window's dosages."""
+    from functools import partial
+
+    from locusmill.operators import crossblocks
+
+    rng = np.random.default_rng(3)
+    n, p = 120, 30
+    g = rng.integers(0, 3, size=(p, n)).astype(float)
+    g[2, :9], g[4, 50], g[5, 7], g[9] = -1, -1, np.nan, 0.0
+    pcs = rng.normal(size=(n, 2))
+    names = [f"s{i}" for i in range(n)]
+    folds = pd.DataFrame({"sample_id": names, "fold": [i % 3 + 1 for i in range(n)]})
+    value = lambda y: [None if v != v else float(v) for v in y]
+    y = g[4] * 1.5 + g[20] + pcs[:, 0] + rng.normal(size=n) * 0.4
+    y[10] = np.nan
+    few = np.where(np.arange(n) < 3, np.arange(n) * 1.0, np.nan)
+    traits = spark.createDataFrame([("a", "chr1", 5000, value(y)), ("b", "chr1", 900_000, value(g[25] - y)), ("few", "chr1", 5000, value(few)), ("far", "chr9", 1, value(y))], "phenotype_id string, chromosome string, position int, values array<double>")
+    rows = [(f"chr1_{1000 + i}_A_G", "chr1", 1000 + (i if i < 12 else (i - 11) * 50_000), value(g[i])) for i in range(p)]
+    rows.append((rows[4][0], "chr1", 1004, value(g[21])))
+    dosages = spark.createDataFrame(rows, "variant_id string, chromosome string, position int, dosage array<double>").repartition(3)
+    allowed = spark.createDataFrame([(r[0],) for r in rows if r[0] != "chr1_1004_A_G"], "x string")
+    scores = [(k, "x", s, [float(pcs[i, 0]) + k] * k) for k in (1, 2, 3) for i, s in enumerate(names) if i != 33]
+    components = spark.createDataFrame(scores, "fold int, split string, sample_id string, pcs array<double>")
+    genetic = pd.DataFrame({"GENETIC_PC1": pcs[:, 1], "other": 1.0}, index=names)
+    frames = []
+    for most in (1000, 0):
+        monkeypatch.setattr(crossval, "MOST_SAMPLES", most)
+        monkeypatch.setattr(crossblocks, "cross_validate_by_blocks", partial(crossblocks.cross_validate_by_blocks, block=17, tile=11))
+        for args in ((components, genetic, allowed), ()):
+            got = pipeline.cv_predict(traits, dosages, folds, *args, distance=600_000)
+            packed = [x for x in got._jdf.queryExecution().optimizedPlan().toString().splitlines() if "collect_list" in x and "dosage" in x]
+            assert bool(packed) == (most > 0)
+            frames.append(got.toPandas().sort_values(["Gene", "AF_threshold", "Fold", "sample_id"]).reset_index(drop=True))
+    for one, two in zip(frames[:2], frames[2:]):
+        assert len(one) > 200 and set(one.Gene) >= {"a", "b"} and one.Predicted.std() > 0.1
+        pd.testing.assert_frame_equal(one, two, check_dtype=False, rtol=1e-6, atol=1e-8)
+
+
+def test_least_squares_of_products():
+    c = np.random.default_rng(1).normal(size=(50, 3)) * [1, 1e-6, 1e3]
+    y = c @ [1.0, 2e6, 3e-3] + 0.1
+    for x in (c, np.column_stack([c[:, 0], c[:, 0], c[:, 2] / 1e3]), np.zeros((50, 2)), c[:, :0]):
+        assert np.allclose(kernels.ols_of_products(x.T @ x, x.T @ y), kernels.ols(y, x))
+
+
 def test_cross_validation_edges(spark):
     traits = spark.createDataFrame([("a", "chr1", 1, [1.0, None, None, 2.0])], "phenotype_id string, chromosome string, position int, values array<double>")
     dosages = spark.createDataFrame([("chr1_1_A_G", "chr1", 1, [0.0, 1.0, 2.0, 0.0])], "variant_id string, chromosome string, position int, dosage array<double>")
